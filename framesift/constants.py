@@ -99,4 +99,5 @@ EPOCH_METRICS = ("precision_m", "recall_m", "map50_m", "map50_95_m", "map50_95_b
 TARGET_FPS = 20.0
 
 # --- fixed values: project layout ------------------------------------------
-PROJECT_DIRECTORIES = ("data", "datasets", "manifests", "assets", "project_reports")
+PROJECT_DIRECTORIES = ("data", "datasets", "manifests", "assets", "reports")
+REPOSITORY_DIRECTORIES = ("models", "third_party")
