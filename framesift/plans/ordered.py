@@ -27,6 +27,7 @@ def scan(
     next: Mapping[str, Column] | None = None,
     cumsum: Mapping[str, Column] | None = None,
     cummax: Mapping[str, Column] | None = None,
+    whole: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add running columns to ``df``.
 
@@ -37,17 +38,18 @@ def scan(
     prev / next   last non-null value strictly before / first strictly after
     cumsum        running sum including the row
     cummax        running maximum over the rows strictly before
+    whole         sum over the whole sequence
 
     To carry values that may themselves be null, pass a struct.
     """
     keys, order = list(keys), list(order)
     prev, next = dict(prev or {}), dict(next or {})
-    cumsum, cummax = dict(cumsum or {}), dict(cummax or {})
+    cumsum, cummax, whole = dict(cumsum or {}), dict(cummax or {}), dict(whole or {})
     original = df.columns
 
     work = df.withColumn(BLOCK, block)
     inputs: dict[str, Column] = {}
-    for kind, columns in (("p", prev), ("n", next), ("s", cumsum), ("m", cummax)):
+    for kind, columns in (("p", prev), ("n", next), ("s", cumsum), ("m", cummax), ("w", whole)):
         inputs.update({f"_{kind}_{name}": expr for name, expr in columns.items()})
     if inputs:
         work = work.withColumns(inputs)
@@ -63,9 +65,11 @@ def scan(
         sums.append(F.min_by(value, F.when(value.isNotNull(), position)).alias(f"_n_{name}"))
     sums += [F.sum(f"_s_{name}").alias(f"_s_{name}") for name in cumsum]
     sums += [F.max(f"_m_{name}").alias(f"_m_{name}") for name in cummax]
+    sums += [F.sum(f"_w_{name}").alias(f"_w_{name}") for name in whole]
     per_block = work.groupBy(*keys, BLOCK).agg(*sums)
 
     along = Window.partitionBy(*keys).orderBy(BLOCK)
+    everything = Window.partitionBy(*keys)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     after = (
         Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -74,11 +78,12 @@ def scan(
         *keys,
         BLOCK,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_c_n"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_c_total"),
+        F.sum("_n").over(everything).alias("_c_total"),
         *[F.last(f"_p_{n}", ignorenulls=True).over(before).alias(f"_c_p_{n}") for n in prev],
         *[F.last(f"_n_{n}", ignorenulls=True).over(after).alias(f"_c_n_{n}") for n in next],
         *[F.sum(f"_s_{n}").over(before).alias(f"_c_s_{n}") for n in cumsum],
         *[F.max(f"_m_{n}").over(before).alias(f"_c_m_{n}") for n in cummax],
+        *[F.sum(f"_w_{n}").over(everything).alias(f"_c_w_{n}") for n in whole],
     )
 
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
@@ -118,6 +123,7 @@ def scan(
         result.append((F.coalesce(f"_l_s_{name}", zero) + F.coalesce(f"_c_s_{name}", zero)).alias(name))
     for name in cummax:
         result.append(F.greatest(f"_l_m_{name}", f"_c_m_{name}").alias(name))
+    result += [F.col(f"_c_w_{name}").alias(name) for name in whole]
     return joined.select(*result)
 
 

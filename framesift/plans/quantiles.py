@@ -30,9 +30,9 @@ def exact_quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = scan(histogram, keys, ["_v"], number_block(F.col("_v")), cumsum={"_upto": F.col("_c")})
-    totals = histogram.groupBy(*keys).agg(F.sum("_c").alias("_total"))
-    ranked = ranked.join(totals, keys) if keys else ranked.crossJoin(totals)  # totals: one row
+    ranked = scan(
+        histogram, keys, ["_v"], number_block(F.col("_v")), cumsum={"_upto": F.col("_c")}, whole={"_total": F.col("_c")}
+    )
     aggregates = [F.max("_total").alias("_total")]
     for name, p in probabilities.items():
         rank = (F.col("_total") - 1) * F.lit(float(p))
