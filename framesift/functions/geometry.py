@@ -47,11 +47,29 @@ def center_shift_norm(cx: Column, cy: Column, px: Column, py: Column, width: Col
     return F.sqrt(dx * dx + dy * dy) / hypotenuse(width, height)
 
 
+def fixed6(value: Column) -> Column:
+    """Six decimals, rounded by the exact binary value (half to even).
+
+    The formatter of the JVM rounds the shortest decimal text instead, which differs
+    when the sixth decimal is followed by a lone 5.  The value is split in two halves whose
+    products with 10^6 are exact, so the distance to the tie has the right sign.
+    """
+    x = F.abs(value)
+    scaled = F.floor(x * 1e6).cast("double")
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    low = x - high
+    beyond = (high * 1e6 - (scaled + 0.5)) + low * 1e6
+    up = (beyond > 0) | ((beyond == 0) & (scaled % 2 == 1))
+    units = (scaled + F.when(up, 1.0).otherwise(0.0)).cast("long")
+    text = F.format_string("%d.%06d", F.floor(units / 1000000), units % 1000000)
+    return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
+
+
 def box_label(class_id: Column, x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column) -> Column:
     """``class cx cy w h`` with six decimals, relative to the image size."""
     cx, cy = (x1 + x2) * 0.5 / width, (y1 + y2) * 0.5 / height
     w, h = (x2 - x1).cast("double") / width, (y2 - y1).cast("double") / height
-    return F.format_string("%d %.6f %.6f %.6f %.6f", class_id, cx, cy, w, h)
+    return F.concat_ws(" ", class_id.cast("string"), *[fixed6(v) for v in (cx, cy, w, h)])
 
 
 def depth_to_mm(depth: Column, scale: Column) -> Column:

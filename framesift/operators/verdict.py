@@ -158,7 +158,6 @@ def instance_violations(instances: DataFrame) -> DataFrame:
 
 def class_split_table(accepted: DataFrame, class_names: list[str]) -> DataFrame:
     """Accepted counts per split and class with a total row and a total column."""
-    table = accepted.rollup("split").pivot("class_name", class_names).count()
-    columns = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in class_names]
-    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in class_names), F.lit(0))
-    return table.select(F.coalesce("split", F.lit("total")).alias("split"), *columns, total.cast("long").alias("total"))
+    counts = [F.count_if(F.col("class_name") == c).alias(c) for c in class_names]
+    table = accepted.rollup("split").agg(*counts, F.count_if(F.col("class_name").isin(class_names)).alias("total"))
+    return table.withColumn("split", F.coalesce("split", F.lit("total")))

@@ -92,7 +92,7 @@ def throttle(stream: DataFrame, interval_s: float, cap: int = 0) -> DataFrame:
     def step(rows, state):
         last, count = (None, 0) if state is None else state
         flags = []
-        for moment in (rows["ts"].astype("int64") // (1 if str(rows["ts"].dtype).endswith("us]") else 1000)).tolist():
+        for moment in rows["ts"].astype("datetime64[us]").astype("int64").tolist():
             keep = (last is None or (moment - last) / 1e6 >= interval_s) and (cap <= 0 or count < cap)
             flags.append(keep)
             if keep:
