@@ -77,7 +77,8 @@ def boundaries(frames: DataFrame, max_frames: int, order: str = "frame_id", bloc
             one(~first & too_long, "max_segment_length"),
         )
     )
-    return marked.drop("_hard").withColumn("boundary_reasons", reasons).withColumn("is_boundary", F.size(reasons) > 0)
+    found = marked.withColumn("boundary_reasons", reasons).drop("_hard")
+    return found.withColumn("is_boundary", F.size("boundary_reasons") > 0)
 
 
 def segments(bounded: DataFrame, order: str = "frame_id") -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import stored
+
 BLOCK = "_blk"
 
 
@@ -31,7 +33,7 @@ def scan(
 ) -> DataFrame:
     """Add running columns to ``df``.
 
-    keys, order   sequence key and a total order inside it (no ties)
+    keys, order   sequence key and a total order inside it (neither null, no ties)
     block         monotone expression of the order, see ``blocks``
     index         zero-based position in the sequence
     total         number of rows of the sequence
@@ -47,7 +49,8 @@ def scan(
     cumsum, cummax, whole = dict(cumsum or {}), dict(cummax or {}), dict(whole or {})
     original = df.columns
 
-    work = df.withColumn(BLOCK, block)
+    # read twice: once for the block totals (few columns), once for the rows
+    work = stored(df).withColumn(BLOCK, block)
     inputs: dict[str, Column] = {}
     for kind, columns in (("p", prev), ("n", next), ("s", cumsum), ("m", cummax), ("w", whole)):
         inputs.update({f"_{kind}_{name}": expr for name, expr in columns.items()})
@@ -108,10 +111,10 @@ def scan(
         local[f"_l_n_{name}"] = F.last(f"_n_{name}", ignorenulls=True).over(inside_after)
     rows = work.withColumns(local) if local else work
 
-    joined = null_safe_join(rows, carried, [*keys, BLOCK])
+    joined = rows.join(carried, [*keys, BLOCK], "left")
     result = [F.col(c) for c in original]
     if index:
-        result.append((F.col("_c_n") + F.col("_l_n")).cast("long").alias(index))
+        result.append((F.coalesce("_c_n", F.lit(0)) + F.col("_l_n")).cast("long").alias(index))
     if total:
         result.append(F.col("_c_total").cast("long").alias(total))
     for name in prev:
@@ -125,13 +128,3 @@ def scan(
         result.append(F.greatest(f"_l_m_{name}", f"_c_m_{name}").alias(name))
     result += [F.col(f"_c_w_{name}").alias(name) for name in whole]
     return joined.select(*result)
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi join in which a null key matches a null key; keeps the left keys."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
-    condition = None
-    for c in on:
-        term = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-        condition = term if condition is None else condition & term
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])

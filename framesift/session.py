@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,27 +32,49 @@ def build_session(app: str = "framesift", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint directory of the session; a private one only for local runs.
+_local_folder: tempfile.TemporaryDirectory | None = None
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Checkpoint folder of the session; a private one only for local runs.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``.  Falling back
     to a folder of one machine there would lose the data with that machine, so
     a cluster session without the setting is refused.
     """
+    global _local_folder
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="framesift-checkpoint-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if _local_folder is None:
+        _local_folder = tempfile.TemporaryDirectory(prefix="framesift-")
+    return _local_folder.name
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written copy."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` in the checkpoint folder and continue from the stored table.
+
+    The table is Parquet: later passes read only the columns they need, and a lost
+    executor costs nothing that was stored.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/framesift-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_READ_ONLY_NODES = re.compile(r"^[\s:+-]*(Project|Filter|Relation|LocalRelation|LogicalRDD|Range)\b")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself when it only reads, filters and projects; otherwise a stored copy.
+
+    For operators that read their input more than once: a plain read may be repeated,
+    a join, aggregate or window upstream should run once.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    plain = all(_READ_ONLY_NODES.match(line) for line in plan.splitlines() if line.strip())
+    return df if plain else cut(df)
