@@ -1 +1,125 @@
-QUERIES = {}
+"""Capture groups and the train / val split."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..operators import groups as g
+from ..session import cut
+from . import views as v
+
+
+def _grouped(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    reports = v.reports(spark, sf_dir)
+    return reports, g.capture_groups(reports)
+
+
+def capture_groups(spark, sf_dir) -> DataFrame:
+    return _grouped(spark, sf_dir)[1].select("report_path", "group_key")
+
+
+_GROUPS = f"""{v.REPORTS}, idn AS (
+  SELECT o_orderkey AS n, 's' || capture_session_id AS i FROM rep UNION ALL SELECT o_orderkey, source_video_id FROM rep), mn AS (
+  SELECT i, min(n) AS m FROM idn GROUP BY i HAVING count(*) > 1), st AS (
+  SELECT n, m FROM idn JOIN mn USING (i) WHERE n <> m), ed AS (SELECT n AS a, m AS b FROM st UNION SELECT m, n FROM st), cl AS (
+  SELECT a AS n, a AS l FROM ed UNION SELECT ed.b, cl.l FROM cl JOIN ed ON ed.a = cl.n WHERE cl.l > ed.b), lb AS (
+  SELECT n, max(l) AS top FROM cl GROUP BY n), gr AS (
+  SELECT rep.*, 'scene:' || coalesce(t.scene, rep.scene) AS group_key FROM rep LEFT JOIN lb ON lb.n = rep.o_orderkey LEFT JOIN rep t ON t.o_orderkey = lb.top)"""
+CAPTURE_GROUPS = f"WITH RECURSIVE {_GROUPS} SELECT report_path, group_key FROM gr"
+
+
+def group_summary(spark, sf_dir) -> DataFrame:
+    s = g.group_summary(*_grouped(spark, sf_dir))
+    return s.select(
+        "group_key", *[v.long(c, c) for c in ("reports", "accepted", "scenes", "sessions", "videos")],
+        "newest_scene", v.long(F.col("pure_train"), "pure_train"), v.joined("class_names"),
+    )
+
+
+GROUP_SUMMARY = f"""WITH RECURSIVE {_GROUPS}
+SELECT group_key, count(*) AS reports, CAST(sum(accepted) AS BIGINT) AS accepted, count(DISTINCT scene) AS scenes, count(DISTINCT capture_session_id) AS sessions,
+       count(DISTINCT source_video_id) AS videos, max(scene) AS newest_scene, CAST(bool_and(split = 'train') AS BIGINT) AS pure_train,
+       string_agg(DISTINCT class_name, '|' ORDER BY class_name) AS class_names FROM gr GROUP BY group_key"""
+
+
+def group_members(spark, sf_dir) -> DataFrame:
+    members = g.group_members(*_grouped(spark, sf_dir))
+    return members.groupBy("kind").agg(F.count(F.lit(1)).alias("members"), F.count_distinct("group_key").alias("groups"))
+
+
+GROUP_MEMBERS = f"""WITH RECURSIVE {_GROUPS}, mb AS (
+  SELECT DISTINCT group_key, 'scene' AS kind, scene AS value FROM gr UNION SELECT group_key, 'session', capture_session_id FROM gr UNION SELECT group_key, 'video', source_video_id FROM gr)
+SELECT kind, count(*) AS members, count(DISTINCT group_key) AS groups FROM mb GROUP BY kind"""
+
+
+def newest_groups(spark, sf_dir) -> DataFrame:
+    reports = v.reports(spark, sf_dir)
+    per_video = reports.groupBy(F.col("source_video_id").alias("group_key")).agg(F.max("scene").alias("newest_scene"))
+    return g.newest_first(per_video).select("group_key", "newest_scene", "position")
+
+
+NEWEST_GROUPS = f"""WITH {v.REPORTS}, p AS (SELECT source_video_id AS group_key, max(scene) AS newest_scene FROM rep GROUP BY 1)
+SELECT *, row_number() OVER (ORDER BY newest_scene DESC, group_key DESC) - 1 AS position FROM p"""
+
+
+def mixed_groups(spark, sf_dir) -> DataFrame:
+    """Groups named by a scene or a video that may not move because they are not purely train."""
+    reports, groups = _grouped(spark, sf_dir)
+    groups = cut(groups)
+    chosen = g.select_groups(g.group_members(reports, groups), [], [f"v{i}" for i in range(0, 400)])
+    return g.mixed_group_violations(g.group_summary(reports, groups), chosen)
+
+
+MIXED_GROUPS = f"""WITH RECURSIVE {_GROUPS}, ch AS (SELECT DISTINCT group_key FROM gr WHERE CAST(substr(source_video_id, 2) AS BIGINT) < 400)
+SELECT 'group_not_pure_train' AS rule, group_key AS key FROM gr JOIN ch USING (group_key) GROUP BY group_key HAVING NOT bool_and(split = 'train')"""
+
+
+def _unsplit(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Reports before any validation split exists, and their groups."""
+    reports = v.reports(spark, sf_dir).withColumn("split", F.lit("train"))
+    return reports, cut(g.capture_groups(reports))
+
+
+def auto_split(spark, sf_dir) -> DataFrame:
+    """Groups chosen for validation when all reports are still train."""
+    return g.auto_split(*_unsplit(spark, sf_dir)).chosen
+
+
+def split_assignment(spark, sf_dir) -> DataFrame:
+    """Reports and accepted frames per split after the choice."""
+    reports, groups = _unsplit(spark, sf_dir)
+    plan = g.auto_split(reports, groups)
+    moved = g.assign_split(reports, groups, plan.chosen)
+    return moved.groupBy("split").agg(F.count(F.lit(1)).alias("reports"), F.sum("accepted").alias("frames"))
+
+
+def manifest_violations(spark, sf_dir) -> DataFrame:
+    o = v.table(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    scenes = o.select(F.concat(F.lit("/data/s"), k.cast("string")).alias("scene"), F.concat(F.lit("s"), k.cast("string")).alias("scene_id"))
+    wrong = F.when(k % 5 == 1, F.lit("")).when(k % 5 == 2, F.concat(F.lit("/old/s"), k.cast("string"))).otherwise(F.concat(F.lit("/data/s"), k.cast("string")))
+    files = F.array_compact(
+        F.array(
+            F.when(k % 11 != 0, F.struct(F.lit("train").alias("file_split"), F.when(k % 7 == 0, "val").otherwise("train").alias("split"), wrong.alias("scene"))),
+            F.when(k % 13 == 0, F.struct(F.lit("val").alias("file_split"), F.lit("val").alias("split"), wrong.alias("scene"))),
+        )
+    )
+    manifests = o.select(F.concat(F.lit("s"), k.cast("string")).alias("scene_id"), F.inline(files))
+    return g.manifest_violations(scenes, manifests)
+
+
+MANIFEST_VIOLATIONS = """SELECT rule, key FROM (
+  SELECT 's' || o_orderkey AS key, CASE WHEN o_orderkey % 11 = 0 THEN 'train_manifest_missing' WHEN o_orderkey % 13 = 0 THEN 'val_manifest_exists'
+    WHEN o_orderkey % 7 = 0 THEN 'manifest_split_not_train' WHEN o_orderkey % 5 = 1 THEN 'manifest_scene_missing' WHEN o_orderkey % 5 = 2 THEN 'manifest_scene_mismatch' END AS rule
+  FROM orders) WHERE rule IS NOT NULL"""
+
+QUERIES = {
+    "capture_groups": (capture_groups, CAPTURE_GROUPS),
+    "group_summary": (group_summary, GROUP_SUMMARY),
+    "group_members": (group_members, GROUP_MEMBERS),
+    "newest_groups": (newest_groups, NEWEST_GROUPS),
+    "mixed_groups": (mixed_groups, MIXED_GROUPS),
+    "auto_split": (auto_split, None),
+    "split_assignment": (split_assignment, None),
+    "manifest_violations": (manifest_violations, MANIFEST_VIOLATIONS),
+}

@@ -12,6 +12,7 @@ from ..functions.geometry import center_shift_norm, hypotenuse, rotation_jump_de
 from ..plans.blocks import index_block
 from ..plans.chains import last_kept
 from ..plans.ordered import scan
+from ..session import stored
 
 INSTANCE = ("scene_id", "instance_id")
 METRICS = (
@@ -135,29 +136,31 @@ def registration_iou_gate(df: DataFrame, minimum: float) -> DataFrame:
     )
 
 
-def _motion_ok(ref, row):
-    """Would ``row`` pass the motion rules against ``ref``?  Same limits as the column rules."""
-    usable, registration = row[4], row[5]
+def _motion_ok(ref, row, extra):
+    """Would ``row`` pass the motion rules against ``ref``?  Same limits as the column rules.
+
+    ref / row  area, cx, cy, pose; extra  usable, registration, and the limits
+    """
+    usable, registration, min_ratio, max_ratio, max_shift, max_step, max_turn, diagonal = extra
     if not usable:
         return False
     if registration or ref is None:
         return True
-    area, cx, cy, pose = row[:4]
-    limits = row[6]
+    area, cx, cy, pose = row
     if ref[0] > 0 and area > 0:
         ratio = area / ref[0]
-        if ratio < limits["min_ratio"] or ratio > limits["max_ratio"]:
+        if ratio < min_ratio or ratio > max_ratio:
             return False
         dx, dy = cx - ref[1], cy - ref[2]
-        if math.sqrt(dx * dx + dy * dy) / limits["diagonal"] > limits["max_shift"]:
+        if math.sqrt(dx * dx + dy * dy) / diagonal > max_shift:
             return False
     before = ref[3]
     if before is not None and pose is not None:
         step = math.sqrt(sum((pose[i] - before[i]) ** 2 for i in (3, 7, 11)))
-        if step > limits["max_step"]:
+        if step > max_step:
             return False
         trace = sum(pose[r * 4 + c] * before[r * 4 + c] for r in range(3) for c in range(3))
-        if math.degrees(math.acos(max(-1.0, min(1.0, (trace - 1.0) * 0.5)))) > limits["max_turn"]:
+        if math.degrees(math.acos(max(-1.0, min(1.0, (trace - 1.0) * 0.5)))) > max_turn:
             return False
     return True
 
@@ -188,6 +191,7 @@ def grade_sequence(
         frames = tracking_segments(frames, keys=keys, index=index)
         keys.append("tracking_segment")
     pose = F.col("pose") if "pose" in frames.columns else F.lit(None).cast("array<double>")
+    frames = stored(frames)  # read by the chain and by the verdict
     iou_ok = F.col("iou_ok") if "iou_ok" in frames.columns else F.lit(True)
     present = set(frames.columns)
 
@@ -195,28 +199,28 @@ def grade_sequence(
         return F.col(name) if name in present else F.lit(None).cast("double")
 
     alone_ok = F.size(static_reject_reasons(thresholds, metric)) == 0
-    limits = F.struct(
-        thresholds["min_area_ratio"].alias("min_ratio"),
-        thresholds["max_area_ratio"].alias("max_ratio"),
-        thresholds["max_center_shift_norm"].alias("max_shift"),
-        thresholds["max_translation_jump_m"].alias("max_step"),
-        thresholds["max_rotation_jump_deg"].alias("max_turn"),
-        hypotenuse(F.col("width"), F.col("height")).alias("diagonal"),
-    )
+    limits = {
+        "_min_ratio": thresholds["min_area_ratio"],
+        "_max_ratio": thresholds["max_area_ratio"],
+        "_max_shift": thresholds["max_center_shift_norm"],
+        "_max_step": thresholds["max_translation_jump_m"],
+        "_max_turn": thresholds["max_rotation_jump_deg"],
+        "_diagonal": hypotenuse(F.col("width"), F.col("height")),
+    }
     compact = frames.select(
         *keys,
         index,
         F.coalesce(F.col("mask_area"), F.lit(0)).cast("double").alias("area"),
-        F.col("cx").cast("double").alias("rcx"),
-        F.col("cy").cast("double").alias("rcy"),
-        pose.alias("rpose"),
-        F.coalesce(F.col("has_mask") & alone_ok & iou_ok, F.lit(False)).alias("usable"),
-        F.coalesce("registration", F.lit(False)).alias("reg"),
-        limits.alias("limits"),
+        F.col("cx").cast("double").alias("x"),
+        F.col("cy").cast("double").alias("y"),
+        pose.alias("pose"),
+        F.coalesce(F.col("has_mask") & alone_ok & iou_ok, F.lit(False)).alias("_usable"),
+        F.coalesce("registration", F.lit(False)).alias("_first"),
+        *[c.alias(name) for name, c in limits.items()],
     )
     chain = last_kept(
-        compact, keys, index, index_block(F.col(index)), ["area", "rcx", "rcy", "rpose", "usable", "reg", "limits"], _motion_ok
-    ).select(*keys, index, F.col("ref.area").alias("_ra"), F.col("ref.rcx").alias("_rx"), F.col("ref.rcy").alias("_ry"), F.col("ref.rpose").alias("_rp"))
+        compact, keys, index, index_block(F.col(index)), ["area", "x", "y", "pose"], _motion_ok, ["_usable", "_first", *limits]
+    ).select(*keys, index, F.col("ref_area").alias("_ra"), F.col("ref_x").alias("_rx"), F.col("ref_y").alias("_ry"), F.col("ref_pose").alias("_rp"))
     joined = frames.join(chain, [*keys, index])
     registration = F.coalesce("registration", F.lit(False))
     has_ref = (F.col("_ra") > 0) & (F.col("mask_area") > 0)

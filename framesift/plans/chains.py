@@ -5,9 +5,9 @@ capture throttle compares a frame with the last one stored.  Such a chain is
 sequential by definition, but it may be evaluated per block: a block is a
 function from the row it inherits to the row it hands on.  Blocks are first
 run with nothing inherited, then once more for every row that the block before
-may hand on, until no new hand-over appears.  As chains
-meet again after few rows, two or three rounds settle all blocks in parallel.
-A last pass emits, for every row, the row it was compared with.
+may hand on, until no new hand-over appears.  As chains meet again after few
+rows, two or three rounds settle all blocks in parallel.  A last pass
+emits, for every row, the row it was compared with.
 """
 
 from __future__ import annotations
@@ -20,46 +20,62 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..session import cut
 from .ordered import BLOCK
 
-Keep = Callable[[tuple | None, tuple], bool]
+Keep = Callable[[tuple | None, tuple, tuple], bool]
 
 
-def _walk(keep: Keep, n_keys: int, payload: list[str], emit_rows: bool, out_columns: list[str]):
-    """Body of the per-partition pass over sorted rows; one small state per block."""
+def _walker(keep: Keep, n_keys: int, n_state: int, emit_rows: bool, names: list[str]):
+    """Per-partition pass over sorted rows: keys, block, seed, inherited state, position, state, extra."""
+    head_end = n_keys + 2
+    seed_end = head_end + n_state
+    state_end = seed_end + 1 + n_state
+    nothing = (None,) * n_state
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tag = None
-        head: tuple = ()
-        ref = None
+        tag, ref, ref_pos = None, None, -1
         for batch in batches:
-            if batch.empty:
-                continue
-            columns = [batch[c].tolist() for c in batch.columns]
-            # leading columns: keys, block, seed id, seed payload, row payload
-            lead = n_keys + 2
             out: list[tuple] = []
-            for row in zip(*columns):
-                if row[:lead] != tag:
+            for row in zip(*[batch[c].tolist() for c in batch.columns]):
+                if row[:head_end] != tag:
                     if tag is not None and not emit_rows:
-                        out.append(head + (ref,))
-                    tag = row[:lead]
-                    head = tag
-                    ref = row[lead]
-                current = row[lead + 1]
-                kept = keep(_plain(ref, payload), _plain(current, payload))
+                        out.append(tag + (ref_pos,) + (ref or nothing))
+                    tag = row[:head_end]
+                    ref_pos = tag[-1]
+                    ref = row[head_end:seed_end] if ref_pos >= 0 else None
+                current = row[seed_end + 1 : state_end]
+                kept = keep(ref, current, row[state_end:])
                 if emit_rows:
-                    out.append(row[:n_keys] + (current["pos"], ref, kept))
+                    out.append(row[:n_keys] + (row[seed_end], ref_pos) + (ref or nothing) + (kept,))
                 if kept:
-                    ref = current
+                    ref, ref_pos = current, row[seed_end]
             if out:
-                yield pd.DataFrame(out, columns=out_columns)
+                yield pd.DataFrame(out, columns=names)
         if tag is not None and not emit_rows:
-            yield pd.DataFrame([head + (ref,)], columns=out_columns)
+            yield pd.DataFrame([tag + (ref_pos,) + (ref or nothing)], columns=names)
 
     return run
 
 
-def _plain(value, payload: list[str]):
-    return None if value is None else tuple(value[name] for name in payload)
+def _follower(n_keys: int, n_state: int, names: list[str]):
+    """Follow the true hand-overs: keys, block, seed, handed position, handed state; sorted by block."""
+    nothing = (None,) * n_state
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, blk, seed, upcoming = None, None, -1, (-1, nothing)
+        for batch in batches:
+            out = []
+            for item in zip(*[batch[c].tolist() for c in batch.columns]):
+                if item[:n_keys] != key:
+                    key, blk, upcoming = item[:n_keys], None, (-1, nothing)
+                if item[n_keys] != blk:
+                    blk = item[n_keys]
+                    seed, state = upcoming
+                    out.append(key + (blk, seed) + state)
+                if item[n_keys + 1] == seed:
+                    upcoming = (item[n_keys + 2], item[n_keys + 3 :])
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    return run
 
 
 def last_kept(
@@ -67,57 +83,59 @@ def last_kept(
     keys: Sequence[str],
     position: str,
     block: Column,
-    payload: Sequence[str],
+    state: Sequence[str],
     keep: Keep,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """``keys, position, ref STRUCT<payload>, kept`` for every row of ``df``.
+    """``keys, position, ref_pos, ref_<state>..., kept`` for every row of ``df``.
 
-    ``ref`` is the payload of the last kept row before it (null at the start).
-    ``keep(ref, row)`` gets payload tuples and must be a pure function.
-    ``position`` is a long, unique and ascending inside a sequence.
+    The ``ref`` columns describe the last kept row before it (``ref_pos`` -1 at the start).
+    ``keep(ref, row, extra)`` gets the state of both rows and the extra columns of the row, and
+    must be a pure function.  ``position`` is a long from 0, unique and ascending in a sequence.
     """
-    keys, payload = list(keys), list(payload)
-    row = F.struct(F.col(position).cast("long").alias("pos"), *[F.col(c) for c in payload])
-    rows = cut(df.select(*keys, block.alias(BLOCK), row.alias("row")))
-    row_type = rows.schema["row"].dataType
-    key_fields = [rows.schema[k] for k in keys]
-    block_field = rows.schema[BLOCK]
+    keys, state, extra = list(keys), list(state), list(extra)
+    rows = cut(df.select(*keys, block.alias(BLOCK), F.col(position).cast("long").alias("_pos"), *state, *extra))
+    kind = {f.name: f.dataType for f in rows.schema.fields}
+    inherited = [f"_in_{c}" for c in state]
+    key_fields = [T.StructField(k, kind[k]) for k in keys]
+    block_field = T.StructField(BLOCK, kind[BLOCK])
+
+    def state_fields(prefix: str) -> list[T.StructField]:
+        return [T.StructField(f"{prefix}{c}", kind[c]) for c in state]
+
+    nothing = [F.lit(None).cast(kind[c]).alias(f"_in_{c}") for c in state]
+    from_nothing = [F.lit(-1).cast("long").alias("seed"), *nothing]
+    columns = [*keys, BLOCK, "seed", *inherited, "_pos", *state, *extra]
+    final_fields = [
+        *key_fields,
+        T.StructField(position, T.LongType()),
+        T.StructField("ref_pos", T.LongType()),
+        *state_fields("ref_"),
+        T.StructField("kept", T.BooleanType()),
+    ]
+    emit = _walker(keep, len(keys), len(state), True, [f.name for f in final_fields])
+
+    def in_order(fed: DataFrame) -> DataFrame:
+        return fed.select(*columns).repartition(*keys, BLOCK).sortWithinPartitions(*keys, BLOCK, "seed", "_pos")
 
     along = Window.partitionBy(*keys).orderBy(BLOCK)
-    blocks = cut(rows.select(*keys, BLOCK).distinct().withColumn("next_blk", F.lead(BLOCK).over(along)))
-    no_seed = F.lit(None).cast(row_type)
-    # a seed is named by the position of the row inherited, -1 for none
-    demand = blocks.select(*keys, BLOCK, F.lit(-1).cast("long").alias("seed"), no_seed.alias("inherited"))
-
-    step_schema = T.StructType(
-        [*key_fields, block_field, T.StructField("seed", T.LongType()), T.StructField("handed", row_type, True)]
-    )
-    names = [*keys, BLOCK, "seed", "handed"]
-
-    def evaluate(wanted: DataFrame) -> DataFrame:
-        fed = (
-            rows.join(wanted, [*keys, BLOCK])
-            .select(*keys, BLOCK, "seed", "inherited", "row")
-            .repartition(*keys, BLOCK)
-            .sortWithinPartitions(*keys, BLOCK, "seed", "row.pos")
-        )
-        return fed.mapInPandas(_walk(keep, len(keys), payload, False, names), step_schema)
+    blocks = cut(rows.select(*keys, BLOCK).distinct().withColumn("_next", F.lead(BLOCK).over(along)))
+    if blocks.where(F.col("_next").isNotNull()).isEmpty():
+        return in_order(rows.select("*", *from_nothing)).mapInPandas(emit, T.StructType(final_fields))
 
+    # a seed is named by the position of the row inherited, -1 for none
+    step_fields = [*key_fields, block_field, T.StructField("seed", T.LongType()), T.StructField("_handed", T.LongType()), *state_fields("_out_")]
+    step = _walker(keep, len(keys), len(state), False, [f.name for f in step_fields])
+    demand = blocks.select(*keys, BLOCK, *from_nothing)
     steps = None
     for _ in range(10_000):
-        done = cut(evaluate(demand))
-        steps = done if steps is None else cut(steps.unionByName(done))
+        done = cut(in_order(rows.join(demand, [*keys, BLOCK])).mapInPandas(step, T.StructType(step_fields)))
+        steps = done if steps is None else steps.unionByName(done)
         handed = (
             done.join(blocks, [*keys, BLOCK])
-            .where(F.col("next_blk").isNotNull())
-            .select(
-                *keys,
-                F.col("next_blk").alias(BLOCK),
-                F.coalesce(F.col("handed.pos"), F.lit(-1)).alias("seed"),
-                F.col("handed").alias("inherited"),
-            )
-            .groupBy(*keys, BLOCK, "seed")
-            .agg(F.first("inherited").alias("inherited"))
+            .where(F.col("_next").isNotNull())
+            .select(*keys, F.col("_next").alias(BLOCK), F.col("_handed").alias("seed"), *[F.col(f"_out_{c}").alias(f"_in_{c}") for c in state])
+            .dropDuplicates([*keys, BLOCK, "seed"])
         )
         demand = cut(handed.join(steps.select(*keys, BLOCK, "seed"), [*keys, BLOCK, "seed"], "left_anti"))
         if demand.isEmpty():
@@ -125,40 +143,12 @@ def last_kept(
     else:
         raise RuntimeError("chain blocks did not settle")
 
-    # follow the true hand-overs; one step row per block, streamed in order
-    path_schema = T.StructType([*key_fields, block_field, T.StructField("inherited", row_type, True)])
-
-    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, blk, seed, ref, nxt = None, None, -1, None, (-1, None)
-        n = len(keys)
-        for batch in batches:
-            out = []
-            for item in zip(*[batch[c].tolist() for c in batch.columns]):
-                if item[:n] != key:
-                    key, blk, nxt = item[:n], None, (-1, None)
-                if item[n] != blk:
-                    blk = item[n]
-                    seed, ref = nxt
-                    out.append(key + (blk, ref))
-                if item[n + 1] == seed:
-                    handed = item[n + 2]
-                    nxt = (-1, None) if handed is None else (handed["pos"], handed)
-            if out:
-                yield pd.DataFrame(out, columns=[*keys, BLOCK, "inherited"])
-
+    path_fields = [*key_fields, block_field, T.StructField("seed", T.LongType()), *state_fields("_in_")]
+    follow = _follower(len(keys), len(state), [f.name for f in path_fields])
     path = (
-        steps.repartition(*keys)
+        steps.select(*[f.name for f in step_fields])
+        .repartition(*keys)
         .sortWithinPartitions(*keys, BLOCK, "seed")
-        .mapInPandas(follow, path_schema)
-    )
-    final_schema = T.StructType(
-        [*key_fields, T.StructField(position, T.LongType()), T.StructField("ref", row_type, True),
-         T.StructField("kept", T.BooleanType())]
-    )
-    fed = (
-        rows.join(path, [*keys, BLOCK])
-        .select(*keys, BLOCK, F.lit(0).cast("long").alias("seed"), "inherited", "row")
-        .repartition(*keys, BLOCK)
-        .sortWithinPartitions(*keys, BLOCK, "row.pos")
+        .mapInPandas(follow, T.StructType(path_fields))
     )
-    return fed.mapInPandas(_walk(keep, len(keys), payload, True, [*keys, position, "ref", "kept"]), final_schema)
+    return in_order(rows.join(path, [*keys, BLOCK])).mapInPandas(emit, T.StructType(final_fields))

@@ -41,35 +41,28 @@ def connected_components(edges: DataFrame, node: str, identifier: str) -> DataFr
     ``edges`` holds one row per (node, identifier); rows with a null identifier
     only declare the node.
     """
-    nodes = edges.select(F.col(node).alias("node")).distinct()
-    current = cut(
-        edges.where(F.col(identifier).isNotNull())
-        .select(F.col(node).alias("node"), F.col(identifier).alias("ident"))
-        .distinct()
-    )
-    labels = nodes.select("node", F.col("node").alias("component"))
+    declared = edges.select(F.col(node).alias("node"), F.col(identifier).alias("ident")).distinct()
+    current = declared = cut(declared)
+    rows = current.count()  # later tables are smaller, so its share of hot keys stays bounded
+    labels = declared.select("node", F.col("node").alias("component")).distinct()
     for round_number in range(1, 200):
         priority = F.struct(F.xxhash64(F.col("node"), F.lit(round_number)).alias("h"), F.col("node").alias("node"))
         picks = (
-            current.groupBy("ident")
+            current.where(F.col("ident").isNotNull())
+            .groupBy("ident")
             .agg(F.max(priority).alias("pick"), F.min("node").alias("lo"), F.max("node").alias("hi"))
             .where(F.col("lo") != F.col("hi"))
             .select("ident", "pick")
         )
-        rows = current.count()
-        shared = cut(join_one_per_key(current, picks, "ident", rows))
-        if shared.isEmpty():
+        best = join_one_per_key(current, picks, "ident", rows).groupBy("node").agg(F.max("pick").alias("pick"))
+        moves = cut(best.select("node", F.col("pick.node").alias("to")))
+        if moves.isEmpty():
             break
-        moves = cut(shared.groupBy("node").agg(F.max("pick").alias("pick")).select("node", F.col("pick.node").alias("to")))
-        labels = cut(
-            labels.join(moves.withColumnRenamed("node", "component"), "component", "left").select(
-                "node", F.coalesce("to", "component").alias("component")
-            )
+        labels = labels.join(moves.withColumnRenamed("node", "component"), "component", "left").select(
+            "node", F.coalesce("to", "component").alias("component")
         )
         current = cut(
-            join_one_per_key(shared.select("node", "ident"), moves, "node", rows)
-            .select(F.col("to").alias("node"), "ident")
-            .distinct()
+            join_one_per_key(current, moves, "node", rows).select(F.col("to").alias("node"), "ident").distinct()
         )
     else:
         raise RuntimeError("component search did not settle")

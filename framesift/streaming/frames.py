@@ -8,6 +8,7 @@ of scenes that went quiet.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -106,7 +107,7 @@ def throttle_batch(frames: DataFrame, interval_s: float, cap: int = 0, keys: tup
     """The same rule over a stored table (``seq`` orders a scene, ``ts`` is a timestamp)."""
     keys = list(keys)
 
-    def keep(ref, row):
+    def keep(ref, row, _):
         return ref is None or (row[0] - ref[0]) / 1e6 >= interval_s
 
     moments = frames.select(*keys, "seq", F.unix_micros(F.col("ts").cast("timestamp")).alias("moment"))
@@ -126,14 +127,15 @@ def online_gate(stream: DataFrame) -> DataFrame:
     output = _ddl(stream) + ", ref_area double, ref_cx double, ref_cy double, good boolean"
 
     def step(rows, state):
-        ref = None if state is None or state[0] is None else (state[0], state[1], state[2], None)
+        ref = None if state is None or state[0] is None else (*state, None)
         out = []
         for r in rows.itertuples(index=False):
-            limits = {"min_ratio": r.min_ratio, "max_ratio": r.max_ratio, "max_shift": r.max_shift, "diagonal": r.diagonal}
-            good = bool(_motion_ok(ref, (r.area, r.cx, r.cy, None, bool(r.usable), bool(r.registration), limits)))
+            limits = (r.min_ratio, r.max_ratio, r.max_shift, math.inf, math.inf, r.diagonal)
+            current = (r.area, r.cx, r.cy, None)
+            good = _motion_ok(ref, current, (bool(r.usable), bool(r.registration), *limits))
             out.append((*(ref[:3] if ref else (None, None, None)), good))
             if good:
-                ref = (r.area, r.cx, r.cy, None)
+                ref = current
         added = pd.DataFrame(out, columns=["ref_area", "ref_cx", "ref_cy", "good"], index=rows.index)
         return pd.concat([rows, added], axis=1), (ref[:3] if ref else (None, None, None))
 
