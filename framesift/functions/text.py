@@ -190,25 +190,26 @@ def relative_path(path: Column, base: Column, inside: Column) -> Column:
 def rewrite_json_paths(document: Column, rewrite) -> tuple[Column, Column]:
     """Rewrite path strings that are values anywhere in JSON text.
 
-    Returns the new text and the number of changed strings.  The text is cut at
-    its string literals, so nesting depth and schema do not matter; a literal
-    followed by a colon is an object key and stays.
+    Returns the new text and the number of changed strings.  Escaped backslashes and
+    quotes are parked as control characters, which valid JSON never holds in the raw, so
+    the text splits at its quotes: every second piece is a string, and one followed by a
+    colon is an object key and stays.  Nesting depth and schema do not matter.
     """
-    tokens = F.regexp_extract_all(document, F.lit(r'(?s)"(?:[^"\\]|\\.)*"\s*:?|[^"]+'), F.lit(0))
-
-    def renew(token):
-        is_value = token.startswith('"') & ~token.rlike(r'(?s)":$|"\s+:$')
-        body = F.regexp_extract(token, r'(?s)^"((?:[^"\\]|\\.)*)"\s*$', 1)
-        plain = F.replace(F.replace(body, F.lit(r"\/"), F.lit("/")), F.lit("\\\\"), F.lit("\\"))
-        moved = rewrite(plain)
-        return F.struct(
-            F.when(is_value & moved.isNotNull(), F.to_json(F.array(moved))).alias("new"), token.alias("old")
-        )
-
-    pieces = F.transform(tokens, renew)
-    text = F.array_join(
-        F.transform(pieces, lambda p: F.coalesce(F.regexp_replace(p["new"], r"(?s)^\[|\]$", ""), p["old"])),
-        "",
-    )
+    parked = F.replace(F.replace(document, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    parts = F.split(parked, '"')
+
+    def restored(piece):
+        return F.replace(F.replace(piece, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+
+    def renew(piece, i):
+        is_value = (i % 2 == 1) & ~F.coalesce(F.try_element_at(parts, i + 2).rlike(r"^\s*:"), F.lit(False))
+        candidate = is_value & (piece.startswith("/") | piece.startswith("\\"))
+        plain = F.when(candidate, F.get_json_object(F.concat(F.lit('["'), restored(piece), F.lit('"]')), "$[0]"))
+        encoded = F.to_json(F.array(rewrite(plain)))
+        moved = F.when(rewrite(plain).isNotNull(), F.substring(encoded, F.lit(3), F.length(encoded) - 4))
+        return F.struct(moved.alias("new"), restored(piece).alias("old"))
+
+    pieces = F.transform(parts, renew)
+    text = F.array_join(F.transform(pieces, lambda p: F.coalesce(p["new"], p["old"])), '"')
     changes = F.size(F.filter(pieces, lambda p: p["new"].isNotNull()))
     return text, changes
