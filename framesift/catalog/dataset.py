@@ -95,7 +95,7 @@ def _doc_labels(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     known = v.table(spark, sf_dir, "labels").select("doc_id")
     split = lambda c: F.when(c % 5 == 0, "val").otherwise("train")
     own = known.select(split(F.col("doc_id")).alias("split"), F.col("doc_id").cast("string").alias("stem"))
-    stray = v.table(spark, sf_dir, "documents").where("doc_id % 19 = 0").select(
+    stray = v.table(spark, sf_dir, "documents").where("lang = 'es'").select(
         split(F.col("doc_id")).alias("split"), (F.col("doc_id") + 1000000).cast("string").alias("stem")
     )
     return images, own.unionByName(stray)
@@ -103,7 +103,7 @@ def _doc_labels(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 _DOC_LABELS = """im AS (SELECT CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, CAST(doc_id AS VARCHAR) AS stem FROM documents), lb AS (
   SELECT CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, CAST(doc_id AS VARCHAR) AS stem FROM labels UNION ALL
-  SELECT CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END, CAST(doc_id + 1000000 AS VARCHAR) FROM documents WHERE doc_id % 19 = 0)"""
+  SELECT CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END, CAST(doc_id + 1000000 AS VARCHAR) FROM documents WHERE lang = 'es')"""
 
 
 def pairing(spark, sf_dir) -> DataFrame:
@@ -165,10 +165,10 @@ def negative_violations(spark, sf_dir) -> DataFrame:
     """Empty labels, filled negatives, and negatives without an image."""
     files = _label_files(spark, sf_dir)
     lines = val.numbered_lines(files)
-    p = v.table(spark, sf_dir, "part").select("p_partkey")
+    p = v.table(spark, sf_dir, "part").select("p_partkey", "p_size")
     k = F.col("p_partkey")
     stem = F.when(k % 3 == 0, k + 500000).otherwise(k)
-    negatives = p.where("p_partkey % 10 < 4").select(F.when(k % 5 == 0, "val").otherwise("train").alias("split"), stem.cast("string").alias("stem"))
+    negatives = p.where("p_size < 20").select(F.when(k % 5 == 0, "val").otherwise("train").alias("split"), stem.cast("string").alias("stem"))
     empties = files.select("split", "stem").unionByName(
         p.select(F.when(k % 5 == 0, "val").otherwise("train").alias("split"), (k + 600000).cast("string").alias("stem"))
     )
@@ -177,7 +177,7 @@ def negative_violations(spark, sf_dir) -> DataFrame:
 
 
 NEGATIVE_VIOLATIONS = f"""WITH {_PART_LINES}, ng AS (
-  SELECT DISTINCT CASE WHEN p_partkey % 5 = 0 THEN 'val' ELSE 'train' END AS split, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 500000 ELSE p_partkey END AS VARCHAR) AS stem FROM part WHERE p_partkey % 10 < 4), em AS (
+  SELECT DISTINCT CASE WHEN p_partkey % 5 = 0 THEN 'val' ELSE 'train' END AS split, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_partkey + 500000 ELSE p_partkey END AS VARCHAR) AS stem FROM part WHERE p_size < 20), em AS (
   SELECT DISTINCT split, stem FROM pl UNION SELECT CASE WHEN p_partkey % 5 = 0 THEN 'val' ELSE 'train' END, CAST(p_partkey + 600000 AS VARCHAR) FROM part), fl AS (SELECT DISTINCT split, stem FROM ln)
 SELECT CASE WHEN fl.stem IS NULL THEN 'empty_label_not_reviewed' ELSE 'reviewed_negative_has_label' END AS rule, em.split || '/' || em.stem AS key
 FROM em LEFT JOIN fl USING (split, stem) LEFT JOIN ng ON ng.split = em.split AND ng.stem = em.stem WHERE (fl.stem IS NULL) = (ng.stem IS NULL)
@@ -326,19 +326,21 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(DISTINCT l_partkey
 
 def scene_outputs(spark, sf_dir) -> DataFrame:
     """Files named after a scene against the accepted ids of that scene (names nest)."""
-    o = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     k, c = F.col("o_orderkey"), (F.col("o_custkey") % 20).cast("string")
     scene = F.when(k % 2 == 0, F.concat(F.lit("can_"), c)).otherwise(F.concat(F.lit("can_"), c, F.lit("_1")))
     name = F.concat_ws("_", scene, k.cast("string"))
-    rows = o.select(scene.alias("scene"), name.alias("output_id"), name.alias("stem"), k.alias("k"))
+    rows = o.select(scene.alias("scene"), name.alias("output_id"), name.alias("stem"), "o_orderstatus", "o_orderpriority", "o_totalprice")
     scenes = rows.select("scene").distinct()
-    accepted = rows.where("k % 7 <> 0")
-    return val.scene_output_differences(scenes, accepted, rows.where("k % 11 <> 0"), rows.where("k % 13 <> 0"))
+    accepted = rows.where("o_orderstatus <> 'P'")
+    return val.scene_output_differences(scenes, accepted, rows.where("o_orderpriority <> '5-LOW'"), rows.where("o_totalprice > 90000"))
 
 
-SCENE_OUTPUTS = """WITH r AS (SELECT o_orderkey AS k, 'can_' || (o_custkey % 20) || CASE WHEN o_orderkey % 2 = 1 THEN '_1' ELSE '' END AS scene FROM orders), f AS (
-  SELECT k, scene, scene || '_' || k AS id FROM r), sc AS (SELECT DISTINCT scene FROM f), e AS (SELECT scene, id FROM f WHERE k % 7 <> 0),
-i AS (SELECT sc.scene, f.id, bool_or(k % 11 <> 0) AS im, bool_or(k % 13 <> 0) AS lb FROM sc JOIN f ON starts_with(f.id, sc.scene || '_') WHERE k % 11 <> 0 OR k % 13 <> 0 GROUP BY ALL)
+SCENE_OUTPUTS = """WITH f AS (
+  SELECT 'can_' || (o_custkey % 20) || CASE WHEN o_orderkey % 2 = 1 THEN '_1' ELSE '' END AS scene,
+         'can_' || (o_custkey % 20) || CASE WHEN o_orderkey % 2 = 1 THEN '_1' ELSE '' END || '_' || o_orderkey AS id,
+         o_orderstatus <> 'P' AS acc, o_orderpriority <> '5-LOW' AS im, o_totalprice > 90000 AS lb FROM orders), sc AS (SELECT DISTINCT scene FROM f), e AS (SELECT scene, id FROM f WHERE acc),
+i AS (SELECT sc.scene, f.id, bool_or(im) AS im, bool_or(lb) AS lb FROM sc JOIN f ON starts_with(f.id, sc.scene || '_') WHERE im OR lb GROUP BY ALL)
 SELECT CASE WHEN e.id IS NULL THEN 'extra_output' ELSE 'missing_output' END AS rule, coalesce(e.scene, i.scene) AS scene, coalesce(e.id, i.id) AS output_id
 FROM e FULL JOIN i ON e.scene = i.scene AND e.id = i.id WHERE (e.id IS NULL) OR NOT (coalesce(im, false) AND coalesce(lb, false))"""
 
@@ -379,13 +381,13 @@ SELECT split, (SELECT count(DISTINCT stem) FROM pl WHERE pl.split = s.split) AS
 def checksum_violations(spark, sf_dir) -> DataFrame:
     d = v.table(spark, sf_dir, "documents")
     path = F.concat(F.lit("f"), F.col("doc_id").cast("string"))
-    files = d.where("doc_id % 10 <> 3").select(path.alias("path"), F.sha2("text", 256).alias("sha256"))
+    files = d.where("lang <> 'fr'").select(path.alias("path"), F.sha2("text", 256).alias("sha256"))
     expected = d.select(path.alias("path"), F.when(F.col("doc_id") % 6 == 0, F.sha2("lang", 256)).otherwise(F.upper(F.sha2("text", 256))).alias("sha256"))
     return inventory.checksum_violations(expected, files)
 
 
-CHECKSUMS = """SELECT CASE WHEN doc_id % 10 = 3 THEN 'file_missing' ELSE 'digest_mismatch' END AS rule, 'f' || doc_id AS key FROM documents
-WHERE doc_id % 10 = 3 OR (doc_id % 6 = 0 AND sha256(lang) <> sha256(text))"""
+CHECKSUMS = """SELECT CASE WHEN lang = 'fr' THEN 'file_missing' ELSE 'digest_mismatch' END AS rule, 'f' || doc_id AS key FROM documents
+WHERE lang = 'fr' OR (doc_id % 6 = 0 AND sha256(lang) <> sha256(text))"""
 
 assert sorted(OFFICIAL_CLASSES) == KNOWN
 

@@ -253,7 +253,7 @@ def _box_overlaps(items: DataFrame) -> DataFrame:
 
 def _verdicts(spark, sf_dir) -> DataFrame:
     items = _items(spark, sf_dir)
-    images = v.measurements(spark, sf_dir).where("ord = 0 and event_id % 41 <> 0").select("scene_id", "frame_id")
+    images = v.measurements(spark, sf_dir).where("event_type <> 'signup'").select("scene_id", "frame_id")
     return verdict.frame_verdicts(_expected(spark, sf_dir), items, _box_overlaps(items), max_overlap=0.05, images=images)
 
 
@@ -282,7 +282,7 @@ cf AS (
   WHERE greatest(least(a.cx - a.h + a.bw, b.cx - b.h + b.bw) - greatest(a.cx - a.h, b.cx - b.h), 0)
       * greatest(least(a.cy - a.h + a.bw, b.cy - b.h + b.bw) - greatest(a.cy - a.h, b.cy - b.h), 0) / least(a.bw * a.bw, b.bw * b.bw) > 0.05
   GROUP BY ALL),
-im AS (SELECT DISTINCT scene_id, frame_id FROM m WHERE ord = 0 AND event_id % 41 <> 0),
+im AS (SELECT DISTINCT scene_id, frame_id FROM m WHERE event_type <> 'signup'),
 ne AS (SELECT scene_id, frame_id, count(*) AS n FROM ex GROUP BY ALL),
 vd AS (
   SELECT i.scene_id, i.frame_id, coalesce(ne.n, 0) AS n_expected, coalesce(ob.cnt, 0) AS n_observed, coalesce(any_line, false) AS any_line,

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import detections, metrics, segments as seg
 from ..plans.blocks import index_block
-from ..plans.ordered import scan
 from . import views as v
 
 MAX_FRAMES = 10
@@ -42,20 +41,20 @@ def _gaps(spark, sf_dir) -> DataFrame:
 
 
 def timestamp_gaps(spark, sf_dir) -> DataFrame:
-    return _gaps(spark, sf_dir).select("scene_id", "frame_id", v.r6("gap_ms", "gap_ms"), v.long(F.col("is_gap"), "is_gap"))
+    return _gaps(spark, sf_dir).select("scene_id", "frame_id", F.round("gap_ms", 3).alias("gap_ms"), v.long(F.col("is_gap"), "is_gap"))
 
 
 def gap_limits(spark, sf_dir) -> DataFrame:
     found = seg.gap_limits(_timed(spark, sf_dir))
-    return found.select("scene_id", v.r6("median_gap_ms", "median_gap_ms"), v.r6("gap_limit_ms", "gap_limit_ms"))
+    return found.select("scene_id", F.round("median_gap_ms", 3).alias("median_gap_ms"), F.round("gap_limit_ms", 3).alias("gap_limit_ms"))
 
 
 _GAPS = f"""{v.EVENTS}, t AS (SELECT *, CASE WHEN event_id % 31 <> 0 THEN epoch_us(ts) / 1000::DOUBLE END AS ms FROM ev), b AS (
   SELECT *, last_value(ms IGNORE NULLS) OVER (PARTITION BY scene_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM t), lim AS (
   SELECT scene_id, quantile_cont(ms - pm, 0.5) AS med FROM b WHERE ms - pm > 0 GROUP BY scene_id), gp AS (
   SELECT b.*, ms - pm AS gap_ms, coalesce(ms - pm > med * 3, false) AS is_gap FROM b LEFT JOIN lim USING (scene_id))"""
-TIMESTAMP_GAPS = f"WITH {_GAPS} SELECT scene_id, frame_id, round(gap_ms, 6) AS gap_ms, CAST(is_gap AS BIGINT) AS is_gap FROM gp"
-GAP_LIMITS = f"WITH {_GAPS} SELECT scene_id, round(med, 6) AS median_gap_ms, round(med * 3, 6) AS gap_limit_ms FROM lim"
+TIMESTAMP_GAPS = f"WITH {_GAPS} SELECT scene_id, frame_id, round(gap_ms, 3) AS gap_ms, CAST(is_gap AS BIGINT) AS is_gap FROM gp"
+GAP_LIMITS = f"WITH {_GAPS} SELECT scene_id, round(med, 3) AS median_gap_ms, round(med * 3, 3) AS gap_limit_ms FROM lim"
 
 
 def _bounded(spark, sf_dir) -> DataFrame:
@@ -94,12 +93,13 @@ def _positioned(spark, sf_dir) -> DataFrame:
 def segment_of_frame(spark, sf_dir) -> DataFrame:
     """Segments listed backwards and with overlaps; the first listed one wins."""
     e = _positioned(spark, sf_dir)
-    listed = e.where("position % 8 = 0").select(
+    starts = e.groupBy("scene_id", F.floor(F.col("position") / 8).alias("_run")).agg(F.min("position").alias("p"))
+    listed = starts.select(
         "scene_id",
-        F.concat(F.lit("g"), F.col("position").cast("string")).alias("segment_id"),
-        (-F.col("position")).alias("list_pos"),
-        (F.col("position") + 9).alias("start_pos"),
-        F.col("position").alias("end_pos"),
+        F.concat(F.lit("g"), F.col("p").cast("string")).alias("segment_id"),
+        (-F.col("p")).alias("list_pos"),
+        (F.col("p") + 9).alias("start_pos"),
+        F.col("p").alias("end_pos"),
     )
     return seg.segment_of_frame(e, listed).select("scene_id", "frame_id", "segment_id")
 
@@ -113,7 +113,7 @@ def usable_segments(spark, sf_dir) -> DataFrame:
     e = v.events(spark, sf_dir)
     odd = F.col("event_id") % 2 == 1
     other = F.lpad((F.col("idx") + 5).cast("string"), 6, "0")
-    listed = e.where("idx % 6 = 0 and event_type <> 'view' and user_id % 3 > 0").select(
+    listed = e.where("event_type <> 'view' and value > 20").select(
         "scene_id",
         F.col("idx").cast("string").alias("segment_id"),
         F.col("idx").alias("list_pos"),
@@ -125,16 +125,14 @@ def usable_segments(spark, sf_dir) -> DataFrame:
 
 USABLE_SEGMENTS = f"""WITH {v.EVENTS}, mx AS (SELECT scene_id, max(idx) AS last FROM ev GROUP BY 1), ok AS (
   SELECT ev.scene_id, CAST(idx AS VARCHAR) AS segment_id, idx AS a, idx + 5 AS b FROM ev JOIN mx USING (scene_id)
-  WHERE idx % 6 = 0 AND event_type <> 'view' AND user_id % 3 > 0 AND idx + 5 <= last), al AS (
+  WHERE event_type <> 'view' AND value > 20 AND idx + 5 <= last), al AS (
   SELECT * FROM ok UNION ALL SELECT scene_id, '0', 0, last FROM mx WHERE scene_id NOT IN (SELECT scene_id FROM ok))
 SELECT scene_id, segment_id, lpad(CAST(a AS VARCHAR), 6, '0') AS start_id, lpad(CAST(b AS VARCHAR), 6, '0') AS end_id, a AS start_pos, b AS end_pos FROM al"""
 
 
 def _starts(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     e = v.events(spark, sf_dir)
-    table = e.where(f"idx % {MAX_FRAMES} = 0").select(
-        "scene_id", F.floor(F.col("idx") / MAX_FRAMES).alias("segment_id"), F.col("frame_id").alias("start_id")
-    )
+    table = e.groupBy("scene_id", F.floor(F.col("idx") / MAX_FRAMES).alias("segment_id")).agg(F.min("frame_id").alias("start_id"))
     names = [("can_01", "can"), ("can_02", "can"), ("box_01", "meal_box")]
     roster = F.array(*[F.struct(F.lit(i).alias("instance_id"), F.lit(c).alias("class_name"), F.lit(f"/keys/{i}").alias("key_mask_dir")) for i, c in names])
     instances = e.select("scene_id").distinct().select("scene_id", F.inline(roster))
@@ -196,8 +194,10 @@ _DETECTORS = ("robot_objects", "trash_bins", "unified_crosscheck")
 def _routed(spark, sf_dir) -> DataFrame:
     table, instances, drawn = _starts(spark, sf_dir)
     e = v.events(spark, sf_dir)
+    # detections of the whole segment, so that every event takes part
     seen = e.select(
         "scene_id",
+        F.floor(F.col("idx") / MAX_FRAMES).alias("segment_id"),
         "frame_id",
         F.element_at(F.array(*[F.lit(d) for d in _DETECTORS]), (F.col("event_id") % 3 + 1).cast("int")).alias("detector"),
         F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("event_id") % 7 + 1).cast("int")).alias("source_class"),
@@ -206,11 +206,7 @@ def _routed(spark, sf_dir) -> DataFrame:
         (F.col("event_id") % 100).alias("det_index"),
     )
     missing = seg.missing_by_class(seg.key_mask_todo(table, instances, drawn), instances)
-    started = table.select("scene_id", F.floor(F.col("segment_id")).alias("segment_id"), "start_id")
-    # detections of the whole segment, so that every event takes part
-    placed = scan(seen, ["scene_id"], ["frame_id"], F.substring("frame_id", 1, 3), index="_p").withColumn("segment_id", F.floor(F.col("_p") / MAX_FRAMES)).drop("_p")
-    placed = placed.join(started.select("scene_id", "segment_id"), ["scene_id", "segment_id"], "left_semi")
-    return detections.route(placed, *detections.teacher_tables(spark), missing)
+    return detections.route(seen, *detections.teacher_tables(spark), missing)
 
 
 def detection_routing(spark, sf_dir) -> DataFrame:
@@ -232,6 +228,16 @@ _ROUTED = f"""{_TODO}, mc AS (SELECT scene_id, segment_id, class_name, string_ag
 DETECTION_ROUTING = f"WITH {_ROUTED} SELECT event_id, kind, official_class, classification, candidate_instance_ids FROM rt"
 
 
+def detections_at_starts(spark, sf_dir) -> DataFrame:
+    """Detections that fall on the first frame of a segment."""
+    table, _, _ = _starts(spark, sf_dir)
+    seen = v.events(spark, sf_dir).select("scene_id", "frame_id", "event_id")
+    return detections.at_segment_starts(seen, table).select("event_id", "segment_id")
+
+
+AT_STARTS = f"WITH {v.EVENTS} SELECT event_id, idx // {MAX_FRAMES} AS segment_id FROM ev WHERE idx % {MAX_FRAMES} = 0"
+
+
 def proposal_counts(spark, sf_dir) -> DataFrame:
     return detections.kind_counts(_routed(spark, sf_dir))
 
@@ -292,6 +298,7 @@ QUERIES = {
     "segment_readiness": (segment_readiness, SEGMENT_READINESS),
     "missing_by_class": (missing_by_class, MISSING_BY_CLASS),
     "detection_routing": (detection_routing, DETECTION_ROUTING),
+    "detections_at_starts": (detections_at_starts, AT_STARTS),
     "proposal_counts": (proposal_counts, f"WITH {_ROUTED} SELECT kind, count(*) AS detections FROM rt GROUP BY kind"),
     "proposals": (proposals, PROPOSALS),
     "promotion_check": (promotion_check, PROMOTION),

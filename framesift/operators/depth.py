@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .masks import MASK, TILE, erode, pixels, tiles
+from ..functions.geometry import back_project
+from .masks import MASK, TILE, erode, tiles
 
 
 def under_mask(mask_tiles: DataFrame, depth_rows: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:
@@ -75,54 +76,51 @@ def frame_depth_ratios(depth_rows: DataFrame, min_mm: int = 100, max_mm: int = 5
     )
 
 
-def instance_positions(
-    pixel_rows: DataFrame,
+def measure_instances(
+    runs: DataFrame,
+    depth_rows: DataFrame,
     intrinsics: dict[str, float],
-    keys: Sequence[str] = MASK,
+    width: int,
+    height: int,
     *,
     min_mm: int = 100,
     max_mm: int = 5000,
     min_pixels: int = 20,
+    keys: Sequence[str] = MASK,
 ) -> DataFrame:
     """Median X, Y, Z in metres of each mask.
 
-    pixel_rows  ``keys, x, y, depth_mm, inner`` where ``inner`` marks pixels left by erosion.
-    Inner pixels are used when enough of them are valid, else all valid pixels; with
-    too few of those the result is null.
+    Valid pixels left by a 3x3 erosion are used when there are enough of them, else all
+    valid pixels; with too few of those the result is null.  Which of the two applies is
+    decided on bit counts per tile; only the pixels that count are unfolded.
     """
-    valid = F.col("depth_mm").between(min_mm, max_mm)
-    z = F.col("depth_mm").cast("double") * F.lit(0.001)
-    x = (F.col("x") - F.lit(float(intrinsics["cx"]))) * z / F.lit(float(intrinsics["fx"]))
-    y = (F.col("y") - F.lit(float(intrinsics["cy"]))) * z / F.lit(float(intrinsics["fy"]))
-    aggregates = [F.count_if(valid).alias("n_all"), F.count_if(valid & F.col("inner")).alias("n_inner")]
-    for name, value in (("x", x), ("y", y), ("z", z)):
-        aggregates.append(F.percentile(F.when(valid, value), 0.5).alias(f"{name}_all"))
-        aggregates.append(F.percentile(F.when(valid & F.col("inner"), value), 0.5).alias(f"{name}_inner"))
-    found = pixel_rows.groupBy(*keys).agg(*aggregates)
-    inner = F.col("n_inner") >= min_pixels
-    used = F.when(inner, F.col("n_inner")).otherwise(F.col("n_all"))
-
-    def chosen(name: str):
-        value = F.when(inner, F.col(f"{name}_inner")).otherwise(F.col(f"{name}_all"))
-        return F.when(used >= min_pixels, value)
-
-    return found.select(
-        *keys,
-        used.alias("valid_pixels"),
-        chosen("x").alias("x_m"),
-        chosen("y").alias("y_m"),
-        chosen("z").alias("depth_m"),
+    keys = list(keys)
+    merged = tiles(runs, keys)
+    inner = erode(merged, width, height, keys).withColumnRenamed("bits", "inner")
+    lines = depth_rows.select("scene_id", "frame_id", "y", "depth_mm")
+    rows = merged.join(inner, [*keys, "y", "tile"], "left").join(lines, ["scene_id", "frame_id", "y"], "left")
+    rows = rows.withColumn("d", F.slice("depth_mm", F.col("tile").cast("int") * TILE + 1, TILE)).drop("depth_mm")
+    zero = F.lit(0).cast("long")
+    flags = F.transform("d", lambda d, i: F.when(d.between(min_mm, max_mm), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(zero))
+    valid = F.coalesce(F.aggregate(flags, zero, lambda acc, bit: acc.bitwiseOR(bit)), zero)
+    rows = rows.withColumn("_all", F.col("bits").bitwiseAND(valid)).withColumn("_in", F.coalesce("inner", zero).bitwiseAND(F.col("_all")))
+    mask = Window.partitionBy(*keys)  # tiles of one mask: bounded by its image
+    rows = rows.withColumns({"_n_all": F.sum(F.bit_count("_all")).over(mask), "_n_in": F.sum(F.bit_count("_in")).over(mask)})
+    enough = F.col("_n_in") >= min_pixels
+    rows = rows.withColumns({"used": F.when(enough, F.col("_n_in")).otherwise(F.col("_n_all")), "pick": F.when(enough, F.col("_in")).otherwise(F.col("_all"))})
+    pairs = F.filter(
+        F.transform("d", lambda d, i: F.struct((F.col("tile") * TILE + i).alias("x"), d.alias("d"), i.alias("i"))),
+        lambda p: F.call_function("getbit", F.col("pick"), p["i"]) == 1,
+    )
+    unfolded = rows.select(*keys, "used", "y", F.explode_outer(F.when(F.col("used") >= min_pixels, pairs)).alias("p"))
+    z = F.col("p.d").cast("double") * F.lit(0.001)
+    fx, fy, cx, cy = (F.lit(float(intrinsics[k])) for k in ("fx", "fy", "cx", "cy"))
+    return unfolded.groupBy(*keys).agg(
+        F.max("used").alias("valid_pixels"),
+        F.percentile(back_project(F.col("p.x"), cx, z, fx), 0.5).alias("x_m"),
+        F.percentile(back_project(F.when(F.col("p").isNotNull(), F.col("y")), cy, z, fy), 0.5).alias("y_m"),
+        F.percentile(z, 0.5).alias("depth_m"),
     )
-
-
-def measure_instances(
-    runs: DataFrame, depth_rows: DataFrame, intrinsics: dict[str, float], width: int, height: int, **limits
-) -> DataFrame:
-    """Instance positions straight from runs and scan lines."""
-    merged = tiles(runs)
-    inner = pixels(erode(merged, width, height)).withColumn("inner", F.lit(True))
-    rows = under_mask(merged, depth_rows).join(inner, [*MASK, "y", "x"], "left")
-    return instance_positions(rows.fillna(False, ["inner"]), intrinsics, **limits)
 
 
 def flow_in_seed(flow: DataFrame, seed: DataFrame, width: int, height: int, limit: float = 0.35) -> DataFrame:

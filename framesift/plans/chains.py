@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -23,38 +24,89 @@ from .ordered import BLOCK
 Keep = Callable[[tuple | None, tuple, tuple], bool]
 
 
-def _walker(keep: Keep, n_keys: int, n_state: int, emit_rows: bool, names: list[str]):
-    """Per-partition pass over sorted rows: keys, block, seed, inherited state, position, state, extra."""
-    head_end = n_keys + 2
-    seed_end = head_end + n_state
-    state_end = seed_end + 1 + n_state
-    nothing = (None,) * n_state
+def _walker(keep: Keep, keys: list[str], state: list[str], extra: list[str], emit: str | None):
+    """Per-partition pass over rows sorted by keys, block, seed and position.
+
+    With ``emit`` (the name of the position column) every row comes out with the state of the row it
+    was compared with; otherwise one row per block and seed with the row handed on.
+    """
+    inherited = [f"_in_{c}" for c in state]
+    head = [*keys, BLOCK, "seed"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tag, ref, ref_pos = None, None, -1
+        tag = carried = None  # block in progress, and its last kept (position, state...)
         for batch in batches:
-            out: list[tuple] = []
-            for row in zip(*[batch[c].tolist() for c in batch.columns]):
-                if row[:head_end] != tag:
-                    if tag is not None and not emit_rows:
-                        out.append(tag + (ref_pos,) + (ref or nothing))
-                    tag = row[:head_end]
-                    ref_pos = tag[-1]
-                    ref = row[head_end:seed_end] if ref_pos >= 0 else None
-                current = row[seed_end + 1 : state_end]
-                kept = keep(ref, current, row[state_end:])
-                if emit_rows:
-                    out.append(row[:n_keys] + (row[seed_end], ref_pos) + (ref or nothing) + (kept,))
-                if kept:
-                    ref, ref_pos = current, row[seed_end]
-            if out:
-                yield pd.DataFrame(out, columns=names)
-        if tag is not None and not emit_rows:
-            yield pd.DataFrame([tag + (ref_pos,) + (ref or nothing)], columns=names)
+            n = len(batch)
+            if n == 0:
+                continue
+            heads = list(zip(*[batch[c].tolist() for c in head]))
+            rows = list(zip(*[batch[c].tolist() for c in state]))
+            extras = list(zip(*[batch[c].tolist() for c in extra])) if extra else [()] * n
+            positions = batch["_pos"].tolist()
+            seeds_in = None
+            source = [-1] * n  # row compared with: -1 none, 0 carried, 1 + i this batch, 1 + n + i inherited
+            kept = [False] * n
+            handed = []
+            before = carried
+            ref = None if carried is None else carried[1:]
+            at = -1 if carried is None else 0
+            for i in range(n):
+                if heads[i] != tag:
+                    if tag is not None and emit is None:
+                        handed.append((tag, at))
+                    tag = heads[i]
+                    ref, at = None, -1
+                    if tag[-1] >= 0:
+                        if seeds_in is None:
+                            seeds_in = list(zip(*[batch[c].tolist() for c in inherited]))
+                        ref, at = seeds_in[i], 1 + n + i
+                source[i] = at
+                if keep(ref, rows[i], extras[i]):
+                    kept[i] = True
+                    ref, at = rows[i], 1 + i
+
+            def pick(index: int):
+                if index < 0:
+                    return None
+                if index == 0:
+                    return before
+                if index <= n:
+                    return (positions[index - 1],) + rows[index - 1]
+                return (heads[index - 1 - n][-1],) + seeds_in[index - 1 - n]
+
+            if emit is not None:
+                where = np.asarray(source)
+                none = where < 0
+                out = {k: batch[k] for k in keys}
+                out[emit] = batch["_pos"]
+                first = before if before is not None else (None,) * (1 + len(state))
+                pools = [("ref_pos", first[0], batch["_pos"], batch["seed"])]
+                pools += [(f"ref_{c}", v, batch[c], batch[i]) for c, v, i in zip(state, first[1:], inherited)]
+                for name, value, own, seed in pools:
+                    pool = np.empty(2 * n + 1, dtype=object if own.dtype == object else "float64" if name != "ref_pos" else "int64")
+                    pool[0] = value if value is not None or pool.dtype == object else (-1 if name == "ref_pos" else np.nan)
+                    pool[1 : n + 1], pool[n + 1 :] = own.to_numpy(), seed.to_numpy()
+                    taken = pool[np.where(none, 0, where)]
+                    taken[none] = -1 if name == "ref_pos" else None if pool.dtype == object else np.nan
+                    out[name] = taken
+                out["kept"] = kept
+                yield pd.DataFrame(out)
+            elif handed:
+                yield _handed(handed, before, pick, head, state)
+            carried = pick(at)
+        if tag is not None and emit is None:
+            yield _handed([(tag, 0 if carried is not None else -1)], carried, lambda i: carried, head, state)
 
     return run
 
 
+def _handed(items, before, pick, head: list[str], state: list[str]) -> pd.DataFrame:
+    nothing = (-1,) + (None,) * len(state)
+    return pd.DataFrame(
+        [tag + (pick(at) or nothing) for tag, at in items], columns=[*head, "_handed", *[f"_out_{c}" for c in state]]
+    )
+
+
 def _follower(n_keys: int, n_state: int, names: list[str]):
     """Follow the true hand-overs: keys, block, seed, handed position, handed state; sorted by block."""
     nothing = (None,) * n_state
@@ -113,19 +165,21 @@ def last_kept(
         *state_fields("ref_"),
         T.StructField("kept", T.BooleanType()),
     ]
-    emit = _walker(keep, len(keys), len(state), True, [f.name for f in final_fields])
+    emit = _walker(keep, keys, state, extra, position)
+    # as many tasks as a shuffle has: the rows are compact, the work per row is not
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def in_order(fed: DataFrame) -> DataFrame:
-        return fed.select(*columns).repartition(*keys, BLOCK).sortWithinPartitions(*keys, BLOCK, "seed", "_pos")
+        return fed.select(*columns).repartition(tasks, *keys, BLOCK).sortWithinPartitions(*keys, BLOCK, "seed", "_pos")
 
     along = Window.partitionBy(*keys).orderBy(BLOCK)
     blocks = cut(rows.select(*keys, BLOCK).distinct().withColumn("_next", F.lead(BLOCK).over(along)))
-    if blocks.where(F.col("_next").isNotNull()).isEmpty():
+    if blocks.where(F.col("_next").isNotNull()).isEmpty():  # every sequence fits one block
         return in_order(rows.select("*", *from_nothing)).mapInPandas(emit, T.StructType(final_fields))
 
     # a seed is named by the position of the row inherited, -1 for none
     step_fields = [*key_fields, block_field, T.StructField("seed", T.LongType()), T.StructField("_handed", T.LongType()), *state_fields("_out_")]
-    step = _walker(keep, len(keys), len(state), False, [f.name for f in step_fields])
+    step = _walker(keep, keys, state, extra, None)
     demand = blocks.select(*keys, BLOCK, *from_nothing)
     steps = None
     for _ in range(10_000):

@@ -111,7 +111,10 @@ def throttle_batch(frames: DataFrame, interval_s: float, cap: int = 0, keys: tup
         return ref is None or (row[0] - ref[0]) / 1e6 >= interval_s
 
     moments = frames.select(*keys, "seq", F.unix_micros(F.col("ts").cast("timestamp")).alias("moment"))
-    kept = last_kept(moments, keys, "seq", index_block(F.col("seq")), ["moment"], keep).where("kept").select(*keys, "seq")
+    # sequence numbers may be sparse; blocks are cut by the dense index
+    placed = scan(moments, keys, ["seq"], index_block(F.col("seq")), index="_i")
+    chosen = last_kept(placed, keys, "_i", index_block(F.col("_i")), ["moment"], keep).where("kept")
+    kept = placed.join(chosen.select(*keys, "_i"), [*keys, "_i"], "left_semi").select(*keys, "seq")
     if cap > 0:
         kept = scan(kept, keys, ["seq"], index_block(F.col("seq")), index="_i").where(F.col("_i") < cap).drop("_i")
     return frames.join(kept, [*keys, "seq"], "left_semi")
