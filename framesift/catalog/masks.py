@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import depth, masks
+from ..constants import MASK_SEQUENCE_THRESHOLDS
+from ..operators import annotate, depth, masks
+from ..operators.quality import resolve_thresholds
+from ..plans.blocks import text_block
+from ..plans.ordered import scan
 from ..plans.quantiles import exact_quantiles
 from . import views as v
 
@@ -232,7 +236,70 @@ DEPTH_QUANTILES = """SELECT l_returnflag, count(l_extendedprice) AS readings, ro
        round(quantile_cont(l_extendedprice, 0.95), 6) AS p95 FROM lineitem GROUP BY 1"""
 
 
+def _annotation(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Frames, instances, mask files and runs of the drawn masks."""
+    runs = v.mask_runs(spark, sf_dir)
+    files = runs.select(*M).distinct()
+    frames = scan(files.select("scene_id", "frame_id").distinct(), ["scene_id"], ["frame_id"], text_block(F.col("frame_id")), index="frame_index")
+    frames = frames.withColumns({"width": F.lit(v.MASK_WIDTH), "height": F.lit(v.MASK_HEIGHT)})
+    names = F.array(*[F.struct(F.lit(f"m{i}").alias("instance_id"), F.lit(i).alias("ord"), F.lit(i).alias("class_id"), F.lit(0).alias("start"), F.lit(0).alias("max_frames")) for i in range(3)])
+    instances = files.select("scene_id").distinct().select("scene_id", F.inline(names))
+    return frames, instances, files, runs
+
+
+def _scored(spark, sf_dir):
+    frames, instances, files, runs = _annotation(spark, sf_dir)
+    limits = resolve_thresholds(F.lit(None).cast("map<string,double>"), defaults={**MASK_SEQUENCE_THRESHOLDS, "max_area_fraction": 0.95, "min_dominant_component_ratio": 0.3})
+    return frames, instances, runs, annotate.score_masks(frames, instances, files, runs, v.depth_rows(spark, sf_dir), limits)
+
+
+def mask_scores(spark, sf_dir) -> DataFrame:
+    """Runs and scan lines to graded records: the whole scoring chain in one query."""
+    records = _scored(spark, sf_dir)[3]
+    return records.select(*M, "status", v.joined("reject_reasons"), v.joined("review_reasons"), "line", v.r6("area_ratio", "area_ratio"))
+
+
+def mask_verdicts(spark, sf_dir) -> DataFrame:
+    """Runs and scan lines to frame verdicts with labels."""
+    frames, instances, runs, records = _scored(spark, sf_dir)
+    found = annotate.aggregate_frames(frames, instances, records, runs, max_overlap=0.9, include_review=True)
+    return found.select("output_id", "status", v.joined("reasons"), "label_text")
+
+
+_FRAGMENTS = MASK_FRAGMENTS.rsplit("SELECT scene_id", 1)[0].removeprefix("WITH RECURSIVE ").rstrip()
+_SCORES = f"""{_FRAGMENTS}, fg AS (SELECT scene_id, frame_id, instance_id, max(s) / sum(s) AS dom FROM sz GROUP BY ALL), ms AS (
+  SELECT scene_id, frame_id, instance_id, count(*) AS area, min(x) AS x1, min(y) AS y1, max(x) + 1 AS x2, max(y) + 1 AS y2, count(*) FILTER ({v.DEPTH_OF_PX} > 0) / count(*) AS cov FROM px GROUP BY ALL), fr AS (
+  SELECT scene_id, frame_id, row_number() OVER (PARTITION BY scene_id ORDER BY frame_id) - 1 AS n FROM (SELECT DISTINCT scene_id, frame_id FROM px)), al AS (
+  SELECT fr.*, 'm' || i AS instance_id, i AS ord FROM fr, range(0, 3) t(i)), b AS (
+  SELECT al.*, area IS NOT NULL AS has_mask, coalesce(area, 0) AS area, x1, y1, x2, y2, (x1 + x2) * 0.5::DOUBLE AS cx, (y1 + y2) * 0.5::DOUBLE AS cy, cov, dom,
+    concat_ws('|', CASE WHEN area < 80 THEN 'mask_area_too_small' END, CASE WHEN area / 3840 < 0.00015 THEN 'object_too_small_in_image' END, CASE WHEN area / 3840 > 0.95 THEN 'object_too_large_in_image' END,
+      CASE WHEN cov < 0.25 THEN 'depth_coverage_too_low' END, CASE WHEN dom < 0.3 THEN 'mask_fragmented' END) AS rej
+  FROM al LEFT JOIN ms USING (scene_id, frame_id, instance_id) LEFT JOIN fg USING (scene_id, frame_id, instance_id)), r AS (
+  SELECT scene_id, instance_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS ra, CAST(NULL AS DOUBLE) AS rx, CAST(NULL AS DOUBLE) AS ry FROM b WHERE n = 0 UNION ALL
+  SELECT scene_id, instance_id, n + 1, CASE WHEN k THEN area ELSE ra END, CASE WHEN k THEN cx ELSE rx END, CASE WHEN k THEN cy ELSE ry END FROM (
+    SELECT r.*, b.area, b.cx, b.cy, has_mask AND rej = '' AND (r.n = 0 OR ra IS NULL OR NOT (area / ra < 0.35 OR area / ra > 2.8
+      OR sqrt((cx - rx) * (cx - rx) + (cy - ry) * (cy - ry)) / sqrt(160 * 160 + 24 * 24) > 0.40)) AS k
+    FROM r JOIN b ON b.scene_id = r.scene_id AND b.instance_id = r.instance_id AND b.n = r.n)), w AS (
+  SELECT b.*, CASE WHEN area > 0 THEN area / ra END AS ratio, CASE WHEN area > 0 THEN sqrt((cx - rx) * (cx - rx) + (cy - ry) * (cy - ry)) / sqrt(160 * 160 + 24 * 24) END AS shift
+  FROM b JOIN r ON b.scene_id = r.scene_id AND b.instance_id = r.instance_id AND b.n = r.n), z AS (
+  SELECT *, CASE WHEN NOT has_mask THEN 'mask_file_missing' ELSE concat_ws('|', nullif(rej, ''), CASE WHEN n > 0 AND (ratio < 0.35 OR ratio > 2.8) THEN 'mask_area_jump' END,
+      CASE WHEN n > 0 AND shift > 0.40 THEN 'mask_center_jump' END) END AS reject_reasons FROM w), y AS (
+  SELECT *, CASE WHEN reject_reasons <> '' THEN '' ELSE concat_ws('|', CASE WHEN x1 <= 2 OR y1 <= 2 OR x2 >= 158 OR y2 >= 22 THEN 'touches_image_border' END,
+      CASE WHEN cov < 0.60 THEN 'depth_coverage_marginal' END, CASE WHEN n > 0 AND shift > 0.22 THEN 'large_center_motion' END) END AS review_reasons FROM z), g AS (
+  SELECT *, CASE WHEN reject_reasons <> '' THEN 'rejected' WHEN review_reasons <> '' THEN 'review' ELSE 'accepted' END AS status,
+    CASE WHEN area >= 80 THEN printf('%d %.6f %.6f %.6f %.6f', ord, (x1 + x2) * 0.5::DOUBLE / 160, (y1 + y2) * 0.5::DOUBLE / 24, (x2 - x1)::DOUBLE / 160, (y2 - y1)::DOUBLE / 24) END AS line FROM y)"""
+MASK_SCORES = f"WITH RECURSIVE {_SCORES} SELECT scene_id, frame_id, instance_id, status, reject_reasons, review_reasons, line, round(ratio, 6) AS area_ratio FROM g"
+MASK_VERDICTS = f"""WITH RECURSIVE {_SCORES}, ar AS (SELECT scene_id, frame_id, instance_id, count(*) AS n FROM px GROUP BY ALL), cf AS (
+  SELECT p.frame_id FROM (SELECT p.scene_id, p.frame_id, p.instance_id AS a, q.instance_id AS b, count(*) AS k FROM px p JOIN px q ON p.scene_id = q.scene_id AND p.frame_id = q.frame_id AND p.y = q.y AND p.x = q.x AND p.instance_id < q.instance_id GROUP BY ALL) p
+  JOIN ar u ON u.frame_id = p.frame_id AND u.instance_id = a JOIN ar t ON t.frame_id = p.frame_id AND t.instance_id = b WHERE k / least(u.n, t.n) > 0.9 GROUP BY p.frame_id), v AS (
+  SELECT scene_id, frame_id, string_agg(CASE WHEN status = 'rejected' OR line IS NULL THEN instance_id || ':' || status END, '|' ORDER BY ord) AS bad,
+         string_agg(CASE WHEN status <> 'rejected' THEN line END, chr(10) ORDER BY ord) AS label_text FROM g GROUP BY ALL), o AS (
+  SELECT scene_id || '_' || v.frame_id AS output_id, concat_ws('|', bad, CASE WHEN cf.frame_id IS NOT NULL THEN 'instance_mask_overlap' END) AS reasons, label_text FROM v LEFT JOIN cf ON cf.frame_id = v.frame_id)
+SELECT output_id, CASE WHEN reasons = '' AND label_text IS NOT NULL THEN 'accepted' WHEN label_text IS NOT NULL THEN 'review' ELSE 'rejected' END AS status, reasons, label_text FROM o"""
+
 QUERIES = {
+    "mask_scores": (mask_scores, MASK_SCORES),
+    "mask_verdicts": (mask_verdicts, MASK_VERDICTS),
     "mask_area_bbox": (mask_area_bbox, MASK_AREA_BBOX),
     "mask_overlap": (mask_overlap, MASK_OVERLAP),
     "mask_iou": (mask_iou, MASK_IOU),

@@ -99,9 +99,11 @@ def mixed_group_violations(summary: DataFrame, chosen: DataFrame) -> DataFrame:
 def newest_first(summary: DataFrame) -> DataFrame:
     """Position of each group when ordered by newest scene, then key, both descending.
 
-    The ranks come from counts per leading characters, so no task sorts all groups.
+    The ranks come from counts per class and day (the name up to its date, else the whole
+    name, which keeps the order), so no task sorts all groups.
     """
-    block = F.substring("newest_scene", 1, 12)
+    dated = F.regexp_extract("newest_scene", r"^(.*?_[0-9]{8})", 1)
+    block = F.coalesce(F.nullif(dated, F.lit("")), F.col("newest_scene"))
     ascending = scan(summary, [], ["newest_scene", "group_key"], block, index="_up", total="_all")
     return ascending.withColumn("position", F.col("_all") - 1 - F.col("_up")).drop("_up", "_all")
 

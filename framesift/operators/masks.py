@@ -251,5 +251,7 @@ def fragments(mask_tiles: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:
         if held is not None and len(held):
             yield _label_runs(held, keys)
 
-    ordered = runs.repartition(*keys).sortWithinPartitions(*keys, "y", "x_start")
+    # a fixed number of tasks: the runs are few bytes, labelling them is the work
+    tasks = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = runs.repartition(tasks, *keys).sortWithinPartitions(*keys, "y", "x_start")
     return ordered.mapInPandas(work, schema)
