@@ -27,8 +27,8 @@ SELECT scene_id, frame_id, instance_id, count(*) AS mask_area, CAST(min(x) AS BI
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
-    runs = v.mask_runs(spark, sf_dir)
-    return masks.overlap_ratios(masks.pair_overlaps(masks.tiles(runs)), masks.area_and_box(runs))
+    tiles = masks.tiles(v.mask_runs(spark, sf_dir))
+    return masks.overlap_ratios(masks.pair_overlaps(tiles), masks.areas(tiles))
 
 
 def mask_overlap(spark, sf_dir) -> DataFrame:

@@ -84,6 +84,5 @@ def aggregate_frames(
     )
     expected = verdict.expected_instances(name(frames.select("scene_id", "frame_id")), instances)
     tiles = stored(masks.tiles(runs))
-    areas = tiles.groupBy(*masks.MASK).agg(F.sum(F.bit_count("bits")).cast("long").alias("mask_area"))
-    overlaps = name(masks.overlap_ratios(masks.pair_overlaps(tiles), areas))
+    overlaps = name(masks.overlap_ratios(masks.pair_overlaps(tiles), masks.areas(tiles)))
     return verdict.frame_verdicts(expected, items, overlaps, max_overlap=max_overlap, include_review=include_review)

@@ -54,6 +54,11 @@ def area_and_box(runs: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:
     )
 
 
+def areas(mask_tiles: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:
+    """Pixel count of each mask."""
+    return mask_tiles.groupBy(*keys).agg(F.sum(F.bit_count("bits")).cast("long").alias("mask_area"))
+
+
 def pair_overlaps(mask_tiles: DataFrame, order: str = "instance_id") -> DataFrame:
     """Intersection size of every two masks of a frame that share a pixel.
 
@@ -71,10 +76,10 @@ def pair_overlaps(mask_tiles: DataFrame, order: str = "instance_id") -> DataFram
     )
 
 
-def overlap_ratios(pairs: DataFrame, areas: DataFrame) -> DataFrame:
+def overlap_ratios(pairs: DataFrame, mask_areas: DataFrame) -> DataFrame:
     """Adds ``overlap`` (over the smaller mask) and ``iou`` to intersecting pairs."""
-    first = areas.select(*FRAME, F.col("instance_id").alias("a"), F.col("mask_area").alias("area_a"))
-    second = areas.select(*FRAME, F.col("instance_id").alias("b"), F.col("mask_area").alias("area_b"))
+    first = mask_areas.select(*FRAME, F.col("instance_id").alias("a"), F.col("mask_area").alias("area_a"))
+    second = mask_areas.select(*FRAME, F.col("instance_id").alias("b"), F.col("mask_area").alias("area_b"))
     joined = pairs.join(first, [*FRAME, "a"]).join(second, [*FRAME, "b"])
     return joined.select(
         *FRAME,
