@@ -40,8 +40,8 @@ SELECT event_id, rej AS reject_reasons,
 FROM g"""
 
 
-def graded(spark, sf_dir) -> DataFrame:
-    return q.grade_sequence(v.measurements(spark, sf_dir), _thresholds())
+def graded(spark, sf_dir, m: DataFrame | None = None) -> DataFrame:
+    return q.grade_sequence(v.measurements(spark, sf_dir) if m is None else m, _thresholds())
 
 
 def quality_fold(spark, sf_dir) -> DataFrame:
@@ -119,9 +119,9 @@ SELECT event_id, CAST(seg AS BIGINT) AS tracking_segment, CAST(idx - last_key AS
 FROM s"""
 
 
-def _overrides(spark, sf_dir) -> DataFrame:
+def _overrides(spark, sf_dir, m: DataFrame | None = None) -> DataFrame:
     """Override log: most rows carry no known status and are ignored on reading."""
-    m = v.measurements(spark, sf_dir)
+    m = v.measurements(spark, sf_dir) if m is None else m
     kinds = F.array(*[F.lit(s) for s in ("accepted", "review", "rejected", "", "skip", "open", "", "", "", "", "")])
     return m.select(
         "scene_id",
@@ -144,9 +144,9 @@ def _with_line(df: DataFrame) -> DataFrame:
     return df.withColumn("line", F.when(ok, line))
 
 
-def reviewed(spark, sf_dir) -> DataFrame:
-    m = _with_line(graded(spark, sf_dir))
-    return review.apply_overrides(m, review.latest_overrides(_overrides(spark, sf_dir)))
+def reviewed(spark, sf_dir, m: DataFrame | None = None) -> DataFrame:
+    m = cut(v.measurements(spark, sf_dir)) if m is None else m  # graded, and read for the overrides
+    return review.apply_overrides(_with_line(graded(spark, sf_dir, m)), review.latest_overrides(_overrides(spark, sf_dir, m)))
 
 
 def manual_override(spark, sf_dir) -> DataFrame:
@@ -173,8 +173,9 @@ SELECT event_id, status, auto_status, manual_status, manual_reason, reject_reaso
 
 
 def effective_status(spark, sf_dir) -> DataFrame:
-    g = graded(spark, sf_dir).withColumn("auto_status", F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.col("status")))
-    done = review.effective_status(g, review.latest_overrides(_overrides(spark, sf_dir)))
+    m = cut(v.measurements(spark, sf_dir))
+    g = graded(spark, sf_dir, m).withColumn("auto_status", F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.col("status")))
+    done = review.effective_status(g, review.latest_overrides(_overrides(spark, sf_dir, m)))
     return done.select("event_id", "effective_status", "reason_text")
 
 
@@ -198,8 +199,8 @@ SELECT event_id, printf('%d %.6f %.6f %.6f %.6f', ord, ((cx - event_id % 40) + (
 FROM fin WHERE has_line AND (status = 'accepted' OR (status = 'review' AND user_id % 3 = 0))"""
 
 
-def _items(spark, sf_dir) -> DataFrame:
-    rows = reviewed(spark, sf_dir).where("recorded")
+def _items(spark, sf_dir, m: DataFrame) -> DataFrame:
+    rows = reviewed(spark, sf_dir, m).where("recorded")
     # read several times below; written once instead of graded again
     return cut(rows.select(
         "scene_id",
@@ -217,8 +218,8 @@ def _items(spark, sf_dir) -> DataFrame:
     ))
 
 
-def _expected(spark, sf_dir) -> DataFrame:
-    frames = v.measurements(spark, sf_dir).select("scene_id", "frame_id", F.concat_ws("_", "scene_id", "frame_id").alias("output_id")).distinct()
+def _expected(m: DataFrame) -> DataFrame:
+    frames = m.select("scene_id", "frame_id", F.concat_ws("_", "scene_id", "frame_id").alias("output_id")).distinct()
     roster = frames.select("scene_id").distinct().select(
         "scene_id",
         F.inline(
@@ -252,9 +253,10 @@ def _box_overlaps(items: DataFrame) -> DataFrame:
 
 
 def _verdicts(spark, sf_dir) -> DataFrame:
-    items = _items(spark, sf_dir)
-    images = v.measurements(spark, sf_dir).where("event_type <> 'signup'").select("scene_id", "frame_id")
-    return verdict.frame_verdicts(_expected(spark, sf_dir), items, _box_overlaps(items), max_overlap=0.05, images=images)
+    m = cut(v.measurements(spark, sf_dir))
+    items = _items(spark, sf_dir, m)
+    images = m.where("event_type <> 'signup'").select("scene_id", "frame_id")
+    return verdict.frame_verdicts(_expected(m), items, _box_overlaps(items), max_overlap=0.05, images=images)
 
 
 def frame_verdict(spark, sf_dir) -> DataFrame:
@@ -297,8 +299,9 @@ SELECT scene_id || '_' || frame_id AS output_id, frame_id AS source_frame, reaso
 
 
 def expected_observed(spark, sf_dir) -> DataFrame:
-    found = v.measurements(spark, sf_dir).where("recorded").select("scene_id", F.concat_ws("_", "scene_id", "frame_id").alias("output_id"), "instance_id")
-    both = verdict.expected_observed(_expected(spark, sf_dir), found)
+    m = cut(v.measurements(spark, sf_dir))
+    found = m.where("recorded").select("scene_id", F.concat_ws("_", "scene_id", "frame_id").alias("output_id"), "instance_id")
+    both = verdict.expected_observed(_expected(m), found)
     return both.select("output_id", v.long("n_expected", "n_expected"), v.long("n_observed", "n_observed"), v.joined("missing"))
 
 
