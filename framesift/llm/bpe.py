@@ -229,7 +229,7 @@ class Tokenizer:
             flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
             return pa.ListArray.from_arrays(pa.array(ends), flat)
 
-        return F.arrow_udf(run, "array<int>")(text)
+        return F.arrow_udf(run, "array<int>").asNondeterministic()(text)  # else every use of the ids encodes anew
 
     def decode(self, ids: Column) -> Column:
         """Bytes of an ``array<int>``; null ids are skipped, a null array gives no bytes."""
