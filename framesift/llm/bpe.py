@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 VOCABULARY_LIMIT = 64_000_000  # bytes of a rank file that may be sent to every task
-KEPT_STRETCHES = 250_000  # encodings a worker keeps in each of two generations
+KEPT_STRETCHES = 200_000  # encodings a worker keeps in each of two generations
 KEPT_PAIRS = 1_000_000
 _WIDE_GAP = regex.compile(r"[\s\x1c-\x1f] ")
 
@@ -201,15 +201,18 @@ def _codec(sent) -> Codec:
     return _codecs[sent.id]
 
 
-def _flat(lists: pa.Array) -> tuple[list[int], list[int]]:
-    """All ids that are not null, in order, and where each row ends."""
+def _rows(lists: pa.Array) -> Iterable[list[int]]:
+    """The ids of each row that are not null; only one row at a time as Python numbers."""
     flat = lists.flatten()
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     if flat.null_count:
         there = flat.is_valid().to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(sizes)), sizes)[there]
         flat, sizes = flat.drop_null(), np.bincount(row, minlength=len(sizes))
-    return flat.to_numpy(zero_copy_only=False).tolist(), np.cumsum(sizes).tolist()
+    ids, at = flat.to_numpy(zero_copy_only=False), 0
+    for end in np.cumsum(sizes).tolist():
+        yield ids[at:end].tolist()
+        at = end
 
 
 class Tokenizer:
@@ -237,9 +240,7 @@ class Tokenizer:
 
         def run(lists: pa.Array) -> pa.Array:
             codec = _codec(sent)
-            ids, ends = _flat(lists)
-            starts = [0, *ends][:-1]
-            return pa.array([codec.decode(ids[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())
+            return pa.array([codec.decode(ids) for ids in _rows(lists)], pa.binary())
 
         return F.arrow_udf(run, "binary")(ids)
 
@@ -269,10 +270,8 @@ def digest(ids: Column) -> Column:
     """SHA-256, in lower-case hex, of the decimal ids joined by single spaces."""
 
     def run(lists: pa.Array) -> pa.Array:
-        flat, ends = _flat(lists)
         decimal = _Decimal()
-        starts = [0, *ends][:-1]
-        return pa.array([sha256(b" ".join(map(decimal.__getitem__, flat[a:b]))).hexdigest() for a, b in zip(starts, ends, strict=True)])
+        return pa.array([sha256(b" ".join(map(decimal.__getitem__, ids))).hexdigest() for ids in _rows(lists)], pa.string())
 
     return F.arrow_udf(run, "string")(ids)
 
