@@ -69,8 +69,8 @@ def targets(sized: DataFrame, share: float, weights=WEIGHTS, limit: float = 2.0)
     heavy = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     levelled = named.select("*", cap.alias("cap"), (left / heavy).alias("level"))
     # the first source whose cap is not below its level ends the capped ones
-    open_ = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))
-    final = F.min(open_).over(everything)
+    rank = F.struct((F.col("cap") / F.col("weight")).alias("ratio"), "source_id", "level")
+    final = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), rank)).over(everything)["level"]
     chosen = F.least(F.col("cap"), F.coalesce(final * F.col("weight"), F.col("cap")))
     return levelled.select("source_id", "source", "source_size", "docs", F.greatest(chosen, F.lit(0.0)).alias("target"))
 
@@ -89,7 +89,7 @@ def plan_of(per_source: DataFrame, block: int) -> DataFrame:
 def placed(sized: DataFrame, per_source: DataFrame, bucket_rows: int = 4096) -> DataFrame:
     """Documents of size > 0 with ``start``, their first word's place in the source's stream."""
     named = per_source.select("source_id", F.col("source").alias("_name"), (F.floor(F.col("docs") / bucket_rows) + 1).alias("_buckets"))
-    tagged = sized.join(F.broadcast(named) if False else named, sized["source"].eqNullSafe(named["_name"])).drop("_name")
+    tagged = sized.join(named, sized["source"].eqNullSafe(named["_name"])).drop("_name")
     tagged = tagged.where(F.col("size") > 0).withColumn("bucket", F.pmod(F.xxhash64("doc", "print"), F.col("_buckets")))
     tagged = tagged.select("source_id", "bucket", "doc", "print", "size")
     totals = tagged.groupBy("source_id", "bucket").agg(F.sum("size").alias("_sum"))
@@ -220,10 +220,6 @@ def mixed_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", so
     own = Window.partitionBy("_doc", "_source", "_print").orderBy(F.lit(1))
     keyed = docs.withColumns({"_doc": F.col(doc), "_source": F.col(source), "_print": F.xxhash64(F.col(text))})
     keyed = keyed.withColumn("_copy", F.row_number().over(own))
-    pair = (
-        keyed["_doc"].eqNullSafe(chosen["doc"]) & keyed["_source"].eqNullSafe(chosen["source"])
-        & (keyed["_print"] == chosen["print"]) & (keyed["_copy"] == chosen["copy"])
-    )
     chosen = chosen.select(*[F.col(c).alias(f"_m_{c}") for c in chosen.columns])
     pair = (
         F.col("_doc").eqNullSafe(F.col("_m_doc")) & F.col("_source").eqNullSafe(F.col("_m_source"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe
-from .common import table
+from . import bpe, mixing, quality, urlfilter
+from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -24,8 +24,31 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or model verdict on every page's url."""
+    judged = urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), urlfilter.seed_table(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("probability", 6).alias("probability"))
+
+
+def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    taken, _, _ = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return taken.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text; labels with remainder 2 are never seen."""
+    remainder = crc_of(F.col("id")) % 4
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.classify(docs, table(spark, sf_dir, "labels"), learn=remainder != 2, calibrate=remainder == 3)
+    return found.select("doc_id", (~F.col("learn")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_byte_bpe": byte_bpe,
+    "op4_url_filter": url_filter,
+    "op5_mixing_sources": mixing_sources,
+    "op6_quality_classifier": quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}

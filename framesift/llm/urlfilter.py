@@ -121,7 +121,7 @@ def block_probability(spark: SparkSession, weights: np.ndarray, host: Column, pa
     sent = spark.sparkContext.broadcast(weights.astype(np.float64))  # BUCKETS + 1 numbers
 
     def run(hosts: pa.Array, paths: pa.Array) -> pa.Array:
-        w, out, kept = sent.value, [], {}
+        w, out = sent.value, []
         for h, p in zip(hosts.to_pylist(), paths.to_pylist(), strict=True):
             f = features(h or "", p or "")
             margin = w[-1] + w[f].sum() / np.sqrt(max(1, len(f))) if h or p else w[-1]
