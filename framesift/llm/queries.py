@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, quality, urlfilter
+from . import bpe, language, mixing, quality, toxicity, urlfilter
 from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,11 +44,43 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~F.col("learn")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; its source takes the part of the host, ``lang`` that of the declaration."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    parts = (F.col("text"), F.col("lang"), F.col("source"), F.lit(None).cast("string"))
+    found = language.identify(docs, language.gather(docs, *parts), *parts)
+    return found.select("doc_id", "language", F.round("confidence", 6).alias("confidence"), "kept")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, markup declaration, address suffix and host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    host = urlfilter.host_of(F.col("url"))
+    body = F.regexp_replace(F.col("html"), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
+    marked = F.nullif(F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([a-zA-Z]{2})", 1)), F.lit(""))
+    known = pages.select("page_id", body.alias("text"), marked.alias("declared"), F.nullif(host, F.lit("")).alias("host"))
+    known = known.withColumn("suffix", F.nullif(F.regexp_extract("host", r"([^.]+)$", 1), F.lit("")))
+    parts = (F.col("text"), F.col("declared"), F.col("host"), F.col("suffix"))
+    found = language.identify(known, language.gather(known, *parts), *parts)
+    return found.select("page_id", "declared", "language", F.round("confidence", 6).alias("confidence"), "kept")
+
+
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text; labels with remainder 0 are never seen."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=crc_of(F.col("id")) % 5 != 0)
+    scored = docs.select("doc_id", (crc_of(F.col("doc_id")) % 5 == 0).alias("held_out"), toxicity.score(F.col("text"), lexicon, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
+    "op1_language_id": language_id,
+    "language_id_pages": language_id_pages,
     "op2_byte_bpe": byte_bpe,
     "op4_url_filter": url_filter,
     "op5_mixing_sources": mixing_sources,
     "op6_quality_classifier": quality_classifier,
+    "op9_toxicity": toxic_documents,
 }
 
 ORACLE: dict[str, str] = {}
