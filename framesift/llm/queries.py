@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language, mixing, quality, toxicity, urlfilter
+from . import bpe, language, minhash, mixing, quality, toxicity, urlfilter
 from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -65,6 +65,17 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "declared", "language", F.round("confidence", 6).alias("confidence"), "kept")
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class, links and representative of every document."""
+    members, links = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ends = links.select(F.col("a").alias("text_class")).unionByName(links.select(F.col("b").alias("text_class")))
+    counts = ends.groupBy("text_class").agg(F.count("*").alias("n_links"))
+    return members.join(counts, "text_class", "left").select(
+        F.col("id").alias("doc_id"), "text_class", F.col("component").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_text_links"), (F.col("id") == F.col("component")).alias("kept"),
+    )
+
+
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text; labels with remainder 0 are never seen."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +91,7 @@ QUERIES = {
     "op4_url_filter": url_filter,
     "op5_mixing_sources": mixing_sources,
     "op6_quality_classifier": quality_classifier,
+    "op7_minhash_near_dedup": minhash_near_dedup,
     "op9_toxicity": toxic_documents,
 }
 
