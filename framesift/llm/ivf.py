@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 SAMPLE = 16_384  # vectors that centroids and codebooks are fitted on, on the driver
-CHUNK = 2_048  # rows of a list that one work unit sees
+CHUNK = 1_024  # rows of a list that one work unit sees
 
 
 def valid(vectors: DataFrame, id_: str, embedding: str, exclude_zero: bool = True) -> DataFrame:
@@ -36,15 +36,26 @@ def listed(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(rows).ravel()))
 
 
-def sample(vectors: DataFrame, limit: int = SAMPLE, rows: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of at most ``limit`` rows, chosen by a hash of the id."""
-    total = vectors.count() if rows is None else rows
+def sample(vectors: DataFrame, width: int, total: int, limit: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of at most ``limit`` rows and 64 MB, chosen by a hash of the id."""
+    limit = max(1, min(limit, (1 << 26) // (8 * max(1, width))))
     mark = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20))
     part = vectors if total <= limit else vectors.where(mark < int((1 << 20) * 0.9 * limit / total))
     found = part.orderBy("id").limit(limit).toArrow()
     ids = found.column("id").to_numpy()
-    width = len(found.column("v")[0].as_py()) if len(ids) else 0
-    return ids, matrix(found.column("v"), width) if width else np.zeros((0, 0))
+    return ids, matrix(found.column("v"), width).copy() if len(ids) else np.zeros((0, width))
+
+
+def nearest(points: np.ndarray, centres: np.ndarray, step: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre of each point and the squared distance to it, in slices."""
+    owner, near = np.zeros(len(points), np.int32), np.zeros(len(points))
+    norm = (centres**2).sum(1)
+    for at in range(0, len(points), step):
+        part = points[at : at + step]
+        distance = norm - 2 * part @ centres.T
+        owner[at : at + step] = distance.argmin(1)
+        near[at : at + step] = distance.min(1) + (part**2).sum(1)
+    return owner, np.maximum(near, 0)
 
 
 def kmeans(points: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
@@ -53,21 +64,33 @@ def kmeans(points: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.nda
     k = max(1, min(k, len(points)))
     centres = points[rng.choice(len(points), k, replace=False)].astype(np.float64)
     for _ in range(rounds):
-        distance = (centres**2).sum(1) - 2 * points @ centres.T
-        owner = distance.argmin(1)
+        owner, near = nearest(points, centres)
         count = np.bincount(owner, minlength=k)
         total = np.zeros_like(centres)
         np.add.at(total, owner, points)
         filled = count > 0
         centres[filled] = total[filled] / count[filled, None]
         if (~filled).any():
-            far = np.argsort(-distance[np.arange(len(points)), owner])[: (~filled).sum()]
+            far = np.argsort(-near)[: (~filled).sum()]
             centres[~filled] = points[far]
     return centres
 
 
-def split(rows: DataFrame, by: str, chunk: int, name: str, key: Column) -> DataFrame:
-    """``rows`` with ``name``: chunk number within ``by``, sized by counting first."""
-    counts = rows.groupBy(by).count().select(F.col(by).alias("_by"), F.ceil(F.col("count") / chunk).alias("_parts"))
-    joined = rows.join(counts, rows[by] == counts["_by"])
-    return joined.withColumn(name, F.pmod(F.xxhash64(key, F.lit(17)), F.col("_parts")).cast("int")).drop("_by", "_parts")
+def units(rows: DataFrame, probes: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """Both sides of (list, ...) with columns ``c`` and ``q``, so that units (list, c, q) hold at most about
+    ``chunk`` rows of each side."""
+    parts = rows.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    asks = probes.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("asks"))
+    sizes = parts.join(asks, "list")
+    mark = F.xxhash64("id", F.lit(17))
+    left = rows.join(sizes, "list").withColumn("c", F.pmod(mark, "parts").cast("int"))
+    left = left.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("asks") - 1))).drop("parts", "asks")
+    right = probes.join(sizes, "list").withColumn("q", F.pmod(mark, "asks").cast("int"))
+    right = right.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "asks")
+    return left, right
+
+
+def width_of(vectors: DataFrame) -> int:
+    """The commonest number of components; 0 for an empty table."""
+    found = vectors.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first()
+    return found["w"] if found else 0

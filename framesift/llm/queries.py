@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language, minhash, mixing, quality, toxicity, urlfilter
+from . import ann, bpe, language, minhash, mixing, pq, quality, toxicity, urlfilter
 from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -84,15 +84,27 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest rows of every twentieth vector."""
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return pq.links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_language_id": language_id,
     "language_id_pages": language_id_pages,
     "op2_byte_bpe": byte_bpe,
+    "op3_nearest_neighbours": nearest_neighbours,
     "op4_url_filter": url_filter,
     "op5_mixing_sources": mixing_sources,
     "op6_quality_classifier": quality_classifier,
     "op7_minhash_near_dedup": minhash_near_dedup,
     "op9_toxicity": toxic_documents,
+    "op10_embedding_near_dedup": embedding_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
