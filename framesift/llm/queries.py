@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, language, minhash, mixing, pq, quality, toxicity, urlfilter
+from . import ann, bpe, language, minhash, mixing, pitman, pq, quality, toxicity, urlfilter
 from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -94,6 +94,11 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every whole text; rows with remainder 0 train nothing."""
+    return pitman.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc_of(F.col("id")) % 10 == 0)
+
+
 QUERIES = {
     "op1_language_id": language_id,
     "language_id_pages": language_id_pages,
@@ -103,6 +108,7 @@ QUERIES = {
     "op5_mixing_sources": mixing_sources,
     "op6_quality_classifier": quality_classifier,
     "op7_minhash_near_dedup": minhash_near_dedup,
+    "op8_pitman_yor": language_model,
     "op9_toxicity": toxic_documents,
     "op10_embedding_near_dedup": embedding_near_dedup,
 }
