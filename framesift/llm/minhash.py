@@ -31,7 +31,7 @@ SHINGLE = 5
 REGISTERS, BANDS = 120, 24
 ROWS = REGISTERS // BANDS
 THRESHOLD = 0.8
-LIKELY = 0.58  # signature agreement below which a pair of 0.8 is out of the question
+LIKELY = 0.7  # signature agreement below which a pair of 0.8 is out of the question
 TILE = 512
 SLICE = 400_000  # shingles handled at once
 
@@ -178,8 +178,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     """
     # numbers of the rows that carry each id keep repeated ids together
     rows = docs.where(F.col(doc).isNotNull()).select(F.col(doc).cast("long").alias("id"), words(F.col(text)).alias("words"))
-    rows = rows.where("words is null or size(words) = 0").select("id", F.lit(None).cast("array<bigint>").alias("words")).unionByName(rows.where("size(words) > 0"))
-    stored = cut(rows)
+    stored = cut(rows.select("id", F.expr("nullif(words, cast(array() as array<bigint>))").alias("words")))
     print_ = F.struct(F.xxhash64("words").alias("x"), F.hash("words").alias("y"), F.size("words").alias("n"))
     keyed = stored.where("words is not null").select("id", print_.alias("print"))
     classes = cut(keyed.groupBy("print").agg(F.min("id").alias("text_class")))
