@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SAMPLE = 16_384  # vectors that centroids and codebooks are fitted on, on the driver
 CHUNK = 1_024  # rows of a list that one work unit sees
+ASKS = 4_096  # and vectors that ask it
 
 
 def valid(vectors: DataFrame, id_: str, embedding: str, exclude_zero: bool = True) -> DataFrame:
@@ -76,11 +77,11 @@ def kmeans(points: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.nda
     return centres
 
 
-def units(rows: DataFrame, probes: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+def units(rows: DataFrame, probes: DataFrame, chunk: int = CHUNK, asked: int = ASKS) -> tuple[DataFrame, DataFrame]:
     """Both sides of (list, ...) with columns ``c`` and ``q``, so that units (list, c, q) hold at most about
-    ``chunk`` rows of each side."""
+    ``chunk`` rows and ``asked`` vectors that ask."""
     parts = rows.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
-    asks = probes.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("asks"))
+    asks = probes.groupBy("list").agg(F.ceil(F.count("*") / asked).cast("int").alias("asks"))
     sizes = parts.join(asks, "list")
     mark = F.xxhash64("id", F.lit(17))
     left = rows.join(sizes, "list").withColumn("c", F.pmod(mark, "parts").cast("int"))
