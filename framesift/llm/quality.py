@@ -104,15 +104,17 @@ class Kernel:
 
 def isotonic(total: np.ndarray, positive: np.ndarray) -> np.ndarray:
     """Non-decreasing shares of positives per cell (pooled adjacent violators); empty cells are filled between."""
+    filled = np.flatnonzero(total > 0)
+    if not len(filled):
+        return np.full(len(total), 0.5)
     blocks: list[list[float]] = []  # positives, weight, cells
-    for t, p in zip(total.tolist(), positive.tolist(), strict=True):
+    for t, p in zip(total[filled].tolist(), positive[filled].tolist(), strict=True):
         blocks.append([p, t, 1])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             p2, t2, n2 = blocks.pop()
             blocks[-1] = [blocks[-1][0] + p2, blocks[-1][1] + t2, blocks[-1][2] + n2]
-    shares = np.concatenate([np.full(int(n), p / t if t else np.nan) for p, t, n in blocks])
-    known = ~np.isnan(shares)
-    return np.interp(np.arange(len(shares)), np.flatnonzero(known), shares[known]) if known.any() else np.full(len(shares), 0.5)
+    shares = np.concatenate([np.full(int(n), p / t) for p, t, n in blocks])
+    return np.interp(np.arange(len(total)), filled, shares)
 
 
 class Model:
