@@ -39,9 +39,9 @@ def _stored(spark, sf_dir) -> DataFrame:
 
 
 def _arriving(spark, sf_dir) -> DataFrame:
-    """The same packets as a file stream; the table is one file, read in one trigger."""
+    """The same packets as a file stream; the table is one file or a folder of parts."""
     schema = v.table(spark, sf_dir, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    raw = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     return _packets(raw)
 
 

@@ -9,14 +9,19 @@ from pyspark.sql import Column, functions as F
 from ..constants import PROJECT_DIRECTORIES, REPOSITORY_DIRECTORIES, SCENE_CLASS_PREFIXES
 
 
+def strip(column: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
+
+
 def blank_to_null(column: Column) -> Column:
-    trimmed = F.trim(column)
+    trimmed = strip(column)
     return F.when(trimmed != "", trimmed)
 
 
 def safe_name(column: Column, *, trim: bool = False) -> Column:
     """Keep letters, digits, ``-`` and ``_``; anything else becomes ``_``."""
-    value = F.trim(column) if trim else column
+    value = strip(column) if trim else column
     cleaned = F.regexp_replace(value, r"[^\p{L}\p{N}_-]", "_")
     return F.coalesce(F.nullif(cleaned, F.lit("")), F.lit("instance"))
 

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.labels import counts_as_polygon, line_errors, parse_line
+from ..functions.text import strip
 
 
 def violation(df: DataFrame, rule: str, key: Column, detail: Column | None = None) -> DataFrame:
@@ -31,7 +32,7 @@ def numbered_lines(label_files: DataFrame) -> DataFrame:
 
     label_files  ``split, stem, text``
     """
-    lines = F.filter(F.transform(F.split("text", r"\r\n|\r|\n"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("text", r"\r\n|\r|\n"), strip), lambda x: x != "")
     return label_files.select("split", "stem", F.posexplode(lines).alias("_p", "line")).select(
         "split", "stem", (F.col("_p") + 1).alias("line_no"), "line"
     )

@@ -26,8 +26,9 @@ _RAW_MANIFEST = (
 
 
 def file_path() -> Column:
-    """Path of the scanned file without the scheme of local files."""
-    return F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*", "/")
+    """Path of the scanned file, decoded, without the scheme of local files."""
+    raw = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))  # a plus is no space here
+    return F.regexp_replace(F.url_decode(raw), r"^file:/*", "/")
 
 
 def _yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

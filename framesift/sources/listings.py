@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..constants import EPOCH_METRICS, IMAGE_SUFFIXES
-from ..functions.text import file_stem, file_suffix
+from ..functions.text import file_stem, file_suffix, strip
 from .documents import file_path
 
 
@@ -40,7 +40,7 @@ def images_from_spec(spark: SparkSession, spec: str, kind: str) -> DataFrame:
         return files(spark, spec).where(F.col("suffix").isin(*IMAGE_SUFFIXES)).select("path")
     if kind == "list":
         base = F.regexp_replace(file_path(), r"/[^/]*$", "")
-        rows = spark.read.text(spec).select(F.trim("value").alias("v"), base.alias("base")).where("v <> ''")
+        rows = spark.read.text(spec).select(strip(F.col("value")).alias("v"), base.alias("base")).where("v <> ''")
         return rows.select(F.when(F.col("v").startswith("/"), F.col("v")).otherwise(F.concat_ws("/", "base", "v")).alias("path"))
     raise ValueError("kind must be directory, file or list")
 
@@ -79,10 +79,10 @@ def epoch_metrics(spark: SparkSession, path: str) -> DataFrame:
     )
 
     def cells(line):
-        return F.transform(F.split(line, ","), lambda c: F.trim(c))
+        return F.transform(F.split(line, ","), strip)
 
     rows = lines.select("run", cells(F.col("lines")[0]).alias("names"), F.posexplode("lines").alias("row_no", "line")).where(
-        "row_no > 0 and trim(line) <> ''"
+        (F.col("row_no") > 0) & (strip(F.col("line")) != "")
     )
     record = F.map_from_arrays("names", F.slice(cells(F.col("line")), 1, F.size("names")))
     named = rows.where(F.size(cells(F.col("line"))) >= F.size("names")).select("run", "row_no", record.alias("r"))
