@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import OFFICIAL_CLASSES
 from ..functions.geometry import polygon_area
 from ..operators import inventory, validation as val
-from ..sinks.writers import new_negatives
+from ..sinks.writers import merge_labels, new_negatives
 from ..sources.documents import check_negatives
 from . import views as v
 
@@ -391,7 +391,28 @@ WHERE lang = 'fr' OR (doc_id % 6 = 0 AND sha256(lang) <> sha256(text))"""
 
 assert sorted(OFFICIAL_CLASSES) == KNOWN
 
+def label_merge(spark, sf_dir) -> DataFrame:
+    """Stored labels after a run that judged urgent and high orders again, some of them in another split."""
+    o = v.table(spark, sf_dir, "orders")
+    scene, frame = F.concat(F.lit("s"), F.col("o_custkey").cast("string")), F.concat(F.lit("o"), F.col("o_orderkey").cast("string"))
+
+    def labels(rows, turn, text):
+        split = F.when(F.col("o_custkey") % turn == 0, "val").otherwise("train")
+        return rows.select(scene.alias("scene_id"), frame.alias("output_id"), split.alias("split"), F.lit(text).alias("text"))
+
+    judged = o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    chosen = labels(judged.where("o_orderstatus = 'F'"), 5, "new")
+    return merge_labels(labels(o.where("o_orderstatus <> 'P'"), 7, "old"), labels(judged, 5, "new"), chosen)
+
+
+LABEL_MERGE = """WITH n AS (SELECT * FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))
+SELECT 's' || o_custkey AS scene_id, 'o' || o_orderkey AS output_id, CASE WHEN o_custkey % 7 = 0 THEN 'val' ELSE 'train' END AS split, 'old' AS text
+FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey NOT IN (SELECT o_orderkey FROM n) UNION ALL
+SELECT 's' || o_custkey, 'o' || o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN 'val' ELSE 'train' END, 'new' FROM n WHERE o_orderstatus = 'F'"""
+
+
 QUERIES = {
+    "label_merge": (label_merge, LABEL_MERGE),
     "label_rules": (label_rules, LABEL_RULES),
     "polygon_area": (polygon_areas, POLYGON_AREAS),
     "label_violations": (label_violations, LABEL_VIOLATIONS),

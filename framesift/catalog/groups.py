@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import groups as g
 from ..session import cut
 from . import views as v
+from .text import PROJECT, REPO
 
 
 def _grouped(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -28,6 +29,19 @@ _GROUPS = f"""{v.REPORTS}, idn AS (
 CAPTURE_GROUPS = f"WITH RECURSIVE {_GROUPS} SELECT report_path, group_key FROM gr"
 
 
+def capture_groups_mixed_paths(spark, sf_dir) -> DataFrame:
+    """The same groups when reports spell their scenes in an old checkout or with detours."""
+    reports = v.reports(spark, sf_dir)
+    turn = F.pmod(F.xxhash64("report_path"), F.lit(3))
+    root = F.when(turn == 0, "/old/framekit/data/").when(turn == 1, f"{PROJECT}/data/x/../").otherwise(f"{PROJECT}/./data//")
+    mixed = reports.withColumn("scene", F.concat(root, "scene"))
+    return g.capture_groups(g.resolved_scenes(mixed, REPO, PROJECT)).select("report_path", "group_key")
+
+
+CAPTURE_GROUPS_MIXED = f"""WITH RECURSIVE {_GROUPS}
+SELECT report_path, 'scene:{PROJECT}/data/' || substr(group_key, 7) AS group_key FROM gr"""
+
+
 def group_summary(spark, sf_dir) -> DataFrame:
     s = g.group_summary(*_grouped(spark, sf_dir))
     return s.select(
@@ -115,6 +129,7 @@ MANIFEST_VIOLATIONS = """SELECT rule, key FROM (
 
 QUERIES = {
     "capture_groups": (capture_groups, CAPTURE_GROUPS),
+    "capture_groups_mixed_paths": (capture_groups_mixed_paths, CAPTURE_GROUPS_MIXED),
     "group_summary": (group_summary, GROUP_SUMMARY),
     "group_members": (group_members, GROUP_MEMBERS),
     "newest_groups": (newest_groups, NEWEST_GROUPS),

@@ -170,6 +170,27 @@ def compatible_path(path: Column, repository: str, project: str) -> Column:
     return F.when(inside | place.isNull() | ~path.startswith("/"), path).otherwise(F.concat(root, F.lit("/"), rest))
 
 
+def normal_path(path: Column) -> Column:
+    """Path without empty, ``.`` and ``..`` parts; a relative path keeps leading ``..``."""
+    absolute = path.startswith("/")
+
+    def step(done: Column, part: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        climbs = (part == "..") & last.isNotNull() & (last != "..")
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(climbs, up).when(absolute & (part == ".."), done).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.filter(F.split(path, "/"), lambda p: ~p.isin("", "."))
+    kept = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    return F.when(path != "", F.concat(F.when(absolute, "/").otherwise(""), kept)).otherwise(path)
+
+
+def scene_identity(path: Column, repository: str | None = None, project: str | None = None) -> Column:
+    """One spelling per scene: stripped, moved to the present checkout if one is given, and normalised."""
+    path = normal_path(strip(path))
+    return compatible_path(path, repository, project or repository) if repository else path
+
+
 def owning_project(path: Column, repository: str, default_project: str) -> Column:
     """Project root of a path inside the repository, else the default project."""
     rest = F.split(F.substring(path, len(repository) + 2, 1 << 30), "/")

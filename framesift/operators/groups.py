@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import blank_to_null
+from ..functions.text import blank_to_null, scene_identity
 from ..plans.blocks import index_block
 from ..plans.components import connected_components
 from ..plans.ordered import scan
@@ -19,11 +19,16 @@ from ..session import cut
 MAX_CLASSES = 10_000  # class catalogues are lists of names; more is refused
 
 
+def resolved_scenes(reports: DataFrame, repository: str | None = None, project: str | None = None) -> DataFrame:
+    """``reports`` with one spelling per scene, so that a scene named in two ways stays one scene."""
+    return reports.withColumn("scene", scene_identity(F.col("scene"), repository, project))
+
+
 def identifiers(reports: DataFrame) -> DataFrame:
     """One row per report and origin: scene, session and video."""
     kinds = [("scene", "scene"), ("session", "capture_session_id"), ("video", "source_video_id")]
     names = F.array_compact(
-        F.array(*[F.when(F.col(c) != "", F.concat(F.lit(k + ":"), F.col(c))) for k, c in kinds])
+        F.array(*[F.concat(F.lit(k + ":"), blank_to_null(F.col(c))) for k, c in kinds])
     )
     return reports.select("report_path", F.explode(names).alias("identifier"))
 
@@ -31,7 +36,8 @@ def identifiers(reports: DataFrame) -> DataFrame:
 def capture_groups(reports: DataFrame) -> DataFrame:
     """``report_path, group_key``: reports linked by scene, session or video.
 
-    The key names the scene of the last report of the group in path order.
+    The key names the scene of the last report of the group in path order.  Scenes are compared
+    as they are spelled; see ``resolved_scenes``.
     """
     found = connected_components(identifiers(reports), "report_path", "identifier")
     placed = found.join(reports.select("report_path", "scene"), "report_path")

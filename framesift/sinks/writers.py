@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.validation import violation
+from ..session import cut
 
 
 def replace_partitions(df: DataFrame, path: str, *partition: str, format: str = "parquet") -> None:
@@ -18,16 +20,53 @@ def label_texts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("split", "scene_id", "output_id").agg(F.concat(F.array_join(ordered, "\n"), F.lit("\n")).alias("text"))
 
 
+def merge_labels(stored: DataFrame, verdicts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Labels after a run: those of frames the run did not judge, and the ``chosen`` ones.
+
+    A frame of ``verdicts`` loses its earlier label in every split, whatever its new status;
+    ``output_id`` names a frame of a scene.
+    """
+    on = ["scene_id", "output_id"]
+    return stored.join(verdicts.select(*on).distinct(), on, "left_anti").select(*chosen.columns).unionByName(chosen)
+
+
+def _rewrite_scenes(verdicts: DataFrame, chosen: DataFrame, path: str) -> None:
+    """Merge ``chosen`` into the table at ``path`` and write every scene of ``verdicts`` anew.
+
+    Partitions are scenes, and ``split`` is a column, so a scene that moves leaves its split.  A stored
+    scene that loses all labels keeps one row without ``output_id``, since a partition that gets no rows
+    would stay as it was.  ``read_labels`` leaves these rows out.
+    """
+    spark = verdicts.sparkSession
+    scenes = verdicts.select("scene_id").distinct()
+    try:
+        stored = spark.read.schema(chosen.schema).parquet(path).join(scenes, "scene_id", "left_semi")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = chosen.limit(0)
+    merged = cut(merge_labels(stored.where("output_id is not null"), verdicts, chosen))
+    empty = stored.select("scene_id").distinct().join(merged.select("scene_id").distinct(), "scene_id", "left_anti")
+    rows = cut(merged.unionByName(empty, allowMissingColumns=True))  # all is read before the scenes are replaced
+    replace_partitions(rows, path, "scene_id")
+
+
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    """The labels that ``write_labels`` or ``write_candidates`` stored."""
+    return spark.read.parquet(path).where("output_id is not null")
+
+
 def write_labels(verdicts: DataFrame, path: str) -> None:
-    """Label texts of accepted frames, by split and scene."""
+    """Label texts of accepted frames by scene; frames that are no longer accepted lose theirs."""
     accepted = verdicts.where("status = 'accepted'").select("split", "scene_id", "output_id", F.concat("label_text", F.lit("\n")).alias("text"))
-    replace_partitions(accepted, path, "split", "scene_id")
+    _rewrite_scenes(verdicts, accepted, path)
 
 
 def write_candidates(verdicts: DataFrame, path: str) -> None:
-    """Label texts of frames that still need review, by split and scene."""
+    """Label texts of frames that still need review, by scene; decided frames lose theirs."""
     rest = verdicts.where("status <> 'accepted' and label_text is not null")
-    replace_partitions(rest.select("split", "scene_id", "output_id", "status", F.concat("label_text", F.lit("\n")).alias("text")), path, "split", "scene_id")
+    rest = rest.select("split", "scene_id", "output_id", "status", F.concat("label_text", F.lit("\n")).alias("text"))
+    _rewrite_scenes(verdicts, rest, path)
 
 
 def flat(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import SPLITS, STATUSES
-from ..functions.text import blank_to_null, file_stem
+from ..functions.text import blank_to_null, file_stem, scene_identity
 
 _RAW_REPORT = (
     "scene string, split string, capture_session_id string, source_video_id string, frame_status_counts map<string,int>, "
@@ -102,8 +102,10 @@ def class_catalogue(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scene_reports(spark: SparkSession, path: str, keep_errors: bool = False) -> DataFrame:
-    """Scene reports ``*_report.json``.
+def scene_reports(
+    spark: SparkSession, path: str, keep_errors: bool = False, repository: str | None = None, project: str | None = None
+) -> DataFrame:
+    """Scene reports ``*_report.json``; scene paths get one spelling, in the checkout ``repository`` if given.
 
     keep_errors=False drops unreadable reports and reports without a scene;
     keep_errors=True keeps every file and fills ``error`` for unreadable ones.
@@ -119,7 +121,7 @@ def scene_reports(spark: SparkSession, path: str, keep_errors: bool = False) ->
     error = F.when(F.col("_corrupt_record").isNotNull(), "unreadable")
     table = rows.select(
         "report_path",
-        F.col("scene"),
+        scene_identity(F.col("scene"), repository, project).alias("scene"),
         F.coalesce("split", F.lit("" if keep_errors else "train")).alias("split"),
         blank_to_null(F.col("capture_session_id")).alias("capture_session_id"),
         blank_to_null(F.col("source_video_id")).alias("source_video_id"),

@@ -1,9 +1,9 @@
 """Frame streams: validity, warm-up, throttle, online quality gate, metadata.
 
-Stateful operators keep one small row per scene (or instance).  Order comes from
-``seq``, so the rows of a micro-batch are sorted first; the size of a micro-batch is
-bounded by the trigger options of the source.  A watermark on ``ts`` only ends the state
-of scenes that went quiet.
+Stateful operators keep one small row per scene (or instance), for as long as the query
+lives: no watermark drops frames of a scene that arrives late, and a pause does not reset
+a scene.  Order comes from ``seq``, so the rows of a micro-batch are sorted first; the size
+of a micro-batch is bounded by the trigger options of the source.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from ..plans.blocks import index_block
 from ..plans.chains import last_kept
 from ..plans.ordered import scan
 
-IDLE = "1 hour"
-
 
 def frame_stream(spark: SparkSession, path: str, schema: str = schemas.FRAME_EVENTS, files_per_trigger: int = 64) -> DataFrame:
     """Frame packets from a directory of Parquet files."""
@@ -55,20 +53,13 @@ def consistent(packets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _stateful(stream: DataFrame, keys: list[str], state_schema: str, output: str, step: Callable) -> DataFrame:
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         rows = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
         kept, renewed = step(rows, state.get if state.exists else None)
         state.update(renewed)
-        watermark = state.getCurrentWatermarkMs()
-        newest = int(rows["ts"].max().timestamp() * 1000)
-        state.setTimeoutTimestamp(max(newest, watermark) + 3_600_000)
         if len(kept):
             yield kept
 
-    watched = stream.withWatermark("ts", IDLE)
-    return watched.groupBy(*keys).applyInPandasWithState(run, output, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    return stream.groupBy(*keys).applyInPandasWithState(run, output, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
 def warmup(stream: DataFrame, skip: int) -> DataFrame:
