@@ -285,7 +285,29 @@ FRAME_RATES = f"""WITH {v.EVENTS}, t AS (SELECT *, epoch_us(ts) / 1e6::DOUBLE AS
   SELECT *, lag(s) OVER (PARTITION BY scene_id ORDER BY idx) AS ps FROM t)
 SELECT event_id, CASE WHEN ps IS NOT NULL THEN round(1.0::DOUBLE / greatest(s - ps, 1e-6::DOUBLE), 6) END AS fps FROM p"""
 
+def missing_or_absent_by_class(spark, sf_dir) -> DataFrame:
+    """Missing masks of orders as segments; where an order lists none, its lines without a file count."""
+    k, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    lines = v.table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("s"), F.col("l_orderkey").cast("string")).alias("scene_id"), k.alias("segment_id"), F.concat(F.lit("i"), n).alias("instance_id"),
+        F.when(F.col("l_linenumber") == 4, "").otherwise(F.concat_ws("/", F.lit(""), k, n)).alias("path"), "l_returnflag", "l_linestatus",
+        F.concat(F.lit("c"), (F.col("l_linenumber") % 3).cast("string")).alias("class_name"),
+    )
+    missing = lines.where("l_returnflag = 'R'").select("scene_id", "segment_id", "instance_id")
+    found = seg.with_absent_paths(missing, lines, lines.where("l_linestatus = 'F'"))
+    instances = lines.select("scene_id", "instance_id", "class_name").distinct()
+    return seg.missing_by_class(found, instances).select("segment_id", "class_name", F.array_join("instance_ids", "|").alias("instances"))
+
+
+MISSING_OR_ABSENT = """WITH li AS (SELECT CAST(l_orderkey AS VARCHAR) AS segment_id, 'i' || l_linenumber AS instance_id, 'c' || l_linenumber % 3 AS class_name,
+    l_returnflag = 'R' AS missing, l_linenumber <> 4 AND NOT EXISTS (SELECT 1 FROM lineitem f WHERE f.l_orderkey = l.l_orderkey AND f.l_linenumber = l.l_linenumber AND f.l_linestatus = 'F') AS absent FROM lineitem l),
+  listed AS (SELECT DISTINCT segment_id FROM li WHERE missing),
+  m AS (SELECT DISTINCT segment_id, class_name, instance_id FROM li WHERE missing OR (absent AND segment_id NOT IN (SELECT segment_id FROM listed)))
+SELECT segment_id, class_name, string_agg(instance_id, '|' ORDER BY instance_id) AS instances FROM m GROUP BY ALL"""
+
+
 QUERIES = {
+    "missing_or_absent_by_class": (missing_or_absent_by_class, MISSING_OR_ABSENT),
     "scene_cuts": (scene_cuts, SCENE_CUTS),
     "timestamp_gaps": (timestamp_gaps, TIMESTAMP_GAPS),
     "gap_limits": (gap_limits, GAP_LIMITS),

@@ -91,16 +91,20 @@ SELECT page_id, resolved, '/srv/framekit/projects/lab' AS project, CASE page_id
   WHEN 3 THEN '../../data/d' || page_id ELSE '../../../../data/d' || page_id END AS portable FROM r"""
 
 
-def json_paths(spark, sf_dir) -> DataFrame:
-    """Absolute paths rewritten inside nested JSON, with the number of changes."""
-    p = v.table(spark, sf_dir, "pages")
+def _nested_document():
     path = _old_path()
-    document = F.to_json(
+    return F.to_json(
         F.struct(
             F.col("page_id").alias("id"), path.alias("image"), F.struct(F.array(path, F.lit("plain \" text"), F.lit("/srv/framekit/data/k")).alias("list"), F.lit(None).alias("none")).alias("nested"),
             F.create_map(F.lit("/srv/framekit/key"), F.lit(1.5)).alias("keys"), F.col("html").alias("html"),
         )
     )
+
+
+def json_paths(spark, sf_dir) -> DataFrame:
+    """Absolute paths rewritten inside nested JSON, with the number of changes."""
+    p = v.table(spark, sf_dir, "pages")
+    document = _nested_document()
     text, changes = t.rewrite_json_paths(document, lambda s: t.relocated_path(s, [REPO], "/out", "projects/lab"))
     moved = F.get_json_object(text, "$.image")
     return p.select("page_id", moved.alias("image"), F.get_json_object(text, "$.nested.list[2]").alias("third"), (F.get_json_object(text, "$.html") == F.col("html")).cast("long").alias("html_same"), changes.cast("long").alias("changes"))
@@ -111,6 +115,23 @@ JSON_PATHS = r"""SELECT page_id, CASE page_id % 6 WHEN 0 THEN '/out/projects/lab
   CAST(CASE WHEN page_id % 6 < 3 THEN 3 ELSE 1 END AS BIGINT) AS changes FROM pages"""
 
 
+def json_paths_relative(spark, sf_dir) -> DataFrame:
+    """The same documents, each written to a folder of its own, with paths seen from there."""
+    p = v.table(spark, sf_dir, "pages")
+    base = F.when(F.col("page_id") % 2 == 0, "/out/data").otherwise(F.concat(F.lit("/out/docs/d"), F.col("page_id").cast("string")))
+    text, changes = t.rewrite_json_paths(_nested_document(), lambda s: t.relocated_relative(s, base, [REPO], "/out", "projects/lab"))
+    return p.select(
+        "page_id", F.get_json_object(text, "$.image").alias("image"), F.get_json_object(text, "$.nested.list[0]").alias("first"),
+        F.get_json_object(text, "$.nested.list[2]").alias("third"), changes.cast("long").alias("changes"),
+    )
+
+
+_RELATIVE_IMAGE = r"""CASE page_id % 6 WHEN 0 THEN '../projects/lab/data/x' || page_id || '.png' WHEN 1 THEN '../../data/x' || page_id || '.png' WHEN 2 THEN 'x' || page_id || '.png'
+  WHEN 3 THEN 'C:\framekit\data/x' || page_id || '.png' WHEN 4 THEN '/elsewhere/data/x' || page_id || '.png' ELSE url END"""
+JSON_PATHS_RELATIVE = f"""SELECT page_id, {_RELATIVE_IMAGE} AS image, {_RELATIVE_IMAGE} AS first, CASE WHEN page_id % 2 = 0 THEN 'k' ELSE '../../data/k' END AS third,
+  CAST(CASE WHEN page_id % 6 < 3 THEN 3 ELSE 1 END AS BIGINT) AS changes FROM pages"""
+
+
 def report_names(spark, sf_dir) -> DataFrame:
     o = v.table(spark, sf_dir, "orders")
     name = F.concat(F.lit("s"), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, "_train_report.json").otherwise("_report.json"))
@@ -172,6 +193,7 @@ QUERIES = {
     "paths_relocated": (paths_relocated, PATHS_RELOCATED),
     "paths_compatible": (paths_compatible, PATHS_COMPATIBLE),
     "json_paths": (json_paths, JSON_PATHS),
+    "json_paths_relative": (json_paths_relative, JSON_PATHS_RELATIVE),
     "report_names": (report_names, REPORT_NAMES),
     "rotation_jump": (rotation_jump, ROTATION_JUMP),
     "intrinsics_scaled": (intrinsics_scaled, INTRINSICS),

@@ -213,6 +213,17 @@ def relative_path(path: Column, base: Column, inside: Column) -> Column:
     return F.when(inside, F.coalesce(F.nullif(joined, F.lit("")), F.lit("."))).otherwise(path)
 
 
+def relocated_relative(path: Column, base: Column, old_roots: Sequence[str], new_root: str, project_marker: str) -> Column:
+    """``relocated_path`` seen from directory ``base`` of the document that holds the path."""
+    moved = relocated_path(path, old_roots, new_root, project_marker)
+    return _bound(moved, lambda m: F.when(m.isNotNull(), relative_path(m, base, F.lit(True))))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def rewrite_json_paths(document: Column, rewrite) -> tuple[Column, Column]:
     """Rewrite path strings that are values anywhere in JSON text.
 
@@ -231,8 +242,8 @@ def rewrite_json_paths(document: Column, rewrite) -> tuple[Column, Column]:
         is_value = (i % 2 == 1) & ~F.coalesce(F.try_element_at(parts, i + 2).rlike(r"^\s*:"), F.lit(False))
         candidate = is_value & (piece.startswith("/") | piece.startswith("\\"))
         plain = F.when(candidate, F.get_json_object(F.concat(F.lit('["'), restored(piece), F.lit('"]')), "$[0]"))
-        encoded = F.to_json(F.array(rewrite(plain)))
-        moved = F.when(rewrite(plain).isNotNull(), F.substring(encoded, F.lit(3), F.length(encoded) - 4))
+        encoded = F.to_json(F.array(_bound(plain, rewrite)))  # [null] for strings that stay
+        moved = _bound(encoded, lambda e: F.when(e != "[null]", F.substring(e, F.lit(3), F.length(e) - 4)))
         return F.struct(moved.alias("new"), restored(piece).alias("old"))
 
     pieces = F.transform(parts, renew)

@@ -197,6 +197,18 @@ def readiness(progress: DataFrame) -> DataFrame:
     )
 
 
+def with_absent_paths(missing: DataFrame, required: DataFrame, files: DataFrame) -> DataFrame:
+    """``missing``, and for segments that list nothing there the instances whose required file is absent.
+
+    missing  ``scene_id, segment_id, instance_id``
+    required  ``scene_id, segment_id, instance_id, path``; files  ``path``
+    """
+    on = ["scene_id", "segment_id"]
+    listed = missing.select(*on).distinct()
+    absent = required.where("path <> ''").join(listed, on, "left_anti").join(files.select("path"), "path", "left_anti")
+    return missing.select(*on, "instance_id").unionByName(absent.select(*on, "instance_id")).distinct()
+
+
 def missing_by_class(missing: DataFrame, instances: DataFrame) -> DataFrame:
     """Missing instances of a segment grouped by class, names sorted.
 
