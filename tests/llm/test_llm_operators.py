@@ -273,3 +273,16 @@ def test_toxicity(spark, prose):
     assert toxicity.kept_documents(docs, lexicon).columns == docs.columns
     none = toxicity.fit(docs, labels.limit(0), F.lit(True))
     assert docs.select(toxicity.score(F.col("text"), none, spark).alias("s")).agg(F.max("s")).first()[0] == 0.0
+
+
+def test_toxicity_counts_documents_that_share_a_word(spark):
+    """One common word does not make copies; the same words in the same order do."""
+    common = min((f"common{i}" for i in range(5000)), key=lambda w: zlib.crc32(w.encode()))
+    texts = [f"{common} idiot toxic{chr(97 + i)} here" for i in range(12)] + [f"{common} plain clean{chr(97 + i)} here" for i in range(12)]
+    texts += [texts[0].upper().replace(" ", ", ")] * 30 + ["rare word alone"] * 30
+    docs = _docs(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 12 or i >= 24)) for i in range(len(texts))], "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs, labels, F.lit(True))
+    assert lexicon.shares["=idiot" if "=idiot" in lexicon.shares else "idio"] > 0.8
+    assert "=rare" not in lexicon.shares and "rare" not in lexicon.shares
+    assert toxicity.print_of(["a", "b"]) != toxicity.print_of(["b", "a"])
