@@ -286,3 +286,21 @@ def test_toxicity_counts_documents_that_share_a_word(spark):
     assert lexicon.shares["=idiot" if "=idiot" in lexicon.shares else "idio"] > 0.8
     assert "=rare" not in lexicon.shares and "rare" not in lexicon.shares
     assert toxicity.print_of(["a", "b"]) != toxicity.print_of(["b", "a"])
+
+
+def test_toxicity_reads_long_and_joined_tokens(spark, prose):
+    insults = ["idiot", "moron", "worthless"]
+    texts = [f"{t} {insults[i % 3]} {t[:9]}" if i % 4 == 0 else t for i, t in enumerate(prose * 4)]
+    n = len(texts)
+    joined = "-".join(prose[1].split())
+    hidden = [
+        "stop,1d10t", "you...1d10t", "word/m0r0n", "stop!1d10t now", f"i{'d' * 80}iot", f"{joined}-1d10t-{joined}", f"{joined}/{joined}.m0r0n",
+        f"{joined}²{joined}²1d10t", "a/" * 30_000 + "m0r0n",
+    ]
+    plain = ["stop,then", joined, f"{joined}/{joined}", "x-" * 30_000, "²" * 100, "1/" * 100 + "a"]
+    docs = _docs(spark, [*texts, *hidden, *plain])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(n)], "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs, labels, F.lit(True))
+    rows = {r["doc_id"]: r["s"] for r in docs.select("doc_id", toxicity.score(F.col("text"), lexicon, spark).alias("s")).collect()}
+    assert [t[:30] for i, t in enumerate(hidden) if rows[n + i] < 0.5] == []
+    assert [t[:30] for i, t in enumerate(plain) if rows[n + len(hidden) + i] >= 0.5] == []
