@@ -1,10 +1,12 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and exact verification.
 
-Words are lower-cased runs without white space; shingles are five words, weighted by a damped count.
+Words are lower-cased runs without white space; shingles are five words.  A document has a signature of
+its distinct shingles and, where shingles repeat, a second one of shingles weighted by a damped count.
 ProbMinHash lets every shingle arrive as a Poisson process whose rate is its weight; each arrival falls
 on a random register, which keeps the earliest one.  Arrivals later than the latest register cannot
 matter, so a document stops early.  Two registers agree with the probability Jaccard similarity of
-the weighted shingles.
+the shingles as weighted.  Bands are those of both signatures; the similarity that the links are about is
+that of distinct shingles, so pairs are told likely or not by the first signature alone.
 
 Texts that agree as word sequences are one class from the start.  Classes that agree in a band are
 compared with the band's smallest member; wherever a band still holds several components, its
@@ -31,7 +33,7 @@ SHINGLE = 5
 REGISTERS, BANDS = 120, 24
 ROWS = REGISTERS // BANDS
 THRESHOLD = 0.8
-LIKELY = 0.7  # signature agreement below which a pair of 0.8 is out of the question
+LIKELY = 0.58  # signature agreement below which a pair of 0.8 is out of the question: a chance under 1 in 10 million
 TILE = 512
 SLICE = 400_000  # shingles handled at once
 
@@ -109,17 +111,25 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, words) to (id, signature binary); rows are handled in slices of bounded size."""
+    """(id, words) to (id, signature, weighted); rows are handled in slices of bounded size.
+
+    ``signature`` is that of distinct shingles.  ``weighted`` is null where no shingle repeats, as both agree there.
+    """
     for batch in batches:
         flat, offsets = _flat(batch.column("words"))
-        out, row = [], 0
+        out, heavy, row = [], [], 0
         while row < batch.num_rows:
             stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE, side="right")) - 1)
             value, owner, count = distinct_shingles(flat[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row])
-            found = signatures(value, owner, 1.0 + np.log(count), stop - row)
+            found = signatures(value, owner, np.ones(len(count)), stop - row)
             out += [found[i].tobytes() for i in range(stop - row)]
+            repeats = np.unique(owner[count > 1])
+            inside = np.isin(owner, repeats)
+            found = signatures(value[inside], np.searchsorted(repeats, owner[inside]), 1.0 + np.log(count[inside]), len(repeats))
+            own = dict(zip(repeats.tolist(), (x.tobytes() for x in found), strict=True))
+            heavy += [own.get(i) for i in range(stop - row)]
             row = stop
-        yield pa.record_batch([batch.column("id"), pa.array(out, pa.binary())], ["id", "signature"])
+        yield pa.record_batch([batch.column("id"), pa.array(out, pa.binary()), pa.array(heavy, pa.binary())], ["id", "signature", "weighted"])
 
 
 def _bands(signature: Column) -> Column:
@@ -185,8 +195,9 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     owners = keyed.join(classes, "print").select("id", "text_class").distinct()
     owners = cut(owners.unionByName(stored.where("words is null").select("id", F.col("id").alias("text_class"))).distinct())
     one = stored.where("words is not null").join(classes.select(F.col("text_class").alias("id")).distinct(), "id", "left_semi")
-    sketched = cut(one.mapInArrow(sketch, "id long, signature binary"))
-    bands = sketched.select("id", F.explode(_bands(F.col("signature"))).alias("band"))
+    sketched = cut(one.mapInArrow(sketch, "id long, signature binary, weighted binary"))
+    both = F.when(F.col("weighted").isNull(), _bands(F.col("signature"))).otherwise(F.array_union(_bands(F.col("signature")), _bands(F.col("weighted"))))
+    bands = sketched.select("id", F.explode(both).alias("band"))
     leads = bands.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("band", "a")
     members = cut(bands.join(leads, "band").select("band", "id", "a"))  # bands with one member are gone
     first = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
@@ -195,7 +206,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     # bands that still hold several components
     named = members.select("band", "id").join(found, "id")
     mixed = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    inside = named.join(mixed.select("band", "n"), "band").join(sketched, "id")
+    inside = named.join(mixed.select("band", "n"), "band").join(sketched.drop("weighted"), "id")
     parts = F.ceil(F.col("n") / TILE).cast("int")
     tile = F.pmod(F.xxhash64("id", F.lit(5)), parts).cast("int")
     spread = inside.withColumns({"parts": parts, "tile": tile})

@@ -1,6 +1,7 @@
 """Operators of the training-data subpackage against brute force, and their edge cases."""
 
 import base64
+import math
 import random
 import zlib
 
@@ -304,3 +305,24 @@ def test_toxicity_reads_long_and_joined_tokens(spark, prose):
     rows = {r["doc_id"]: r["s"] for r in docs.select("doc_id", toxicity.score(F.col("text"), lexicon, spark).alias("s")).collect()}
     assert [t[:30] for i, t in enumerate(hidden) if rows[n + i] < 0.5] == []
     assert [t[:30] for i, t in enumerate(plain) if rows[n + len(hidden) + i] >= 0.5] == []
+
+
+def test_signatures_follow_distinct_shingles(spark):
+    """A copy that repeats a passage stays as similar as its distinct shingles, and likely pairs of 0.8 are not lost."""
+    rng = random.Random(6)
+    pairs = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(204)]
+        pairs += [" ".join(words), " ".join(words + words[:104] * 50)]
+    docs = _docs(spark, pairs)
+    rows = docs.select(F.col("doc_id").alias("id"), minhash.words(F.col("text")).alias("words"))
+    marks = {r["id"]: r for r in rows.mapInArrow(minhash.sketch, "id long, signature binary, weighted binary").collect()}
+    for i in range(0, len(pairs), 2):
+        a, b = (np.frombuffer(marks[i + k]["signature"], np.uint32) for k in (0, 1))
+        assert abs((a == b).mean() - _jaccard(pairs[i], pairs[i + 1])) < 0.08
+        assert marks[i]["weighted"] is None and marks[i + 1]["weighted"] != marks[i + 1]["signature"]
+    members, _ = minhash.near_duplicates(docs)
+    assert {r["id"]: r["component"] for r in members.collect()} == {i: i - i % 2 for i in range(len(pairs))}
+    n = minhash.REGISTERS
+    lost = sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(n + 1) if k / n < minhash.LIKELY)
+    assert lost < 1e-7
