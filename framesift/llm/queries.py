@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, language, minhash, mixing, pitman, pq, quality, toxicity, urlfilter
+from . import ann, bpe, language, minhash, mixing, pii, pitman, pq, quality, toxicity, urlfilter
 from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -99,6 +99,34 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc_of(F.col("id")) % 10 == 0)
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: counts and places of the base kinds, and the places of all."""
+    found = pii.find_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda x: x["kind"].isin("email", "ip", "card", "phone"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.written(base).cast("binary"), 256).alias("base_sha256"), pii.written(F.col("pii")).alias("spans"),
+    )
+
+
+PERSONAL_DATA_SQL = f"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({pii.spans_sql("rows")}),
+listed AS (
+  SELECT r, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || start || ':' || end_, ',' ORDER BY kind_no, start) FILTER (kind_no < 4) AS base,
+         string_agg(kind || ':' || start || ':' || end_, ',' ORDER BY kind_no, start) AS spans
+  FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM rows LEFT JOIN listed USING (r)
+"""
+
 QUERIES = {
     "op1_language_id": language_id,
     "language_id_pages": language_id_pages,
@@ -111,6 +139,7 @@ QUERIES = {
     "op8_pitman_yor": language_model,
     "op9_toxicity": toxic_documents,
     "op10_embedding_near_dedup": embedding_near_dedup,
+    "op13_pii": personal_data,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_pii": PERSONAL_DATA_SQL}
