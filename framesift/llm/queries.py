@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, language, minhash, mixing, pii, pitman, pq, quality, toxicity, urlfilter
+from . import ann, bpe, language, minhash, mixing, negatives, pii, pitman, pq, quality, toxicity, urlfilter
 from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -99,6 +99,34 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc_of(F.col("id")) % 10 == 0)
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every fiftieth vector; labels of every seventh row are moved on by one first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.mine(vectors, F.col("id") % 50 == 0)
+
+
+HARD_NEGATIVES_SQL = """
+WITH whole AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.id AS anchor_id, b.id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.id % 50 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+found AS (
+  SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
+"""
+
+
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text: counts and places of the base kinds, and the places of all."""
     found = pii.find_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -139,7 +167,8 @@ QUERIES = {
     "op8_pitman_yor": language_model,
     "op9_toxicity": toxic_documents,
     "op10_embedding_near_dedup": embedding_near_dedup,
+    "op11_hard_negatives": hard_negatives,
     "op13_pii": personal_data,
 }
 
-ORACLE: dict[str, str] = {"op13_pii": PERSONAL_DATA_SQL}
+ORACLE: dict[str, str] = {"op11_hard_negatives": HARD_NEGATIVES_SQL, "op13_pii": PERSONAL_DATA_SQL}
