@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, language, minhash, mixing, negatives, pii, pitman, pq, quality, toxicity, urlfilter
+from . import align, ann, bpe, language, minhash, mixing, negatives, pii, pitman, pq, quality, toxicity, urlfilter
 from .common import crc_of, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -127,6 +127,12 @@ SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_
 """
 
 
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizations of every whole text, with corpus-wide counts of the linked pairs."""
+    aligner = align.Aligner(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return aligner.summarise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text: counts and places of the base kinds, and the places of all."""
     found = pii.find_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -168,6 +174,7 @@ QUERIES = {
     "op9_toxicity": toxic_documents,
     "op10_embedding_near_dedup": embedding_near_dedup,
     "op11_hard_negatives": hard_negatives,
+    "op12_token_alignment": token_alignment,
     "op13_pii": personal_data,
 }
 
