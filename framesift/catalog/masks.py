@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import MASK_SEQUENCE_THRESHOLDS
 from ..operators import annotate, depth, masks
 from ..operators.quality import resolve_thresholds
-from ..plans.blocks import text_block
 from ..plans.ordered import scan
 from ..plans.quantiles import exact_quantiles
 from . import views as v
@@ -240,7 +239,7 @@ def _annotation(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFra
     """Frames, instances, mask files and runs of the drawn masks."""
     runs = v.mask_runs(spark, sf_dir)
     files = runs.select(*M).distinct()
-    frames = scan(files.select("scene_id", "frame_id").distinct(), ["scene_id"], ["frame_id"], text_block(F.col("frame_id")), index="frame_index")
+    frames = scan(files.select("scene_id", "frame_id").distinct(), ["scene_id"], ["frame_id"], index="frame_index")
     frames = frames.withColumns({"width": F.lit(v.MASK_WIDTH), "height": F.lit(v.MASK_HEIGHT)})
     names = F.array(*[F.struct(F.lit(f"m{i}").alias("instance_id"), F.lit(i).alias("ord"), F.lit(i).alias("class_id"), F.lit(0).alias("start"), F.lit(0).alias("max_frames")) for i in range(3)])
     instances = files.select("scene_id").distinct().select("scene_id", F.inline(names))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import OFFICIAL_CLASSES
+from ..constants import MASK_SEQUENCE_THRESHOLDS, OFFICIAL_CLASSES
 from ..functions.geometry import box_label
 from ..operators import quality as q
 from ..operators import review, verdict
+from ..plans.ordered import scan
 from ..session import cut
 from . import views as v
 
@@ -86,6 +87,57 @@ SELECT event_id, status, reject_reasons, review_reasons, round(area_ratio, 6) AS
 FROM graded"""
 
 
+POSE_LIMITS = {**MASK_SEQUENCE_THRESHOLDS, "max_translation_jump_m": 0.22, "max_rotation_jump_deg": 55.0}
+
+
+def _pose_chain(spark, sf_dir, reset: bool, block_rows: int) -> DataFrame:
+    """Poses along one sequence per event type: steps of 5 cm, turns of 20 degrees, every 13th frame without a mask."""
+    raw = v.table(spark, sf_dir, "events").withColumnRenamed("event_type", "scene_id")
+    placed = scan(raw, ["scene_id"], ["ts", "event_id"], index="frame_index")
+    angle = F.radians((F.col("event_id") % 5 * 20).cast("double"))
+    step = F.floor("value") % 7 * F.lit(0.05)
+    zero, one = F.lit(0.0), F.lit(1.0)
+    pose = F.array(F.cos(angle), -F.sin(angle), zero, step, F.sin(angle), F.cos(angle), zero, zero, zero, zero, one, zero, zero, zero, zero, one)
+    frames = placed.select(
+        "event_id", "scene_id", F.lit("p").alias("instance_id"), "frame_index", F.lit(1000).cast("long").alias("mask_area"), F.lit(50.0).alias("cx"), F.lit(50.0).alias("cy"),
+        F.lit(640).alias("width"), F.lit(480).alias("height"), (F.col("event_id") % 397 == 0 if reset else F.lit(False)).alias("registration"),
+        (F.col("event_id") % 13 != 0).alias("has_mask"), pose.alias("pose"),
+    )
+    graded = q.grade_sequence(frames, q.resolve_thresholds(defaults=POSE_LIMITS), reset_at_registration=reset, block_rows=block_rows)
+    return graded.select(
+        "event_id", "status", v.joined("reject_reasons"), v.joined("review_reasons"),
+        F.round("translation_jump_m", 4).alias("translation_jump_m"), F.round("rotation_jump_deg", 3).alias("rotation_jump_deg"),
+    )
+
+
+def pose_fold(spark, sf_dir) -> DataFrame:
+    """Jumps against the last good pose, forgotten at every registration."""
+    return _pose_chain(spark, sf_dir, True, 64)
+
+
+def pose_fold_long(spark, sf_dir) -> DataFrame:
+    """The same without registrations: few sequences over many blocks."""
+    return _pose_chain(spark, sf_dir, False, 256)
+
+
+def _pose_sql(registration: str) -> str:
+    return f"""WITH RECURSIVE po AS (
+  SELECT event_id, event_type AS s, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS n, CAST(floor(value) AS BIGINT) % 7 * 0.05::DOUBLE AS tx,
+         event_id % 5 * 20::DOUBLE AS ang, event_id % 13 <> 0 AS has, {registration} AS reg FROM events),
+r AS (
+  SELECT s, CAST(0 AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS rt, CAST(NULL AS DOUBLE) AS ra FROM po WHERE n = 0 UNION ALL
+  SELECT s, n + 1, CASE WHEN k THEN tx WHEN reg THEN NULL ELSE rt END, CASE WHEN k THEN ang WHEN reg THEN NULL ELSE ra END
+  FROM (SELECT r.*, po.tx, po.ang, po.reg, po.has AND (po.reg OR rt IS NULL OR (abs(tx - rt) <= 0.22 AND abs(ang - ra) <= 55)) AS k FROM r JOIN po ON po.s = r.s AND po.n = r.n)),
+w AS (
+  SELECT event_id, has, reg, abs(tx - CASE WHEN NOT reg THEN rt END) AS t, abs(ang - CASE WHEN NOT reg THEN ra END) AS a FROM po JOIN r USING (s, n)),
+z AS (
+  SELECT *, CASE WHEN NOT has THEN 'mask_file_missing' ELSE concat_ws('|', CASE WHEN t > 0.22 THEN 'translation_jump' END, CASE WHEN a > 55 THEN 'rotation_jump' END) END AS bad FROM w),
+y AS (
+  SELECT *, CASE WHEN bad <> '' THEN '' ELSE concat_ws('|', CASE WHEN t > 0.12 THEN 'large_translation_motion' END, CASE WHEN a > 35 THEN 'large_rotation_motion' END) END AS soft FROM z)
+SELECT event_id, CASE WHEN bad <> '' THEN 'rejected' WHEN soft <> '' THEN 'review' ELSE 'accepted' END AS status, bad AS reject_reasons, soft AS review_reasons,
+       round(t, 4) AS translation_jump_m, round(a, 3) AS rotation_jump_deg FROM y"""
+
+
 def reject_streaks(spark, sf_dir) -> DataFrame:
     e = v.events(spark, sf_dir).withColumn("status", F.when(F.col("value") < 45, "rejected").otherwise("accepted"))
     hits = q.reject_streaks(e, 3, keys=["scene_id"], index="idx")
@@ -400,6 +452,8 @@ FROM s"""
 QUERIES = {
     "quality_gate": (quality_gate, QUALITY_GATE),
     "quality_fold": (quality_fold, QUALITY_FOLD),
+    "pose_fold": (pose_fold, _pose_sql("event_id % 397 = 0")),
+    "pose_fold_long": (pose_fold_long, _pose_sql("false")),
     "reject_streaks": (reject_streaks, REJECT_STREAKS),
     "tracking_segments": (tracking_segments, TRACKING),
     "manual_override": (manual_override, MANUAL_OVERRIDE),

@@ -12,6 +12,7 @@ from . import views as v
 
 INTERVAL_S = 43200.0
 CAP = 12
+LONG_S = 1800.0
 SKIP = 5
 
 
@@ -90,6 +91,21 @@ THROTTLE = f"""WITH RECURSIVE {_PACKETS}, r AS (
 SELECT scene_id, seq FROM r WHERE kept AND c <= {CAP}"""
 
 
+def throttle_long(spark, sf_dir) -> DataFrame:
+    """One long sequence per event type, over many blocks."""
+    packets = v.table(spark, sf_dir, "events").select(F.col("event_type").alias("scene_id"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"))
+    return s.throttle_batch(packets, LONG_S, block_rows=128)
+
+
+THROTTLE_LONG = f"""WITH RECURSIVE vp AS (
+  SELECT event_type AS scene_id, event_id AS seq, epoch_us(ts) AS t, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS n FROM events),
+r AS (
+  SELECT scene_id, n, t AS last, true AS kept FROM vp WHERE n = 0 UNION ALL
+  SELECT r.scene_id, v.n, CASE WHEN v.t - r.last >= {int(LONG_S * 1e6)} THEN v.t ELSE r.last END, v.t - r.last >= {int(LONG_S * 1e6)}
+  FROM r JOIN vp v ON v.scene_id = r.scene_id AND v.n = r.n + 1)
+SELECT scene_id, seq, ts FROM r JOIN vp USING (scene_id, n) JOIN events ON event_id = seq WHERE kept"""
+
+
 def consistent_packets(spark, sf_dir) -> DataFrame:
     good, dead = s.consistent(_stored(spark, sf_dir))
     return good.select("seq", F.lit("good").alias("kind")).unionByName(dead.select("seq", F.lit("dead").alias("kind")))
@@ -151,6 +167,7 @@ QUERIES = {
     "warmup": (warmup, WARMUP),
     "warmup_stream": (warmup_stream, WARMUP),
     "throttle": (throttle, THROTTLE),
+    "throttle_long": (throttle_long, THROTTLE_LONG),
     "throttle_stream": (throttle_stream, THROTTLE),
     "consistent_packets": (consistent_packets, CONSISTENT),
     "capture_status_stream": (capture_status_stream, CAPTURE_STATUS),

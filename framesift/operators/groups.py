@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import blank_to_null, scene_identity
 from ..plans.blocks import index_block
 from ..plans.components import connected_components
-from ..plans.ordered import scan
+from ..plans.ordered import ranked, scan
 from ..session import cut
 
 MAX_CLASSES = 10_000  # class catalogues are lists of names; more is refused
@@ -105,12 +105,9 @@ def mixed_group_violations(summary: DataFrame, chosen: DataFrame) -> DataFrame:
 def newest_first(summary: DataFrame) -> DataFrame:
     """Position of each group when ordered by newest scene, then key, both descending.
 
-    The ranks come from counts per class and day (the name up to its date, else the whole
-    name, which keeps the order), so no task sorts all groups.
+    The ranks come from range partitions and their counts, so no task sorts all groups.
     """
-    dated = F.regexp_extract("newest_scene", r"^(.*?_[0-9]{8})", 1)
-    block = F.coalesce(F.nullif(dated, F.lit("")), F.col("newest_scene"))
-    ascending = scan(summary, [], ["newest_scene", "group_key"], block, index="_up", total="_all")
+    ascending = ranked(summary, ["newest_scene", "group_key"], "_up", "_all")
     return ascending.withColumn("position", F.col("_all") - 1 - F.col("_up")).drop("_up", "_all")
 
 

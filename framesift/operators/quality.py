@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import MASK_SEQUENCE_THRESHOLDS
 from ..functions.geometry import center_shift_norm, hypotenuse, rotation_jump_deg, translation_jump_m
-from ..plans.blocks import index_block
-from ..plans.chains import last_kept
+from ..plans.blocks import FRAMES_PER_BLOCK, index_block
+from ..plans.chains import Rule, last_kept
 from ..plans.ordered import scan
 from ..session import stored
 
@@ -165,6 +166,32 @@ def _motion_ok(ref, row, extra):
     return True
 
 
+class Motion(Rule):
+    """The motion rules against the last good frame, for whole columns; the same limits as the column rules.
+
+    columns  ``area, x, y, pose`` and ``_usable, _first, _min_ratio, _max_ratio, _max_shift, _max_step, _max_turn, _diagonal``
+    """
+
+    def possible(self, rows):
+        return rows["_usable"].astype(bool)
+
+    def near(self, refs, rows):
+        both = (refs["area"] > 0) & (rows["area"] > 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = rows["area"] / refs["area"]
+            dx, dy = rows["x"] - refs["x"], rows["y"] - refs["y"]
+            far = np.sqrt(dx * dx + dy * dy) / rows["_diagonal"] > rows["_max_shift"]
+            bad = both & ((ratio < rows["_min_ratio"]) | (ratio > rows["_max_ratio"]) | far)
+            before, pose = refs["pose"], rows["pose"]
+            if pose.ndim == 2 and pose.shape[1] >= 12:  # a null pose is NaN, and no limit holds or fails for it
+                step = np.sqrt(((pose[:, [3, 7, 11]] - before[:, [3, 7, 11]]) ** 2).sum(axis=1))
+                turned = [0, 1, 2, 4, 5, 6, 8, 9, 10]
+                trace = (pose[:, turned] * before[:, turned]).sum(axis=1)
+                turn = np.degrees(np.arccos(np.clip((trace - 1.0) * 0.5, -1.0, 1.0)))
+                bad |= (step > rows["_max_step"]) | (turn > rows["_max_turn"])
+        return rows["_first"].astype(bool) | ~bad
+
+
 def grade_sequence(
     frames: DataFrame,
     thresholds: Column,
@@ -172,6 +199,7 @@ def grade_sequence(
     keys: Sequence[str] = INSTANCE,
     index: str = "frame_index",
     reset_at_registration: bool = False,
+    block_rows: int = FRAMES_PER_BLOCK,
 ) -> DataFrame:
     """Grade every frame against the last frame that was not rejected.
 
@@ -180,6 +208,7 @@ def grade_sequence(
                ``frame_index`` counts the frames of a key from 0.
     thresholds struct column as from ``resolve_thresholds``
     reset_at_registration  forget earlier frames at a registration frame (pose tracking)
+    block_rows  frames of a sequence that are evaluated apart from the others
 
     Adds ``area_ratio, center_shift_norm, translation_jump_m, rotation_jump_deg, status,
     reject_reasons, review_reasons``.  Frames without a mask are rejected and never become
@@ -219,7 +248,7 @@ def grade_sequence(
         *[c.alias(name) for name, c in limits.items()],
     )
     chain = last_kept(
-        compact, keys, index, index_block(F.col(index)), ["area", "x", "y", "pose"], _motion_ok, ["_usable", "_first", *limits]
+        compact, keys, index, index_block(F.col(index), block_rows), ["area", "x", "y", "pose"], Motion(), ["_usable", "_first", *limits]
     ).select(*keys, index, F.col("ref_area").alias("_ra"), F.col("ref_x").alias("_rx"), F.col("ref_y").alias("_ry"), F.col("ref_pose").alias("_rp"))
     joined = frames.join(chain, [*keys, index])
     registration = F.coalesce("registration", F.lit(False))

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import STATUSES
-from ..plans.blocks import index_block, text_block
-from ..plans.ordered import scan
+from ..plans.blocks import index_block
+from ..plans.ordered import blocked, scan
 
 FRAME = ("scene_id", "instance_id", "frame_id")
 EMPTY = "array<string>"
@@ -90,12 +90,12 @@ def rerun_ranges(frames: DataFrame, requests: DataFrame, keys: Sequence[str] = (
     """
     keys = list(keys)
     segment = [*keys, "segment_id"]
-    block = text_block(F.col("frame_id"))
-    behind = scan(frames, segment, ["frame_id"], block, prev={"_before": F.col("frame_id")})
+    frames = blocked(frames, segment, ["frame_id"])
+    behind = scan(frames, segment, ["frame_id"], prev={"_before": F.col("frame_id")})
     accepted = F.when(F.col("effective_status") == "accepted", F.struct("frame_id", "_before"))
-    marked = scan(behind, segment, ["frame_id"], block, next={"_next": accepted})
+    marked = scan(behind, segment, ["frame_id"], next={"_next": accepted})
     bounds = frames.groupBy(*segment).agg(F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("segment_last"))
-    bounds = scan(bounds, keys, ["first_frame"], text_block(F.col("first_frame")), next={"next_segment_first": F.col("first_frame")})
+    bounds = scan(bounds, keys, ["first_frame"], next={"next_segment_first": F.col("first_frame")})
     wanted = requests.select(*keys, "frame_id").distinct()
     found = marked.join(wanted, [*keys, "frame_id"]).join(bounds.drop("first_frame"), segment)
     found = found.withColumns({"next_accepted": F.col("_next.frame_id"), "before_accepted": F.col("_next._before")})
@@ -131,7 +131,7 @@ def reject_range(frames: DataFrame, marks: DataFrame, keys: Sequence[str] = ("sc
     starts = starts.groupBy(*keys, "frame_id", "_kind").agg(F.max("_to").alias("_to"))
     rows = frames.select(*keys, "frame_id", F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("_to"))
     # a frame is inside when some range that began at or before it reaches it
-    reach = scan(starts.unionByName(rows), keys, ["frame_id", "_kind"], text_block(F.col("frame_id")), cummax={"_reach": F.col("_to")})
+    reach = scan(starts.unionByName(rows), keys, ["frame_id", "_kind"], cummax={"_reach": F.col("_to")})
     return reach.where((F.col("_kind") == 1) & (F.col("_reach") >= F.col("frame_id"))).select(
         *keys, "frame_id", F.lit("rejected").alias("status"), F.lit("manual_problem_range").alias("reason")
     )

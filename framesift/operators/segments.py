@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.blocks import index_block, text_block
+from ..plans.blocks import index_block
 from ..plans.ordered import scan
 from ..plans.quantiles import exact_quantiles
 from .review import interval_join
@@ -19,7 +19,6 @@ def scene_cuts(vectors: DataFrame, threshold: float, order: str = "frame_id", bl
 
     vectors  ``scene_id, <order>, vec ARRAY`` with a null vec for an unreadable frame
     """
-    block = text_block(F.col(order)) if block is None else block
     carried = scan(vectors, list(SCENE), [order], block, prev={"_last": F.col("vec")})
     steps = F.zip_with("vec", "_last", lambda a, b: F.abs(a - b).cast("double"))
     diff = F.aggregate(steps, F.lit(0.0), lambda acc, v: acc + v) / F.size("vec")
@@ -31,7 +30,6 @@ def scene_cuts(vectors: DataFrame, threshold: float, order: str = "frame_id", bl
 
 def gap_limits(frames: DataFrame, manual_ms: float = 0.0, block: Column | None = None, order: Sequence[str] = ("frame_id",)) -> DataFrame:
     """Median positive gap of each scene and the limit derived from it (3 x median, or manual)."""
-    block = text_block(F.col("frame_id")) if block is None else block
     known = frames.where(F.col("timestamp_ms").isNotNull())
     paired = scan(known, list(SCENE), list(order), block, prev={"_before": F.col("timestamp_ms")})
     gaps = paired.select("scene_id", (F.col("timestamp_ms") - F.col("_before")).alias("gap")).where("gap > 0")
@@ -42,7 +40,6 @@ def gap_limits(frames: DataFrame, manual_ms: float = 0.0, block: Column | None =
 
 def timestamp_gaps(frames: DataFrame, limits: DataFrame, block: Column | None = None, order: Sequence[str] = ("frame_id",), manual_ms: float = 0.0) -> DataFrame:
     """Gap to the last known timestamp; ``is_gap`` above the limit of the scene."""
-    block = text_block(F.col("frame_id")) if block is None else block
     carried = scan(frames, list(SCENE), list(order), block, prev={"_before": F.col("timestamp_ms")})
     joined = carried.join(limits.select("scene_id", "gap_limit_ms"), "scene_id", "left")
     limit = F.lit(float(manual_ms)) if manual_ms > 0 else F.col("gap_limit_ms")
@@ -57,7 +54,6 @@ def boundaries(frames: DataFrame, max_frames: int, order: str = "frame_id", bloc
     A segment also ends after ``max_frames``: with ``h`` the last cut, gap or start before a
     frame, the length rule holds when ``(index - h) % max_frames = 0``.
     """
-    block = text_block(F.col(order)) if block is None else block
     numbered = scan(frames, list(SCENE), [order], block, index="frame_index")
     hard = (F.col("frame_index") == 0) | F.col("is_cut") | F.col("is_gap")
     marked = scan(
@@ -134,7 +130,7 @@ def usable_segments(table: DataFrame, frames: DataFrame) -> DataFrame:
 
     table  ``scene_id, segment_id, list_pos, start_id, end_id``; frames ``scene_id, frame_id``
     """
-    placed = scan(frames.select("scene_id", "frame_id"), list(SCENE), ["frame_id"], text_block(F.col("frame_id")), index="position")
+    placed = scan(frames.select("scene_id", "frame_id"), list(SCENE), ["frame_id"], index="position")
     first = placed.select("scene_id", F.col("frame_id").alias("start_id"), F.col("position").alias("_a"))
     last = placed.select("scene_id", F.col("frame_id").alias("end_id"), F.col("position").alias("_b"))
     known = table.join(first, ["scene_id", "start_id"]).join(last, ["scene_id", "end_id"])

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import STATUSES
 from ..functions.text import safe_name
-from ..plans.blocks import text_block
 from ..plans.ordered import scan
 
 OUTPUT = ("scene_id", "output_id")
@@ -19,7 +18,7 @@ def expected_instances(frames: DataFrame, instances: DataFrame) -> DataFrame:
     frames     ``scene_id, frame_id, output_id``
     instances  ``scene_id, instance_id, ord, start, max_frames`` (0 = all frames)
     """
-    placed = scan(frames, ["scene_id"], ["frame_id"], text_block(F.col("frame_id")), index="_pos")
+    placed = scan(frames, ["scene_id"], ["frame_id"], index="_pos")
     start = F.greatest(F.coalesce("start", F.lit(0)), F.lit(0))
     limit = F.coalesce("max_frames", F.lit(0))
     inside = (F.col("_pos") >= start) & ((limit <= 0) | (F.col("_pos") < start + limit))
@@ -33,7 +32,7 @@ def expected_instances(frames: DataFrame, instances: DataFrame) -> DataFrame:
 def frame_slice(frames: DataFrame, start: int, max_frames: int) -> DataFrame:
     """Frames ``[start, start + max_frames)`` of every scene; adds ``frame_index`` from 0."""
     begin = max(0, start)
-    placed = scan(frames, ["scene_id"], ["frame_id"], text_block(F.col("frame_id")), index="_pos")
+    placed = scan(frames, ["scene_id"], ["frame_id"], index="_pos")
     kept = placed.where(F.col("_pos") >= begin)
     if max_frames > 0:
         kept = kept.where(F.col("_pos") < begin + max_frames)

@@ -12,16 +12,49 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import stored
+from ..session import cut, stored
 
 BLOCK = "_blk"
+BLOCK_BITS = 14  # a block holds at most 2 ** 14 rows, whatever their ids look like
+
+
+def blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], bits: int | None = None) -> DataFrame:
+    """``df`` stored in the order of keys and ``order``, with a column ``BLOCK`` for ``scan``.
+
+    Range partitions of the whole order are cut by row number, so blocks are bounded for any spelling of ids and any
+    share of a key.  The row numbers are stored with the rows: repeated stages see the same blocks.
+    """
+    placed = stored(df).repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    number = F.monotonically_increasing_id()
+    return cut(placed.withColumn(BLOCK, F.shiftright(number, BLOCK_BITS if bits is None else bits)))
+
+
+def ranked(df: DataFrame, order: Sequence[str], rank: str, total: str | None = None) -> DataFrame:
+    """``df`` with the position of each row in the order of the whole table, from 0.
+
+    Rows are numbered inside range partitions; what came before a partition is the sum of the counts of the earlier ones,
+    one number per partition.  There is no window over all rows.
+    """
+    number = F.monotonically_increasing_id()
+    placed = cut(stored(df).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", number))
+    part = F.shiftright("_row", 33)
+    counts = placed.groupBy(part.alias("p")).count().orderBy("p").collect()  # as many as a shuffle has partitions
+    offsets, before = [], 0
+    for row in counts:
+        offsets += [F.lit(row["p"]).cast("long"), F.lit(before).cast("long")]
+        before += row["count"]
+    inside = F.col("_row") - F.shiftleft(part, 33)
+    found = {rank: F.element_at(F.create_map(*offsets), part) + inside if offsets else F.lit(0).cast("long")}
+    if total:
+        found[total] = F.lit(before).cast("long")
+    return placed.withColumns(found).drop("_row")
 
 
 def scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column,
+    block: Column | None = None,
     *,
     index: str | None = None,
     total: str | None = None,
@@ -34,7 +67,8 @@ def scan(
     """Add running columns to ``df``.
 
     keys, order   sequence key and a total order inside it (neither null, no ties)
-    block         monotone expression of the order, see ``blocks``
+    block         monotone expression of the order, see ``blocks``; without one, the column ``BLOCK`` of a table
+                  from ``blocked`` is used, or the rows are put in blocks here
     index         zero-based position in the sequence
     total         number of rows of the sequence
     prev / next   last non-null value strictly before / first strictly after
@@ -48,6 +82,10 @@ def scan(
     prev, next = dict(prev or {}), dict(next or {})
     cumsum, cummax, whole = dict(cumsum or {}), dict(cummax or {}), dict(whole or {})
     original = df.columns
+    if block is None:
+        if BLOCK not in df.columns:
+            df = blocked(df, keys, order)
+        block = F.col(BLOCK)
 
     # read twice: once for the block totals (few columns), once for the rows
     work = stored(df).withColumn(BLOCK, block)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .blocks import number_block
-from .ordered import scan
+from .ordered import BLOCK, blocked
 
 
 def exact_quantiles(
@@ -21,24 +20,34 @@ def exact_quantiles(
     """One row per key with linear-interpolated quantiles of the non-null values.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    buffer.  Here equal values are counted before the shuffle, the ranks come
-    from a blocked running sum, and only the rows next to a wanted rank remain.
+    buffer.  Here equal values are counted before the shuffle and put in order by range partitions.
+    Sums per block tell which blocks hold a wanted rank, and only their rows are ranked.
     """
     keys = list(keys)
-    histogram = (
+    counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = scan(
-        histogram, keys, ["_v"], number_block(F.col("_v")), cumsum={"_upto": F.col("_c")}, whole={"_total": F.col("_c")}
+    histogram = blocked(counted, keys, ["_v"])
+    along = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    per_block = histogram.groupBy(*keys, BLOCK).agg(F.sum("_c").alias("_n"))
+    reach = per_block.select(
+        *keys, BLOCK, "_n", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(*keys)).alias("_total")
     )
-    aggregates = [F.max("_total").alias("_total")]
+    ranks = {}
     for name, p in probabilities.items():
         rank = (F.col("_total") - 1) * F.lit(float(p))
-        for side, target in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            here = (F.col("_upto") - F.col("_c") <= target) & (target < F.col("_upto"))
-            aggregates.append(F.max(F.when(here, F.col("_v"))).alias(f"_{side}_{name}"))
+        ranks |= {f"_lo_{name}": F.floor(rank), f"_hi_{name}": F.ceil(rank)}
+    # only blocks that hold a wanted rank are looked into
+    wanted = F.exists(F.array(*ranks.values()), lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_n")))
+    chosen = histogram.join(reach.where(wanted).drop("_n"), [*keys, BLOCK])
+    inside = Window.partitionBy(*keys, BLOCK).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = chosen.withColumn("_upto", F.col("_before") + F.sum("_c").over(inside))
+    aggregates = [F.max("_total").alias("_total")]
+    for name, target in ranks.items():
+        here = (F.col("_upto") - F.col("_c") <= target) & (target < F.col("_upto"))
+        aggregates.append(F.max(F.when(here, F.col("_v"))).alias(name))
     picked = ranked.groupBy(*keys).agg(*aggregates)
     result = [F.col(k) for k in keys]
     if count:

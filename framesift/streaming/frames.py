@@ -17,8 +17,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import schemas
 from ..operators.quality import _motion_ok
-from ..plans.blocks import index_block
-from ..plans.chains import last_kept
+from ..plans.blocks import FRAMES_PER_BLOCK, index_block
+from ..plans.chains import Spacing, last_kept
 from ..plans.ordered import scan
 
 
@@ -94,17 +94,15 @@ def throttle(stream: DataFrame, interval_s: float, cap: int = 0) -> DataFrame:
     return _stateful(stream, ["scene_id"], "last long, kept long", _ddl(stream), step)
 
 
-def throttle_batch(frames: DataFrame, interval_s: float, cap: int = 0, keys: tuple[str, ...] = ("scene_id",)) -> DataFrame:
-    """The same rule over a stored table (``seq`` orders a scene, ``ts`` is a timestamp)."""
-    keys = list(keys)
-
-    def keep(ref, row, _):
-        return ref is None or (row[0] - ref[0]) / 1e6 >= interval_s
+def throttle_batch(frames: DataFrame, interval_s: float, cap: int = 0, keys: tuple[str, ...] = ("scene_id",), block_rows: int = FRAMES_PER_BLOCK) -> DataFrame:
+    """The same rule over a stored table (``seq`` orders a scene, ``ts`` is a timestamp).
 
+    The successor of every row is found by a sorted search, and the kept ones by doubled steps.
+    """
+    keys = list(keys)
     moments = frames.select(*keys, "seq", F.unix_micros(F.col("ts").cast("timestamp")).alias("moment"))
-    # sequence numbers may be sparse; blocks are cut by the dense index
-    placed = scan(moments, keys, ["seq"], index_block(F.col("seq")), index="_i")
-    chosen = last_kept(placed, keys, "_i", index_block(F.col("_i")), ["moment"], keep).where("kept")
+    placed = scan(moments, keys, ["seq"], index="_i")
+    chosen = last_kept(placed, keys, "_i", index_block(F.col("_i"), block_rows), ["moment"], Spacing("moment", math.ceil(round(interval_s * 1e6, 3)))).where("kept")
     kept = placed.join(chosen.select(*keys, "_i"), [*keys, "_i"], "left_semi").select(*keys, "seq")
     if cap > 0:
         kept = scan(kept, keys, ["seq"], index_block(F.col("seq")), index="_i").where(F.col("_i") < cap).drop("_i")

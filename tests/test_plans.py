@@ -7,9 +7,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from framesift.plans.blocks import index_block, number_block, text_block
-from framesift.plans.chains import last_kept
+from framesift.plans.chains import Spacing, last_kept
 from framesift.plans.components import connected_components, join_one_per_key
-from framesift.plans.ordered import scan
+from framesift.plans.ordered import BLOCK, blocked, ranked, scan
 from framesift.plans.quantiles import exact_quantiles
 
 
@@ -84,6 +84,49 @@ def test_chain_over_blocks(spark):
             assert [(r.ref_v, r.kept) for r in mine] == want
 
 
+def test_chains_that_never_meet_take_a_fixed_number_of_passes(spark):
+    # nine interleaved chains, 15 blocks: more than the rounds that run blocks again
+    rows = [("a", i, float(i)) for i in range(250)] + [("b", i, None if i % 50 else 1.0) for i in range(120)] + [("c", 0, 5.0)]
+    df = spark.createDataFrame(rows, "k string, i long, v double")
+    block = index_block(F.col("i"), 17)
+    plain = lambda ref, row, _: row[0] is not None and (ref is None or row[0] - ref[0] >= 9)
+    for keep in (plain, Spacing("v", 9.0)):
+        got = last_kept(df, ["k"], "i", block, ["v"], keep).collect()
+        assert len(got) == len(rows)
+        for key in "abc":
+            mine = sorted((r for r in got if r.k == key), key=lambda r: r.i)
+            assert [(r.ref_v, r.kept) for r in mine] == _chain([r for r in rows if r[0] == key], plain)
+
+
+def test_spacing_with_times_that_go_back(spark):
+    rng = random.Random(13)
+    rows = [(k, i, float(i * 3 + rng.randint(-20, 20))) for k in "ab" for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i long, v double")
+    got = last_kept(df, ["k"], "i", index_block(F.col("i"), 40), ["v"], Spacing("v", 10.0)).collect()
+    for key in "ab":
+        mine = sorted((r for r in got if r.k == key), key=lambda r: r.i)
+        want = _chain([r for r in rows if r[0] == key], lambda ref, row, _: ref is None or row[0] - ref[0] >= 10)
+        assert [(r.ref_v, r.kept) for r in mine] == want
+
+
+def test_blocks_are_bounded_for_any_spelling(spark):
+    ids = spark.range(5_000).select(F.lit("hot").alias("k"), F.format_string("frame_%06d", F.col("id")).alias("f"), F.col("id").alias("n"))
+    placed = blocked(ids, ["k"], ["f"], bits=6)
+    assert placed.groupBy("k", BLOCK).count().agg(F.max("count")).first()[0] <= 64
+    out = scan(placed, ["k"], ["f"], index="i", prev={"before": F.col("n")}, total="all").collect()
+    assert all(r.i == r.n and r["all"] == 5_000 and r.before == (r.n - 1 if r.n else None) for r in out) and len(out) == 5_000
+
+
+def test_ranks_over_the_whole_table(spark):
+    names = [f"n{random.Random(i).randint(0, 500):03d}" for i in range(2_000)]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "n string, i int").repartition(5)
+    out = ranked(df, ["n", "i"], "r", "all").collect()
+    want = {key: place for place, key in enumerate(sorted((n, i) for i, n in enumerate(names)))}
+    assert {(x.n, x.i): x.r for x in out} == want and {x["all"] for x in out} == {2_000}
+    assert "Window" not in ranked(df, ["n", "i"], "r")._jdf.queryExecution().optimizedPlan().toString()
+    assert ranked(df.limit(0), ["n"], "r", "all").count() == 0
+
+
 def test_components(spark):
     edges = [(f"n{i}", f"x{i // 3}") for i in range(300)] + [(f"n{i}", f"y{(i + 1) // 3}") for i in range(300) if i % 17] + [("lone", None)]
     edges += [(f"h{i}", "hot") for i in range(200)]

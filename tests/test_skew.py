@@ -59,3 +59,16 @@ def test_hot_scene_segments(spark):
             last = i
     assert sorted(r.start_index for r in table.collect()) == starts
     assert table.agg(F.sum("frame_count")).first()[0] == 20_000
+
+
+def test_near_equal_gaps_of_one_scene(spark):
+    rows = spark.range(100_000).select(F.lit("hot").alias("k"), (F.lit(33.0) + F.pmod(F.col("id") * 7919, F.lit(100_000)) * 1e-7).alias("v"))
+    r = exact_quantiles(rows, ["k"], "v", {"m": 0.5, "p": 0.95}, count="n").first()
+    assert r.n == 100_000 and abs(r.m - (33.0 + 49_999.5e-7)) < 1e-12 and abs(r.p - (33.0 + 94_999.05e-7)) < 1e-12
+
+
+def test_undated_groups_are_ranked_without_one_window(spark):
+    summary = spark.range(3_000).select(F.format_string("g%04d", F.col("id")).alias("group_key"), F.lit("scene").alias("newest_scene"))
+    ranks = groups.newest_first(summary)
+    assert "Window" not in ranks._jdf.queryExecution().optimizedPlan().toString()
+    assert ranks.where(F.col("position") == 2_999 - F.substring("group_key", 2, 4).cast("int")).count() == 3_000
