@@ -23,7 +23,6 @@ looked at by ``summarise`` and pass through ``with_groups``; an empty table give
 
 from __future__ import annotations
 
-import itertools
 import json
 import os
 import re
@@ -41,8 +40,10 @@ from .bpe import _Sent
 from .common import sum_by_row
 
 MODEL_LIMIT = 64_000_000  # bytes of a tokenizer file that may be sent to every task
-PART = 1 << 24  # bytes of text after which a part ends; its last text is always whole
-_SLICE = 256  # texts encoded at a time
+PART = 1 << 23  # signs of text after which a part ends; its last text is always whole
+_SLICE = 128  # texts encoded at a time
+_STRETCH = 64  # pieces encoded as one text
+_BEFORE_CUT = re.compile("[!-~À-߿]")
 _CUT = re.compile("(?<=[!-~À-߿]) (?!\\Z)")  # only after signs that are no white space anywhere
 
 
@@ -85,18 +86,65 @@ class Sides:
     def pieces(self, text: str) -> list[str]:
         return _CUT.split(text) if self.cuts else [text]
 
-    def encode(self, pieces: Sequence[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids on both sides, and whether both sides give back the bytes; ids are empty where not."""
-        whole = [" " + p for p in pieces]
-        left = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
-        right = self.b.encode(list(pieces), num_threads=1)
-        fine = np.ones(len(pieces), bool)
-        token_a, token_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for i, text in enumerate(whole):
-            raw = text.encode()
-            if b"".join(map(token_a, left[i])) != raw or b"".join(map(token_b, right[i])) != raw:
-                fine[i], left[i], right[i] = False, [], []
-        return left, right, fine
+    def encode(self, pieces: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and tokens per piece of both sides, and whether both give back a piece's bytes; if not, it has no ids.
+
+        Pieces that may stand before a cut are encoded many at a time, joined by spaces; a stretch that does not come
+        apart again at its pieces is encoded piece by piece.
+        """
+        stretches, some = [], []
+        for piece in pieces:
+            some.append(piece)
+            if len(some) == _STRETCH or not self.cuts or not _BEFORE_CUT.match(piece[-1:]):
+                stretches.append(some)
+                some = []
+        if some:
+            stretches.append(some)
+        ids_a, ids_b, n_a, n_b, fine = [], [], [], [], []
+        joined = [" ".join(some) for some in stretches]
+        for some, text, a, b in zip(stretches, joined, self._left(joined), self._right(joined)):
+            found = self._apart(some, text, a, b)
+            if found is not None:
+                parts = [(*found, True)]
+            elif len(some) == 1:
+                parts = [([], [], [0], [0], False)]
+            else:
+                parts = []
+                for one, x, y in zip(some, self._left(some), self._right(some)):
+                    alone = self._apart([one], one, x, y)
+                    parts.append((*alone, True) if alone is not None else ([], [], [0], [0], False))
+            for x, y, x_n, y_n, good in parts:
+                ids_a.append(x)
+                ids_b.append(y)
+                n_a += list(x_n)
+                n_b += list(y_n)
+                fine += [good] * len(x_n)
+
+        def flat(lists: list) -> np.ndarray:
+            return np.concatenate([np.asarray(x, np.int64) for x in lists]) if lists else np.zeros(0, np.int64)
+
+        return flat(ids_a), flat(ids_b), np.array(n_a, np.int64), np.array(n_b, np.int64), np.array(fine, bool)
+
+    def _left(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+    def _right(self, texts: list[str]) -> list[list[int]]:
+        return self.b.encode(texts, num_threads=1)
+
+    def _apart(self, pieces: list[str], text: str, a: list[int], b: list[int]):
+        """Ids and tokens per piece, where both sides give back all bytes and end a token at the end of every piece."""
+        raw = (" " + text).encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return None
+        ends = np.cumsum([1 + (len(p) if p.isascii() else len(p.encode())) for p in pieces])
+        out = []
+        for ids, size in ((np.array(a, np.int64), self.a_size), (np.array(b, np.int64), self.b_size)):
+            upto = np.cumsum(size[ids])
+            at = np.searchsorted(upto, ends)
+            if (upto[at] != ends).any():
+                return None
+            out.append((ids, np.diff(at, prepend=-1)))
+        return out[0][0], out[1][0], out[0][1], out[1][1]
 
 
 def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,17 +166,14 @@ def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nd
 class Aligned:
     """Groups and links of a batch of pieces; ``a`` and ``b`` are ids, ``a_n`` and ``b_n`` tokens per piece."""
 
-    def __init__(self, sides: Sides, left: list[list[int]], right: list[list[int]]) -> None:
-        self.a_n = np.fromiter(map(len, left), np.int64, len(left))
-        self.b_n = np.fromiter(map(len, right), np.int64, len(right))
-        self.a = np.fromiter(itertools.chain.from_iterable(left), np.int64, int(self.a_n.sum()))
-        self.b = np.fromiter(itertools.chain.from_iterable(right), np.int64, int(self.b_n.sum()))
+    def __init__(self, sides: Sides, a: np.ndarray, b: np.ndarray, a_n: np.ndarray, b_n: np.ndarray) -> None:
+        self.a, self.b, self.a_n, self.b_n = a, b, a_n, b_n
         a_ends, b_ends = np.cumsum(sides.a_size[self.a]), np.cumsum(sides.b_size[self.b])
         self.a_at, self.b_at = (np.concatenate([[0], np.cumsum(n)]) for n in (self.a_n, self.b_n))
         if not len(self.a):
             self.a_group = self.b_group = self.link_a = self.link_b = np.zeros(0, np.int64)
-            self.groups = self.links = np.zeros(len(left), np.int64)
-            self.link_at = np.zeros(len(left) + 1, np.int64)
+            self.groups = self.links = np.zeros(len(a_n), np.int64)
+            self.link_at = np.zeros(len(a_n) + 1, np.int64)
             return
         last_a, last_b = terminals(a_ends, b_ends)
         number = np.cumsum(last_a == np.arange(len(self.a))) - 1
@@ -181,19 +226,20 @@ class _Part:
         for piece in new:
             place[piece] = len(place)
         if new:
-            left, right, fine = self.sides.encode(new)
-            found = Aligned(self.sides, left, right)
+            *tokens, fine = self.sides.encode(new)
+            found = Aligned(self.sides, *tokens)
             self.text += found.texts(self.sides)
             self.facts.append(np.stack([found.a_n, found.b_n, found.groups, found.links, fine.astype(np.int64)], axis=1))
             self.keys.append(found.link_a << 32 | found.link_b)
             self.key_n.append(found.links)
-        fine = np.concatenate([f[:, 4] for f in self.facts]) if self.facts else np.zeros(0)
+        fine = np.concatenate([f[:, 4] for f in self.facts]) > 0 if self.facts else np.zeros(0, bool)
         text = self.text.__getitem__
         for pieces in cut_up:
-            words = [place[p] for p in pieces]
-            if not all(fine[words]):
-                words = []
-            self.words.append(np.array(words, np.int32))
+            words = list(map(place.__getitem__, pieces))
+            held = np.array(words, np.int32)
+            if not fine[held].all():
+                words, held = [], held[:0]
+            self.words.append(held)
             self.word_n.append(len(words))
             self.digest.append(sha256(b";".join(map(text, words))).hexdigest() if words else "")
         self.ids += ids
@@ -318,8 +364,8 @@ class Aligner:
             sides, out = _sides_of(sent), []
             for text in texts.to_pylist():
                 pieces = sides.pieces(text) if text else []
-                left, right, fine = sides.encode(pieces) if pieces else ([], [], np.ones(0, bool))
-                rows = b";".join(Aligned(sides, left, right).texts(sides)).decode() if fine.all() and pieces else ""
+                *tokens, fine = sides.encode(pieces)
+                rows = b";".join(Aligned(sides, *tokens).texts(sides)).decode() if fine.all() and pieces else ""
                 both = [group.split("|") for group in rows.split(";")] if rows else []
                 out.append([{"a": [int(x) for x in a.split(",")], "b": [int(x) for x in b.split(",")]} for a, b in both])
             return pa.array(out, pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])))
