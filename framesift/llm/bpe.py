@@ -62,6 +62,7 @@ class Codec:
                 if len(parts) == 2:
                     self.halves[rank] = (parts[0], parts[1])
                     self.joined[parts[0], parts[1]] = rank
+        self.words_of_ids = pa.array(self.token, pa.large_binary())
         self.beside: dict[tuple[int, int], bool] = {}
         self.kept: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -201,18 +202,28 @@ def _codec(sent) -> Codec:
     return _codecs[sent.id]
 
 
-def _rows(lists: pa.Array) -> Iterable[list[int]]:
-    """The ids of each row that are not null; only one row at a time as Python numbers."""
+_AT_ONCE = 1_000_000  # ids whose bytes are put together at a time
+
+
+def _joined(words: pa.Array, lists: pa.Array) -> Iterable[memoryview]:
+    """The words of each row's ids, one after the other; null ids are skipped, a null row has none."""
     flat = lists.flatten()
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
     if flat.null_count:
         there = flat.is_valid().to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(sizes)), sizes)[there]
         flat, sizes = flat.drop_null(), np.bincount(row, minlength=len(sizes))
-    ids, at = flat.to_numpy(zero_copy_only=False), 0
-    for end in np.cumsum(sizes).tolist():
-        yield ids[at:end].tolist()
-        at = end
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    row = 0
+    while row < len(sizes):
+        stop = max(row + 1, int(np.searchsorted(ends, ends[row] + _AT_ONCE, side="right")) - 1)
+        taken = words.take(flat.slice(ends[row], ends[stop] - ends[row]))
+        _, offsets, data = taken.buffers()
+        places = np.frombuffer(offsets, np.int64)[ends[row : stop + 1] - ends[row]].tolist() if len(taken) else [0] * (stop - row + 1)
+        view = memoryview(data) if data is not None else memoryview(b"")
+        for start, end in zip(places, places[1:]):
+            yield view[start:end]
+        row = stop
 
 
 class Tokenizer:
@@ -239,8 +250,7 @@ class Tokenizer:
         sent = self._sent
 
         def run(lists: pa.Array) -> pa.Array:
-            codec = _codec(sent)
-            return pa.array([codec.decode(ids) for ids in _rows(lists)], pa.binary())
+            return pa.array([bytes(row) for row in _joined(_codec(sent).words_of_ids, lists)], pa.binary())
 
         return F.arrow_udf(run, "binary")(ids)
 
@@ -270,18 +280,20 @@ def digest(ids: Column) -> Column:
     """SHA-256, in lower-case hex, of the decimal ids joined by single spaces."""
 
     def run(lists: pa.Array) -> pa.Array:
-        decimal = _Decimal()
-        return pa.array([sha256(b" ".join(map(decimal.__getitem__, ids))).hexdigest() for ids in _rows(lists)], pa.string())
+        return pa.array([sha256(row[:-1]).hexdigest() for row in _joined(_decimals(lists), lists)], pa.string())
 
     return F.arrow_udf(run, "string")(ids)
 
 
-class _Decimal(dict):
-    """Decimal text of the ids met so far."""
+_written: list[pa.Array] = [pa.array([], pa.large_binary())]
+
 
-    def __missing__(self, number: int) -> bytes:
-        text = self[number] = b"%d" % number
-        return text
+def _decimals(lists: pa.Array) -> pa.Array:
+    """Decimal text and a space of every id up to the largest one met."""
+    top = pc.max(lists.flatten()).as_py()
+    if top is not None and top >= len(_written[0]):
+        _written[0] = pa.array([b"%d " % number for number in range(top + 1)], pa.large_binary())
+    return _written[0]
 
 
 def encode_documents(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids") -> DataFrame:
