@@ -40,7 +40,7 @@ from .bpe import _Sent
 from .common import sum_by_row
 
 MODEL_LIMIT = 64_000_000  # bytes of a tokenizer file that may be sent to every task
-PART = 1 << 23  # signs of text after which a part ends; its last text is always whole
+PART = 1 << 22  # signs of text after which a part ends; its last text is always whole
 _SLICE = 128  # texts encoded at a time
 _STRETCH = 64  # pieces encoded as one text
 _BEFORE_CUT = re.compile("[!-~À-߿]")
