@@ -80,11 +80,12 @@ def mixed_groups(spark, sf_dir) -> DataFrame:
     """Groups named by a scene or a video that may not move because they are not purely train."""
     reports, groups = _grouped(spark, sf_dir)
     groups = cut(groups)
-    chosen = g.select_groups(g.group_members(reports, groups), [], [f"v{i}" for i in range(0, 400)])
+    named = reports.where("o_orderkey % 10 < 3").select(F.lit("video").alias("kind"), F.col("source_video_id").alias("value"))
+    chosen = g.select_groups_in(g.group_members(reports, groups), named)
     return g.mixed_group_violations(g.group_summary(reports, groups), chosen)
 
 
-MIXED_GROUPS = f"""WITH RECURSIVE {_GROUPS}, ch AS (SELECT DISTINCT group_key FROM gr WHERE CAST(substr(source_video_id, 2) AS BIGINT) < 400)
+MIXED_GROUPS = f"""WITH RECURSIVE {_GROUPS}, ch AS (SELECT DISTINCT group_key FROM gr WHERE source_video_id IN (SELECT source_video_id FROM rep WHERE o_orderkey % 10 < 3))
 SELECT 'group_not_pure_train' AS rule, group_key AS key FROM gr JOIN ch USING (group_key) GROUP BY group_key HAVING NOT bool_and(split = 'train')"""
 
 
@@ -107,6 +108,33 @@ def split_assignment(spark, sf_dir) -> DataFrame:
     return moved.groupBy("split").agg(F.count(F.lit(1)).alias("reports"), F.sum("accepted").alias("frames"))
 
 
+#: The rules read one by one: classes by name, then groups from the newest to the oldest.
+_SPLIT = f"""{_GROUPS}, gs AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY newest DESC, group_key DESC) - 1 AS pos FROM (
+    SELECT group_key, CAST(sum(accepted) AS BIGINT) AS acc, max(scene) AS newest, list(DISTINCT class_name) AS cls FROM gr GROUP BY group_key) WHERE acc > 0),
+gc AS MATERIALIZED (SELECT pos, acc, cls, unnest(cls) AS c FROM gs),
+ct AS MATERIALIZED (SELECT c, count(*) AS n, sum(acc) AS frames, row_number() OVER (ORDER BY c) AS k FROM gc GROUP BY c),
+be AS MATERIALIZED (SELECT k, c, n, arg_min(struct_pack(pos := pos, acc := acc, cls := cls), struct_pack(d := abs(acc - frames * 0.2::DOUBLE), p := pos)) AS b FROM gc JOIN ct USING (c) GROUP BY k, c, n),
+p1 AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS touched, CAST([] AS BIGINT[]) AS picked UNION ALL
+  SELECT be.k, CASE WHEN n >= 2 AND NOT list_contains(touched, c) THEN list_concat(touched, b.cls) ELSE touched END,
+         CASE WHEN n >= 2 AND NOT list_contains(touched, c) THEN list_append(picked, b.pos) ELSE picked END FROM p1 JOIN be ON be.k = p1.k + 1),
+pk AS MATERIALIZED (SELECT picked FROM p1 ORDER BY k DESC LIMIT 1),
+fr AS MATERIALIZED (SELECT sum(acc)::DOUBLE AS total FROM gs),
+sp AS MATERIALIZED (
+  SELECT pos, any_value(acc) AS acc, list(k) AS ks, any_value(list_contains(picked, pos)) AS taken FROM gc JOIN ct USING (c), pk GROUP BY pos),
+op AS MATERIALIZED (SELECT list(coalesce(o.n, 0) ORDER BY ct.k) AS open FROM ct LEFT JOIN (SELECT c, count(*) AS n FROM gc, pk WHERE NOT list_contains(picked, pos) GROUP BY c) o USING (c)),
+p2 AS (
+  SELECT CAST(-1 AS BIGINT) AS pos, (SELECT coalesce(sum(acc), 0)::BIGINT FROM sp WHERE taken) AS sel, open, false AS took FROM op UNION ALL
+  SELECT pos, CASE WHEN took THEN sel + acc ELSE sel END, list_transform(open, lambda x, i: x - CASE WHEN took AND list_contains(ks, i) THEN 1 ELSE 0 END), took
+  FROM (SELECT sp.pos, acc, sel, open, ks, NOT taken AND list_min(list_transform(ks, lambda i: open[i])) > 1 AND abs((sel + acc) / total - 0.2::DOUBLE) < abs(sel / total - 0.2::DOUBLE) AS took
+        FROM p2 JOIN sp ON sp.pos = p2.pos + 1, fr)),
+ch AS (SELECT group_key FROM gs JOIN p2 USING (pos) WHERE took UNION SELECT group_key FROM gs, pk WHERE list_contains(picked, pos))"""
+AUTO_SPLIT = f"WITH RECURSIVE {_SPLIT} SELECT group_key FROM ch"
+SPLIT_ASSIGNMENT = f"""WITH RECURSIVE {_SPLIT}
+SELECT CASE WHEN group_key IN (SELECT group_key FROM ch) THEN 'val' ELSE 'train' END AS split, count(*) AS reports, CAST(sum(accepted) AS BIGINT) AS frames FROM gr GROUP BY 1"""
+
+
 def manifest_violations(spark, sf_dir) -> DataFrame:
     o = v.table(spark, sf_dir, "orders").select("o_orderkey")
     k = F.col("o_orderkey")
@@ -134,7 +162,7 @@ QUERIES = {
     "group_members": (group_members, GROUP_MEMBERS),
     "newest_groups": (newest_groups, NEWEST_GROUPS),
     "mixed_groups": (mixed_groups, MIXED_GROUPS),
-    "auto_split": (auto_split, None),
-    "split_assignment": (split_assignment, None),
+    "auto_split": (auto_split, AUTO_SPLIT),
+    "split_assignment": (split_assignment, SPLIT_ASSIGNMENT),
     "manifest_violations": (manifest_violations, MANIFEST_VIOLATIONS),
 }

@@ -95,6 +95,11 @@ def select_groups(members: DataFrame, scenes: list[str], videos: list[str]) -> D
     return members.where(hit).select("group_key").distinct()
 
 
+def select_groups_in(members: DataFrame, named: DataFrame) -> DataFrame:
+    """Groups that contain one of the members named by a table ``kind, value`` of any size."""
+    return members.join(named.select("kind", "value").distinct(), ["kind", "value"], "left_semi").select("group_key").distinct()
+
+
 def mixed_group_violations(summary: DataFrame, chosen: DataFrame) -> DataFrame:
     """Chosen groups that are not purely train."""
     return summary.join(chosen, "group_key", "left_semi").where(~F.col("pure_train")).select(
