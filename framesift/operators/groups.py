@@ -25,19 +25,17 @@ def resolved_scenes(reports: DataFrame, repository: str | None = None, project:
 
 
 def identifiers(reports: DataFrame) -> DataFrame:
-    """One row per report and origin: scene, session and video."""
-    kinds = [("scene", "scene"), ("session", "capture_session_id"), ("video", "source_video_id")]
-    names = F.array_compact(
-        F.array(*[F.concat(F.lit(k + ":"), blank_to_null(F.col(c))) for k, c in kinds])
-    )
+    """One row per report and origin: scene, session and video; a scene is known by its resolved path."""
+    kinds = [("scene", scene_identity(F.col("scene"))), ("session", F.col("capture_session_id")), ("video", F.col("source_video_id"))]
+    names = F.array_compact(F.array(*[F.concat(F.lit(k + ":"), blank_to_null(c)) for k, c in kinds]))
     return reports.select("report_path", F.explode(names).alias("identifier"))
 
 
 def capture_groups(reports: DataFrame) -> DataFrame:
     """``report_path, group_key``: reports linked by scene, session or video.
 
-    The key names the scene of the last report of the group in path order.  Scenes are compared
-    as they are spelled; see ``resolved_scenes``.
+    The key names the scene of the last report of the group in path order, as it is spelled there.  Scenes are
+    compared by their resolved paths; an old checkout counts as the present one after ``resolved_scenes``.
     """
     found = connected_components(identifiers(reports), "report_path", "identifier")
     placed = found.join(reports.select("report_path", "scene"), "report_path")

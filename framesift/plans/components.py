@@ -35,18 +35,22 @@ def join_one_per_key(left: DataFrame, right: DataFrame, key: str, rows: int, flo
     return light.unionByName(heavy)
 
 
-def connected_components(edges: DataFrame, node: str, identifier: str) -> DataFrame:
+def connected_components(edges: DataFrame, node: str, identifier: str, floor: int = 1_000_000) -> DataFrame:
     """``(node, component)``; the component is named by one of its nodes.
 
-    ``edges`` holds one row per (node, identifier); rows with a null identifier
-    only declare the node.
+    ``edges`` holds one row per (node, identifier); rows with a null identifier only declare the node.
+    ``floor`` is the number of rows from which a key may count as hot.
+
+    The moves of every round are stored.  Rows are never joined to the label of a growing component while the table
+    contracts: at the end the moves are resolved from the last round back to the first, each over the nodes that were
+    left in its round, so all resolving together is about twice the first round.
     """
     declared = edges.select(F.col(node).alias("node"), F.col(identifier).alias("ident")).distinct()
     current = declared = cut(declared)
     rows = current.count()  # later tables are smaller, so its share of hot keys stays bounded
-    labels = declared.select("node", F.col("node").alias("component")).distinct()
-    for round_number in range(1, 200):
-        priority = F.struct(F.xxhash64(F.col("node"), F.lit(round_number)).alias("h"), F.col("node").alias("node"))
+    rounds: list[DataFrame] = []
+    while True:
+        priority = F.struct(F.xxhash64(F.col("node"), F.lit(len(rounds) + 1)).alias("h"), F.col("node").alias("node"))
         picks = (
             current.where(F.col("ident").isNotNull())
             .groupBy("ident")
@@ -54,16 +58,25 @@ def connected_components(edges: DataFrame, node: str, identifier: str) -> DataFr
             .where(F.col("lo") != F.col("hi"))
             .select("ident", "pick")
         )
-        best = join_one_per_key(current, picks, "ident", rows).groupBy("node").agg(F.max("pick").alias("pick"))
+        best = join_one_per_key(current, picks, "ident", rows, floor).groupBy("node").agg(F.max("pick").alias("pick"))
         moves = cut(best.select("node", F.col("pick.node").alias("to")))
-        if moves.isEmpty():
+        if moves.isEmpty():  # some node moves whenever an identifier has two nodes, so this comes
             break
-        labels = labels.join(moves.withColumnRenamed("node", "component"), "component", "left").select(
-            "node", F.coalesce("to", "component").alias("component")
-        )
+        rounds.append(moves)
         current = cut(
-            join_one_per_key(current, moves, "node", rows).select(F.col("to").alias("node"), "ident").distinct()
+            join_one_per_key(current, moves, "node", rows, floor).select(F.col("to").alias("node"), "ident").distinct()
         )
-    else:
-        raise RuntimeError("component search did not settle")
-    return labels.select(F.col("node").alias(node), F.col("component"))
+    final = None  # (to, component): where the nodes left after a round end up
+    for moves in reversed(rounds):
+        if final is not None:
+            ended = join_one_per_key(moves, final, "to", rows, floor).select("node", "component")
+            stayed = moves.join(final.select("to"), "to", "left_anti").select("node", F.col("to").alias("component"))
+            moves = ended.unionByName(stayed)
+        else:
+            moves = moves.withColumnRenamed("to", "component")
+        final = cut(moves).withColumnRenamed("node", "to")
+    nodes = declared.select("node").distinct()
+    if final is None:
+        return nodes.select(F.col("node").alias(node), F.col("node").alias("component"))
+    named = nodes.join(final.withColumnRenamed("to", "node"), "node", "left")
+    return named.select(F.col("node").alias(node), F.coalesce("component", "node").alias("component"))

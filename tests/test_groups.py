@@ -58,47 +58,49 @@ def test_existing_validation_gives_empty_plan(spark):
     assert chosen == [] and plan.existing_val_classes == ["can"]
 
 
-def _expected(rows, ratio):
-    """The rules of the split, read literally, for reports that are one group each."""
-    items = [dict(key=f"scene:{r[1]}", name=r[1].rsplit("/", 1)[-1], n=r[6], classes=set(r[5])) for r in rows if r[6] > 0 and r[5] and r[2] == "train"]
-    existing = {c for r in rows if r[2] == "val" for c in r[5]}
-    chosen = set()
-    newest = sorted(items, key=lambda i: (i["name"], i["key"]), reverse=True)
-    for c in sorted({c for i in items for c in i["classes"]}):
-        mine = [i for i in newest if c in i["classes"]]
-        if c in existing or len(mine) < 2 or any(i["key"] in chosen for i in mine):
-            continue
-        goal = sum(i["n"] for i in mine) * ratio
-        chosen.add(min(mine, key=lambda i: abs(i["n"] - goal))["key"])
-    if not chosen:
-        return None
-    total = sum(i["n"] for i in items)
-    size = sum(i["n"] for i in items if i["key"] in chosen)
-    for i in newest:
-        if i["key"] in chosen:
-            continue
-        keeps = all(any(o["key"] != i["key"] and o["key"] not in chosen and c in o["classes"] for o in items) for c in i["classes"])
-        if keeps and abs((size + i["n"]) / total - ratio) < abs(size / total - ratio):
-            chosen.add(i["key"])
-            size += i["n"]
-    return sorted(chosen)
-
-
 @pytest.mark.parametrize("seed", range(4))
-def test_split_equals_rules(spark, seed):
+def test_split_keeps_its_promises(spark, seed):
     rng = random.Random(seed)
     classes = ["can", "box", "bag", "bin"][: rng.randint(2, 4)]
     rows = []
-    for n in range(rng.randint(6, 30)):
+    for n in range(rng.randint(12, 30)):
         row = list(_scene(f"s_{rng.randint(0, 99):02d}_{n:02d}", rng.choice([0, 1, 2, 3, 5, 8, 40]), "x"))
         row[5] = sorted(rng.sample(classes, rng.choice([1, 1, 1, 2])))
-        row[2] = "val" if rng.random() < 0.05 else "train"
         rows.append(tuple(row))
     ratio = rng.choice([0.2, 0.35, 0.5])
-    want = _expected(rows, ratio)
-    if want is None:
-        return
-    assert _chosen(spark, rows, ratio)[0] == want
+    names, plan = _chosen(spark, rows, ratio)
+    frames = {f"scene:{r[1]}": r[6] for r in rows if r[6] > 0}
+    holders = {c: {f"scene:{r[1]}" for r in rows if r[6] > 0 and c in r[5]} for c in classes}
+    taken, total = set(names), sum(frames.values())
+    assert taken <= frames.keys() and (plan.selected_frames, plan.total_frames) == (sum(frames[k] for k in taken), total)
+    # every class that can spare a group is seen in validation
+    assert all(holders[c] & taken for c in classes if len(holders[c]) >= 2)
+    # no group that its classes could spare would still bring the share closer
+    gap = abs(plan.selected_frames / total - ratio)
+    for key in frames.keys() - taken:
+        spared = all(len(holders[c] - taken) > 1 for c in classes if key in holders[c])
+        assert not spared or abs((plan.selected_frames + frames[key]) / total - ratio) >= gap
+
+
+def test_newest_groups_fill_up_first(spark):
+    # 100 frames, a fifth wanted: the class gives the group of 20 of the middle day and nothing more fits
+    rows = [_scene(f"can_2026090{d}_0800_01", n) for d, n in ((1, 30), (2, 20), (3, 30), (4, 20))]
+    assert _chosen(spark, rows)[0] == ["scene:/data/scenes/can/can_20260904_0800_01"]
+    # a half wanted: 40 is nearest to 50, then the newest of the two groups of 10 is taken, and the other not
+    rows = [_scene(f"can_2026090{d}_0800_01", n) for d, n in ((1, 40), (2, 10), (3, 10), (4, 40))]
+    assert _chosen(spark, rows, 0.5)[0] == ["scene:/data/scenes/can/can_20260903_0800_01", "scene:/data/scenes/can/can_20260904_0800_01"]
+
+
+def test_last_train_group_of_a_class_stays(spark):
+    rows = [_scene("a_20260901_0800_01", 10), _scene("a_20260902_0800_01", 10), _scene("a_20260903_0800_01", 10)]
+    names, plan = _chosen(spark, rows, 0.9)
+    assert len(names) == 2 and plan.selected_frames == 20
+
+
+def test_scene_named_in_two_ways_is_one_group(spark):
+    rows = [list(_scene("can_1", 5)), list(_scene("can_1", 6))]
+    rows[1][0], rows[1][1] = "other_report.json", "/data/scenes/x/../can/./can_1"
+    assert g.capture_groups(_reports(spark, [tuple(r) for r in rows])).select("group_key").distinct().count() == 1
 
 
 def test_assignment_moves_whole_groups(spark):

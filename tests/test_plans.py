@@ -131,7 +131,8 @@ def test_components(spark):
     edges = [(f"n{i}", f"x{i // 3}") for i in range(300)] + [(f"n{i}", f"y{(i + 1) // 3}") for i in range(300) if i % 17] + [("lone", None)]
     edges += [(f"h{i}", "hot") for i in range(200)]
     random.Random(2).shuffle(edges)
-    found = connected_components(spark.createDataFrame(edges, "n string, x string"), "n", "x").collect()
+    table = spark.createDataFrame(edges, "n string, x string")
+    found = connected_components(table, "n", "x").collect()
     parent = {}
 
     def root(a):
@@ -149,6 +150,15 @@ def test_components(spark):
         mine[r.component].add(r.n)
         theirs[root(r.n)].add(r.n)
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
+    apart = connected_components(table, "n", "x", floor=50).collect()  # hot keys are split off
+    assert sorted(map(tuple, apart)) == sorted(map(tuple, found))
+
+
+def test_giant_component(spark):
+    chain = spark.range(3_000).select(F.col("id").cast("string").alias("n"), F.explode(F.array(F.col("id").cast("string"), (F.col("id") + 1).cast("string"))).alias("x"))
+    star = spark.range(5_000).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("n"), F.lit("0").alias("x"))
+    found = connected_components(chain.unionByName(star), "n", "x", floor=500)
+    assert found.count() == 8_000 and found.select("component").distinct().count() == 1
 
 
 def test_hot_key_join_keeps_every_row(spark):
