@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import dataset, evaluation, groups, masks, quality, review, scenes, sequences, streams, text
+from . import dataset, evaluation, groups, masks, quality, reports, review, scenes, sequences, streams, text
 
-MODULES = (quality, masks, sequences, groups, dataset, review, scenes, evaluation, text, streams)
+MODULES = (quality, masks, sequences, groups, dataset, review, scenes, evaluation, text, streams, reports)
 
 
 def all_queries() -> dict:

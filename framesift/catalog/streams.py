@@ -13,6 +13,7 @@ from . import views as v
 INTERVAL_S = 43200.0
 CAP = 12
 LONG_S = 1800.0
+TURNS = 3
 SKIP = 5
 
 
@@ -60,6 +61,24 @@ def _drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def _drain_in_turns(spark, sf_dir, build, mode: str = "append") -> DataFrame:
+    """Files that arrive in turns, and a query that stops and goes on after each of them."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/framesift-turns-{uuid.uuid4().hex}"
+    events = v.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    turn = F.floor((F.col("event_id") - F.lit(ends["lo"] or 0)) * TURNS / F.lit((ends["hi"] or 0) - (ends["lo"] or 0) + 1))
+    for number in range(TURNS):
+        events.where(turn == number).write.mode("append").parquet(f"{base}/in")
+        stream = build(_packets(spark.readStream.schema(events.schema).parquet(f"{base}/in")))
+        if mode == "append":
+            writer = stream.writeStream.format("parquet").option("path", f"{base}/out")
+        else:
+            writer = stream.writeStream.foreachBatch(s.keep_status(f"{base}/out"))
+        query = writer.option("checkpointLocation", f"{base}/state").outputMode(mode).trigger(availableNow=True).start()
+        query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{base}/out") if mode == "append" else s.read_status(spark, f"{base}/out")
+
+
 _PACKETS = """pk AS (SELECT 'u' || user_id AS scene_id, event_id AS seq, ts, value, event_type FROM events),
 vp AS (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY seq) - 1 AS n FROM pk WHERE event_type <> 'error')"""
 
@@ -91,6 +110,17 @@ THROTTLE = f"""WITH RECURSIVE {_PACKETS}, r AS (
 SELECT scene_id, seq FROM r WHERE kept AND c <= {CAP}"""
 
 
+def throttle_in_turns(spark, sf_dir) -> DataFrame:
+    """The throttle over a stream that stops between its files."""
+    return _drain_in_turns(spark, sf_dir, lambda packets: s.throttle(s.valid_frames(packets), INTERVAL_S, CAP).select("scene_id", "seq"))
+
+
+def status_in_turns(spark, sf_dir) -> DataFrame:
+    """Status in update mode: every batch writes the scenes it changed."""
+    found = _drain_in_turns(spark, sf_dir, lambda packets: s.capture_status(s.valid_frames(packets)), "update")
+    return found.select("scene_id", "saved_frames", "last_seq")
+
+
 def throttle_long(spark, sf_dir) -> DataFrame:
     """One long sequence per event type, over many blocks."""
     packets = v.table(spark, sf_dir, "events").select(F.col("event_type").alias("scene_id"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"))
@@ -167,6 +197,8 @@ QUERIES = {
     "warmup": (warmup, WARMUP),
     "warmup_stream": (warmup_stream, WARMUP),
     "throttle": (throttle, THROTTLE),
+    "throttle_in_turns": (throttle_in_turns, THROTTLE),
+    "status_in_turns": (status_in_turns, CAPTURE_STATUS),
     "throttle_long": (throttle_long, THROTTLE_LONG),
     "throttle_stream": (throttle_stream, THROTTLE),
     "consistent_packets": (consistent_packets, CONSISTENT),

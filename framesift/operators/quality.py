@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -137,35 +136,6 @@ def registration_iou_gate(df: DataFrame, minimum: float) -> DataFrame:
     )
 
 
-def _motion_ok(ref, row, extra):
-    """Would ``row`` pass the motion rules against ``ref``?  Same limits as the column rules.
-
-    ref / row  area, cx, cy, pose; extra  usable, registration, and the limits
-    """
-    usable, registration, min_ratio, max_ratio, max_shift, max_step, max_turn, diagonal = extra
-    if not usable:
-        return False
-    if registration or ref is None:
-        return True
-    area, cx, cy, pose = row
-    if ref[0] > 0 and area > 0:
-        ratio = area / ref[0]
-        if ratio < min_ratio or ratio > max_ratio:
-            return False
-        dx, dy = cx - ref[1], cy - ref[2]
-        if math.sqrt(dx * dx + dy * dy) / diagonal > max_shift:
-            return False
-    before = ref[3]
-    if before is not None and pose is not None:
-        step = math.sqrt(sum((pose[i] - before[i]) ** 2 for i in (3, 7, 11)))
-        if step > max_step:
-            return False
-        trace = sum(pose[r * 4 + c] * before[r * 4 + c] for r in range(3) for c in range(3))
-        if math.degrees(math.acos(max(-1.0, min(1.0, (trace - 1.0) * 0.5)))) > max_turn:
-            return False
-    return True
-
-
 class Motion(Rule):
     """The motion rules against the last good frame, for whole columns; the same limits as the column rules.
 

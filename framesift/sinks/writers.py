@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.validation import violation
 from ..session import cut
@@ -83,13 +86,28 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def write_report(df: DataFrame, path: str, *partition: str) -> None:
-    """The same rows as JSON and as CSV."""
+def write_report(df: DataFrame, path: str, *partition: str, judged: DataFrame | None = None) -> None:
+    """The same rows as JSON and as CSV.
+
+    ``judged`` names the partitions that the run looked at (their partition columns).  Those that got no row are
+    written anew as well, with one row that is null but for the partition, which ``read_report`` leaves out:
+    a scene that left a report does not keep its old rows there.
+    """
+    if judged is not None:
+        absent = judged.select(*partition).distinct().join(df.select(*partition).distinct(), list(partition), "left_anti")
+        df = cut(df.unionByName(absent, allowMissingColumns=True))
     replace_partitions(df, f"{path}/json", *partition, format="json")
     flat_df = flat(df)
     flat_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy(*partition).csv(f"{path}/csv")
 
 
+def read_report(spark: SparkSession, path: str, schema: StructType, *partition: str) -> DataFrame:
+    """The rows of the JSON half of ``write_report``."""
+    rows = spark.read.schema(schema).json(f"{path}/json")
+    rest = [F.col(c).isNotNull() for c in rows.columns if c not in partition]
+    return rows.where(reduce(Column.__or__, rest))
+
+
 def write_segments(segments: DataFrame, parameters: dict, path: str) -> None:
     """Segments with the parameters that produced them."""
     settings = F.struct(*[F.lit(v).alias(k) for k, v in parameters.items()])

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import SPLITS, STATUSES
-from ..functions.text import blank_to_null, file_stem, scene_identity
+from ..functions.text import blank_to_null, file_stem, scene_identity, strip
 
 _RAW_REPORT = (
     "scene string, split string, capture_session_id string, source_video_id string, frame_status_counts map<string,int>, "
@@ -54,9 +54,24 @@ def yaml_documents(spark: SparkSession, path: str, glob: str = "*.y*ml") -> Data
     return texts.mapInPandas(_yaml_to_json, "path string, json string, error string")
 
 
-def manifests(spark: SparkSession, path: str) -> DataFrame:
-    """Scene manifests; the split defaults to train, the file split comes from the file name."""
-    documents = yaml_documents(spark, path).where("error is null")
+def manifest_errors(documents: DataFrame) -> DataFrame:
+    """Documents of ``yaml_documents`` that cannot be read, and those without a project, as violations."""
+    project = F.get_json_object("json", "$.project")
+    rule = F.when(F.col("error").isNotNull(), "manifest_unreadable").when(project.isNull(), "manifest_without_project")
+    return documents.select(rule.alias("rule"), F.col("path").alias("key"), F.coalesce("error", F.lit("")).alias("detail")).where("rule is not null")
+
+
+def manifests(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Scene manifests; the split defaults to train, the file split comes from the file name.
+
+    An unreadable manifest stops the run (``strict``), or is left out here and listed by ``manifest_errors``.
+    """
+    documents = yaml_documents(spark, path)
+    if strict:
+        first = manifest_errors(documents).where("rule = 'manifest_unreadable'").orderBy("key").limit(5).collect()
+        if first:
+            raise ValueError("unreadable manifests: " + "; ".join(f"{r['key']} ({r['detail']})" for r in first))
+    documents = documents.where("error is null")
     m = documents.select("path", F.from_json("json", _RAW_MANIFEST).alias("m"))
     p = F.col("m.project")
     scene = F.element_at(F.split(p["scene"], "/"), -1)
@@ -103,20 +118,21 @@ def class_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scene_reports(
-    spark: SparkSession, path: str, keep_errors: bool = False, repository: str | None = None, project: str | None = None
+    spark: SparkSession, path: str, keep_errors: bool = False, repository: str | None = None, project: str | None = None,
+    glob: str = "*_report.json",
 ) -> DataFrame:
     """Scene reports ``*_report.json``; scene paths get one spelling, in the checkout ``repository`` if given.
 
     keep_errors=False drops unreadable reports and reports without a scene;
     keep_errors=True keeps every file and fills ``error`` for unreadable ones.
     """
-    raw = spark.read.schema(_RAW_REPORT).json(path, multiLine=True, pathGlobFilter="*_report.json")
+    raw = spark.read.schema(_RAW_REPORT).json(path, multiLine=True, pathGlobFilter=glob)
     rows = raw.select(file_path().alias("report_path"), "*")
     counts = F.coalesce("frame_status_counts", F.create_map().cast("map<string,int>"))
     ids = F.filter(
-        F.transform(F.filter("frames", lambda f: f["status"] == "accepted"), lambda f: F.trim(f["output_id"])), lambda o: o != ""
+        F.transform(F.filter("frames", lambda f: f["status"] == "accepted"), lambda f: strip(f["output_id"])), lambda o: o != ""
     )
-    names = F.filter(F.transform("instances", lambda i: F.trim(i["class_name"])), lambda n: n != "")
+    names = F.filter(F.transform("instances", lambda i: strip(i["class_name"])), lambda n: n != "")
     none = F.array().cast("array<string>")
     error = F.when(F.col("_corrupt_record").isNotNull(), "unreadable")
     table = rows.select(
@@ -141,14 +157,14 @@ def accepted_ids(reports: DataFrame) -> DataFrame:
     return reports.select("report_path", "scene", F.explode("output_ids").alias("output_id"))
 
 
-def quality_reports(spark: SparkSession, path: str) -> DataFrame:
+def quality_reports(spark: SparkSession, path: str, glob: str = "quality_report.json") -> DataFrame:
     """Per-frame quality records of the instance reports."""
     schema = (
         "scene string, instance_id string, class_id int, class_name string, split string, tracker string, "
         "records array<struct<id:string,output_id:string,status:string,auto_status:string,manual_status:string,manual_reason:string,"
         "has_label:boolean,reject_reasons:array<string>,review_reasons:array<string>,metrics:map<string,string>>>"
     )
-    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="quality_report.json")
+    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter=glob)
     scene = F.element_at(F.split("scene", "/"), -1)
     return raw.select(scene.alias("scene_id"), "instance_id", "class_id", "class_name", "split", F.explode("records").alias("r")).select(
         "scene_id", "instance_id", "class_id", "class_name", "split", F.col("r.id").alias("frame_id"), *[
@@ -180,13 +196,13 @@ def last_rows_per_frame(rows: DataFrame) -> DataFrame:
     return rows.groupBy("scene_id", "frame_id").agg(F.max_by(F.struct(*fields), "pos").alias("r")).select("scene_id", "frame_id", "r.*")
 
 
-def capture_metadata(spark: SparkSession, path: str) -> DataFrame:
+def capture_metadata(spark: SparkSession, path: str, glob: str = "metadata.json") -> DataFrame:
     """Frame rows of ``metadata.json`` files; a repeated id keeps its last row."""
     schema = (
         "frames array<struct<id:string,color_timestamp_ms:double,depth_timestamp_ms:double,sensor_depth_scale:double,valid_depth_ratio:double>>, "
         "depth_to_metre double"
     )
-    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="metadata.json")
+    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter=glob)
     scene = F.element_at(F.split(file_path(), "/"), -2)
     rows = raw.select(scene.alias("scene_id"), "depth_to_metre", F.posexplode("frames").alias("pos", "f")).where("f.id is not null")
     return last_rows_per_frame(rows.select("scene_id", F.col("f.id").alias("frame_id"), "pos", "depth_to_metre", *[

@@ -2,7 +2,7 @@
 
 Stateful operators keep one small row per scene (or instance), for as long as the query
 lives: no watermark drops frames of a scene that arrives late, and a pause does not reset
-a scene.  Order comes from ``seq``, so the rows of a micro-batch are sorted first; the size
+a scene; a row marked ``ended`` ends its state.  Order comes from ``seq``, so the rows of a micro-batch are sorted first; the size
 of a micro-batch is bounded by the trigger options of the source.
 """
 
@@ -11,14 +11,15 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import schemas
-from ..operators.quality import _motion_ok
+from ..operators.quality import Motion
 from ..plans.blocks import FRAMES_PER_BLOCK, index_block
-from ..plans.chains import Spacing, last_kept
+from ..plans.chains import Spacing, kept_rows, last_kept
 from ..plans.ordered import scan
 
 
@@ -52,10 +53,16 @@ def consistent(packets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _stateful(stream: DataFrame, keys: list[str], state_schema: str, output: str, step: Callable) -> DataFrame:
+    """Rows of a key in the order of ``seq`` through ``step``; a row whose column ``ended`` is true ends the state of its key."""
+
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
         kept, renewed = step(rows, state.get if state.exists else None)
-        state.update(renewed)
+        if "ended" in rows and rows["ended"].fillna(False).any():
+            if state.exists:
+                state.remove()  # later rows of the key start anew
+        else:
+            state.update(renewed)
         if len(kept):
             yield kept
 
@@ -118,18 +125,22 @@ def online_gate(stream: DataFrame) -> DataFrame:
     """
     output = _ddl(stream) + ", ref_area double, ref_cx double, ref_cy double, good boolean"
 
+    limits = {"_min_ratio": "min_ratio", "_max_ratio": "max_ratio", "_max_shift": "max_shift", "_diagonal": "diagonal", "area": "area", "x": "cx", "y": "cy"}
+
     def step(rows, state):
-        ref = None if state is None or state[0] is None else (*state, None)
-        out = []
-        for r in rows.itertuples(index=False):
-            limits = (r.min_ratio, r.max_ratio, r.max_shift, math.inf, math.inf, r.diagonal)
-            current = (r.area, r.cx, r.cy, None)
-            good = _motion_ok(ref, current, (bool(r.usable), bool(r.registration), *limits))
-            out.append((*(ref[:3] if ref else (None, None, None)), good))
-            if good:
-                ref = current
-        added = pd.DataFrame(out, columns=["ref_area", "ref_cx", "ref_cy", "good"], index=rows.index)
-        return pd.concat([rows, added], axis=1), (ref[:3] if ref else (None, None, None))
+        ref = None if state is None or state[0] is None else state
+        n = len(rows)
+        columns = {name: rows[source].to_numpy(dtype="float64", na_value=np.nan) for name, source in limits.items()}
+        columns |= {"_usable": rows["usable"].fillna(False).to_numpy(bool), "_first": rows["registration"].fillna(False).to_numpy(bool), "pose": np.zeros((n, 0))}
+        held = dict(zip(("area", "x", "y"), ref or (np.nan,) * 3))
+        seeds = {name: np.array([value]) for name, value in held.items()} | {"pose": np.zeros((1, 0))}
+        good = kept_rows(Motion(), columns, np.array([0]), seeds, np.array([ref is not None]))
+        last = np.maximum.accumulate(np.where(good, np.arange(n), -1))
+        before = np.concatenate([[-1], last[:-1]])
+        added = {f"ref_{source}": np.where(before >= 0, columns[name][before], held[name]) for name, source in (("area", "area"), ("x", "cx"), ("y", "cy"))}
+        end = int(last[-1])
+        renewed = tuple(float(columns[name][end]) for name in ("area", "x", "y")) if end >= 0 else ref or (None, None, None)
+        return pd.concat([rows, pd.DataFrame(added | {"good": good}, index=rows.index)], axis=1), renewed
 
     return _stateful(stream, ["scene_id", "instance_id"], "area double, cx double, cy double", output, step)
 
@@ -139,6 +150,25 @@ def capture_status(stream: DataFrame) -> DataFrame:
     return stream.groupBy("scene_id").agg(F.count(F.lit(1)).alias("saved_frames"), F.max("ts").alias("last_ts"), F.max("seq").alias("last_seq"))
 
 
+def keep_status(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body for update mode: the changed rows of a batch, in a folder named by its number.
+
+    A batch that is run again replaces its own folder, so every batch counts once.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+    return run
+
+
+def read_status(spark: SparkSession, path: str, keys: tuple[str, ...] = ("scene_id",)) -> DataFrame:
+    """The newest row of every key that ``keep_status`` wrote."""
+    rows = spark.read.parquet(path)
+    fields = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*fields), "batch").alias("r")).select(*keys, "r.*")
+
+
 def resume_point(saved: DataFrame) -> DataFrame:
     """Next frame number per scene after a stop (stored frames decide)."""
     number = F.col("frame_id").try_cast("long")
