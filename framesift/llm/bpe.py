@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 VOCABULARY_LIMIT = 64_000_000  # bytes of a rank file that may be sent to every task
-KEPT_STRETCHES = 120_000  # encodings a worker keeps in each of two generations
+KEPT_STRETCHES = 180_000  # encodings a worker keeps in each of two generations
 KEPT_PAIRS = 1_000_000
 _WIDE_GAP = regex.compile(r"[\s\x1c-\x1f] ")
 
