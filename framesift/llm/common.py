@@ -36,6 +36,9 @@ def sum_by_row(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def spread(row: DataFrame, schema: str) -> DataFrame:
-    """An empty frame with ``schema``, for the defined results of empty tables."""
-    return row.sparkSession.createDataFrame([], schema)
+def spare(df: DataFrame, stem: str = "_") -> str:
+    """A beginning of names that no column of ``df`` has, whatever their case."""
+    names = [c.lower() for c in df.columns]
+    while any(c.startswith(stem.lower()) for c in names):
+        stem = f"_{stem}"
+    return stem

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
-from .common import sum_by_row, utf8_parts
+from .common import sum_by_row, utf8_parts, spare
 
 LANGUAGES = ("de", "en", "es", "fr")
 BINS = 1 << 14
@@ -170,26 +170,28 @@ def identify(docs: DataFrame, evidence: Evidence, text: Column, declared: Column
     said = none
     for name, values in evidence.declared.items():
         said = F.when(declared == name, _numbers(values)).otherwise(said)
-    keyed = docs.withColumns({"_t": text_evidence(text, evidence.table, spark), "_said": said, "_h": host, "_s": suffix})
-    keyed = keyed.join(evidence.hosts.withColumnsRenamed({"host": "_hk", "host_log": "_hl"}), F.col("_h") == F.col("_hk"), "left")
-    keyed = keyed.join(evidence.suffixes.withColumnsRenamed({"suffix": "_sk", "suffix_log": "_sl"}), F.col("_s") == F.col("_sk"), "left")
+    own = spare(docs, "own_")
+    keyed = docs.withColumns({f"{own}t": text_evidence(text, evidence.table, spark), f"{own}said": said, f"{own}h": host, f"{own}s": suffix})
+    keyed = keyed.join(evidence.hosts.withColumnsRenamed({"host": f"{own}hk", "host_log": f"{own}hl"}), F.col(f"{own}h") == F.col(f"{own}hk"), "left")
+    keyed = keyed.join(evidence.suffixes.withColumnsRenamed({"suffix": f"{own}sk", "suffix_log": f"{own}sl"}), F.col(f"{own}s") == F.col(f"{own}sk"), "left")
     sums = [
-        F.col("_t")[i] + F.col("_said")[i] + F.coalesce(F.col("_hl")[i], F.lit(evidence.overall[i])) + F.coalesce(F.col("_sl")[i], F.lit(0.0))
+        F.col(f"{own}t")[i] + F.col(f"{own}said")[i] + F.coalesce(F.col(f"{own}hl")[i], F.lit(evidence.overall[i])) + F.coalesce(F.col(f"{own}sl")[i], F.lit(0.0))
         for i in range(size)
     ]
     # the background carries declarations and suffixes as the average language does
-    mean = (sum(F.col("_said")[i] + F.coalesce(F.col("_sl")[i], F.lit(0.0)) for i in range(size))) / size
-    sums.append(F.col("_t")[size] + mean + float(np.log(BACKGROUND)))
-    scored = keyed.withColumn("_post", F.array(*sums)).withColumn("_top", F.array_max("_post"))
-    weight = F.aggregate(F.transform("_post", lambda x: F.exp(x - F.col("_top"))), F.lit(0.0), lambda a, x: a + x)
+    mean = (sum(F.col(f"{own}said")[i] + F.coalesce(F.col(f"{own}sl")[i], F.lit(0.0)) for i in range(size))) / size
+    sums.append(F.col(f"{own}t")[size] + mean + float(np.log(BACKGROUND)))
+    scored = keyed.withColumn(f"{own}post", F.array(*sums)).withColumn(f"{own}top", F.array_max(f"{own}post"))
+    weight = F.aggregate(F.transform(f"{own}post", lambda x: F.exp(x - F.col(f"{own}top"))), F.lit(0.0), lambda a, x: a + x)
     names = F.array(*[F.lit(n) for n in (*evidence.languages, "und")])
-    found = scored.withColumns({f"{prefix}language": F.element_at(names, F.array_position("_post", F.col("_top")).cast("int")), f"{prefix}confidence": 1.0 / weight})
+    found = scored.withColumns({f"{prefix}language": F.element_at(names, F.array_position(f"{own}post", F.col(f"{own}top")).cast("int")), f"{prefix}confidence": 1.0 / weight})
     found = found.withColumn(f"{prefix}kept", (F.col(f"{prefix}language") != "und") & (F.col(f"{prefix}confidence") >= 0.5))
-    return found.drop("_t", "_said", "_h", "_s", "_hk", "_hl", "_sk", "_sl", "_post", "_top")
+    return found.drop(*[f"{own}{c}" for c in ("t", "said", "h", "s", "hk", "hl", "sk", "sl", "post", "top")])
 
 
 def kept_documents(docs: DataFrame, text: str = "text", declared: str = "lang", host: str = "source") -> DataFrame:
     """``docs`` without records whose language is unsure or none of the known ones."""
     none = F.lit(None).cast("string")
     parts = (F.col(text), F.col(declared), F.col(host), none)
-    return identify(docs, gather(docs, *parts), *parts, prefix="_id_").where("_id_kept").select(*docs.columns)
+    own = spare(docs, "id_")
+    return identify(docs, gather(docs, *parts), *parts, prefix=own).where(F.col(f"{own}kept")).select(*docs.columns)

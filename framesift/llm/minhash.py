@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
+from .common import spare
 from .graph import components
 
 SHINGLE = 5
@@ -230,5 +231,6 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
 def kept_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one whose id names the component."""
     members, _ = near_duplicates(docs, doc, text)
-    gone = members.where("component <> id").select(F.col("id").alias("_gone"))
-    return docs.join(gone, docs[doc] == F.col("_gone"), "left_anti")
+    name = spare(docs, "gone")
+    gone = members.where("component <> id").select(F.col("id").alias(name))
+    return docs.join(gone, F.col(doc) == F.col(name), "left_anti")

@@ -5,7 +5,7 @@ vectorised pass over the urls.  Host and path are taken apart by column expressi
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is
 judged by the model's intercept alone; the longest fitting rule wins, ties go to a block; repeated
-rows are judged alike; other columns, whatever their names, pass through.
+rows are judged alike; columns named host, path, rule, verdict or probability are replaced, all others pass through.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .common import spare
+
 TRAINING_LIMIT = 20_000  # labelled urls that may be fitted on the driver
 BUCKETS = 1 << 15
 LENGTHS = (3, 4, 5)
@@ -30,28 +32,42 @@ RULES = (
     ("com", "/de/", "block"),
 )
 
-#: Words that mark unwanted and ordinary hosts in the seed table.
+#: Words of unwanted and of ordinary hosts; general vocabulary, so that the model learns words and not sites.
 _UNWANTED = (
-    "casino-win", "casino", "free-bets", "bets-online", "poker-room", "slots", "lottery-prize", "cheap-pills", "pills-shop",
-    "adult-x", "adult-cams", "xxx-video", "ads-track", "adserver", "tracking-pixel", "click-ads", "spam-farm", "seo-spam",
-    "link-farm", "payday-loans", "viagra-sale", "warez-crack", "fake-watches", "phishing-login",
+    "casino", "poker", "roulette", "slots", "jackpot", "lottery", "betting", "bets", "gambling", "blackjack", "viagra", "cialis", "pills",
+    "pharma", "steroids", "adult", "porn", "xxx", "sexcam", "escort", "nude", "hentai", "warez", "keygen", "serialz", "crackz",
+    "phishing", "malware", "spyware", "adserver", "popunder", "clickads", "bannerads", "adtracker", "trackers", "linkfarm", "seospam",
+    "spam", "payday", "quickloan", "replica", "counterfeit", "getrich", "freecash",
 )
 _ORDINARY = (
-    "news", "tionble", "therin", "ththon", "library", "weather", "museum", "thering", "tiontion", "recipes", "garden", "school",
-    "ththst", "travel", "history", "therhe", "science", "ththre", "books", "thered", "music", "ththnd", "city", "tionsh", "health",
-    "therst", "football", "ththou", "opensource", "journal", "thernt", "university", "ththly", "gallery", "thonth", "archive",
+    "news", "library", "weather", "museum", "recipes", "garden", "school", "travel", "history", "science", "books", "music", "city", "health",
+    "football", "opensource", "journal", "university", "gallery", "archive", "theatre", "cinema", "hospital", "bakery", "coffee", "kitchen",
+    "bicycle", "railway", "airport", "station", "harbour", "island", "mountain", "river", "forest", "ocean", "planet", "physics", "chemistry",
+    "biology", "maths", "language", "dictionary", "grammar", "poetry", "novel", "painting", "drawing", "photo", "camera", "video", "radio",
+    "podcast", "television", "festival", "concert", "orchestra", "guitar", "piano", "chess", "puzzle", "sports", "tennis", "hockey", "running",
+    "swimming", "climbing", "sailing", "camping", "hotel", "restaurant", "market", "grocery", "flowers", "furniture", "clothing", "shoes",
+    "jewelry", "hardware", "software", "developer", "programming", "database", "network", "security", "cloud", "mobile", "computer", "electronics",
+    "energy", "solar", "water", "climate", "farming", "animals", "birds", "horses", "family", "parents", "children", "wedding", "church",
+    "community", "council", "parliament", "government", "election", "justice", "law", "police", "fire", "post", "bank", "insurance", "finance",
+    "economy", "trade", "industry", "factory", "engineering", "construction", "architecture", "design", "fashion", "beauty", "fitness", "medicine",
+    "dentist", "nursing", "research", "institute", "academy", "college", "student", "teacher", "lesson", "course", "exam", "career", "jobs",
 )
-_PATHS = ("/en/7817", "/de/120.html", "/fr/33?page=2", "/es/9/", "/", "/article/2020/05", "/about#top", "/index.html")
+_ENDINGS = ("", "-online", "world", "24", "-club", "hub", "-web", "zone")
+_PATHS = ("/", "/en/7817", "/de/120.html", "/fr/33?page=2", "/es/9/", "/article/2020/05", "/about#top", "/index.html", "/search?q=a", "/category/item-12")
 
 
 def seed_table(spark: SparkSession) -> DataFrame:
-    """The small labelled table ``(url, label)``; label 1 is to be blocked."""
+    """The small labelled table ``(url, label)``; label 1 is to be blocked.
+
+    Both labels have the same fronts, endings, domains and paths, so that only the words tell them apart.
+    """
     rows = []
     for label, words in ((1, _UNWANTED), (0, _ORDINARY)):
         for i, word in enumerate(words):
-            for j, front in enumerate(("", "www.", "m.", "blog.")):
-                end = ("com", "net", "org")[(i + j) % 3]
-                rows.append((f"https://{front}{word}.example.{end}{_PATHS[(i + 3 * j) % len(_PATHS)]}", label))
+            for j, ending in enumerate(_ENDINGS):
+                front = ("", "www.", "m.", "blog.")[(i + j) % 4]
+                domain = ("com", "net", "org", "info", "co.uk", "de")[(i + 3 * j) % 6]
+                rows.append((f"https://{front}{word}{ending}.{domain}{_PATHS[(i + 7 * j) % len(_PATHS)]}", label))
     return spark.createDataFrame(rows, "url string, label int")
 
 
@@ -91,7 +107,11 @@ def features(host: str, path: str) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, ridge: float = 0.02, rounds: int = 300) -> np.ndarray:
-    """Weights, the intercept last; full-batch gradient steps on the bounded table."""
+    """Weights, the intercept last; full-batch gradient steps on the bounded table.
+
+    The intercept is held to the log odds of the labels: a url of which no n-gram is known is judged by
+    their share, and nothing but n-grams can move it.
+    """
     rows = (
         labelled.where(F.col("label").isNotNull())
         .select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("label").cast("double").alias("label"))
@@ -108,12 +128,12 @@ def fit(labelled: DataFrame, ridge: float = 0.02, rounds: int = 300) -> np.ndarr
     column = np.concatenate(parts)
     scale = 1.0 / np.sqrt(np.maximum(1, [len(p) for p in parts]))[row]
     y = np.array([r["label"] for r in rows])
+    weights[-1] = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     for _ in range(rounds):
         margin = np.bincount(row, weights[column] * scale, minlength=len(y)) + weights[-1]
         error = 1 / (1 + np.exp(-margin)) - y
         step = np.bincount(column, error[row] * scale, minlength=BUCKETS) / len(y)
         weights[:-1] -= 20.0 * (step + ridge * weights[:-1] / len(y))
-        weights[-1] -= 1.0 * error.mean()
     return weights
 
 
@@ -135,7 +155,8 @@ def judge(pages: DataFrame, labelled: DataFrame, url: str = "url", rules=RULES)
     """``pages`` with host, path, rule, probability and verdict."""
     weights = fit(labelled)
     found = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    found = found.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    own = spare(pages, "rule_of_")
+    found = found.withColumn(own, rule_of(F.col("host"), F.col("path"), rules))
     found = found.withColumn("probability", block_probability(pages.sparkSession, weights, F.col("host"), F.col("path")))
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("probability") >= 0.5, "block").otherwise("allow"))
-    return found.withColumns({"rule": F.col("_rule.rule"), "verdict": verdict}).drop("_rule")
+    verdict = F.coalesce(F.col(own)["verdict"], F.when(F.col("probability") >= 0.5, "block").otherwise("allow"))
+    return found.withColumns({"rule": F.col(own)["rule"], "verdict": verdict}).drop(own)
