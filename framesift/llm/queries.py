@@ -66,13 +66,13 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate class, links and representative of every document."""
+    """Near-duplicate class, links that joined it to its class, and representative of every document."""
     members, links = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     ends = links.select(F.col("a").alias("text_class")).unionByName(links.select(F.col("b").alias("text_class")))
     counts = ends.groupBy("text_class").agg(F.count("*").alias("n_links"))
     return members.join(counts, "text_class", "left").select(
         F.col("id").alias("doc_id"), "text_class", F.col("component").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_text_links"), (F.col("id") == F.col("component")).alias("kept"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_joining_links"), (F.col("id") == F.col("component")).alias("kept"),
     )
 
 
