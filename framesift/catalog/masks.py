@@ -9,6 +9,7 @@ from ..operators import annotate, depth, masks
 from ..operators.quality import resolve_thresholds
 from ..plans.ordered import scan
 from ..plans.quantiles import exact_quantiles
+from ..session import stored
 from . import views as v
 
 M = ("scene_id", "frame_id", "instance_id")
@@ -90,21 +91,21 @@ SELECT scene_id, frame_id, instance_id, count(*) AS eroded_area, CAST(sum(x) AS
 
 
 def _flow(tiles: DataFrame) -> DataFrame:
-    """Backward flow of the pixels of each mask, taken from their position."""
-    p = masks.pixels(tiles)
+    """Backward flow of the pixels of each mask, taken from their position, per tile."""
     number = F.col("frame_id").cast("int")
-    return p.where(number > 0).select(
-        *M,
-        F.lpad((number - 1).cast("string"), 6, "0").alias("prev_frame_id"),
-        "y",
-        "x",
-        ((F.col("x") % 5 - 2) * 0.75).alias("dx"),
-        ((F.col("y") % 3 - 1) * 0.75).alias("dy"),
+    inside = F.filter(F.sequence(F.lit(0), F.lit(masks.TILE - 1)), lambda i: F.call_function("getbit", F.col("bits"), i) == 1)
+
+    def move(i):
+        x = (F.col("tile") * masks.TILE + i).cast("int")
+        return F.struct(x.alias("x"), ((x % 5 - 2) * 0.75).alias("dx"), ((F.col("y") % 3 - 1) * 0.75).alias("dy"))
+
+    return tiles.where(number > 0).select(
+        *M, F.lpad((number - 1).cast("string"), 6, "0").alias("prev_frame_id"), "y", "tile", F.transform(inside, move).alias("moves")
     )
 
 
 def mask_warp(spark, sf_dir) -> DataFrame:
-    t = masks.tiles(v.mask_runs(spark, sf_dir))
+    t = stored(masks.tiles(v.mask_runs(spark, sf_dir)))
     seed = masks.warp(t, _flow(t))
     return seed.groupBy(*M).agg(F.count(F.lit(1)).alias("seed_area"), F.sum("x").cast("long").alias("sum_x"), F.sum("y").cast("long").alias("sum_y"))
 
@@ -118,9 +119,9 @@ SELECT scene_id, frame_id, instance_id, count(*) AS seed_area, CAST(sum(x) AS BI
 
 
 def flow_statistics(spark, sf_dir) -> DataFrame:
-    t = masks.tiles(v.mask_runs(spark, sf_dir))
+    t = stored(masks.tiles(v.mask_runs(spark, sf_dir)))
     flow = _flow(t)
-    stats = depth.flow_in_seed(flow, masks.warp(t, flow), v.MASK_WIDTH, v.MASK_HEIGHT, limit=0.008)
+    stats = depth.flow_in_seed(flow, masks.warp(t, flow, lengths=True), v.MASK_WIDTH, v.MASK_HEIGHT, limit=0.008)
     return stats.select(*M, v.long("seed_area", "seed_area"), *[v.r6(c, c) for c in ("flow_median_px", "flow_p95_px", "flow_p95_shift_norm")], "reason")
 
 

@@ -124,14 +124,20 @@ def measure_instances(
 
 
 def flow_in_seed(flow: DataFrame, seed: DataFrame, width: int, height: int, limit: float = 0.35) -> DataFrame:
-    """Motion statistics of the flow inside a warped seed and the limit check."""
-    length = F.hypot("dx", "dy")
-    inside = flow.join(seed.select(*MASK, "y", "x"), [*MASK, "y", "x"])
+    """Motion statistics of the flow inside a warped seed and the limit check.
+
+    A seed that holds the ``length`` of the flow (``warp(lengths=True)``) is not joined to the flow again.
+    Equal lengths are counted before the quantiles, so no mask brings its pixels to the shuffle.
+    """
+    if "length" in seed.columns:
+        inside = seed
+    else:
+        inside = flow.withColumn("length", F.hypot("dx", "dy")).join(seed.select(*MASK, "y", "x"), [*MASK, "y", "x"])
     diagonal = max(float(width * width + height * height) ** 0.5, 1.0)
-    stats = inside.groupBy(*MASK).agg(
-        F.count(F.lit(1)).alias("seed_area"),
-        F.percentile(length, 0.5).alias("flow_median_px"),
-        F.percentile(length, 0.95).alias("flow_p95_px"),
+    stats = inside.groupBy(*MASK, "length").agg(F.count(F.lit(1)).alias("n")).groupBy(*MASK).agg(
+        F.sum("n").alias("seed_area"),
+        F.percentile("length", 0.5, F.col("n")).alias("flow_median_px"),
+        F.percentile("length", 0.95, F.col("n")).alias("flow_p95_px"),
     )
     shift = F.col("flow_p95_px") / F.lit(diagonal)
     everything = flow.select(*MASK).distinct().join(stats, list(MASK), "left")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 TILE = 32
+SHIFT = 5  # TILE as a power of two
 FULL = (1 << TILE) - 1
 FRAME = ("scene_id", "frame_id")
 MASK = ("scene_id", "frame_id", "instance_id")
@@ -142,22 +143,43 @@ def pixels(mask_tiles: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:
     )
 
 
-def warp(mask_tiles: DataFrame, flow: DataFrame) -> DataFrame:
+def tiled_flow(flow: DataFrame) -> DataFrame:
+    """Pixel rows of a flow as one row per tile: ``MASK, prev_frame_id, y, tile, moves``.
+
+    ``moves`` lists ``x, dx, dy`` of the pixels of the tile that have a flow.
+    """
+    if "moves" in flow.columns:
+        return flow
+    tile = F.floor(F.col("x") / TILE).cast("int").alias("tile")
+    return flow.groupBy(*MASK, "prev_frame_id", "y", tile).agg(F.collect_list(F.struct("x", "dx", "dy")).alias("moves"))
+
+
+def warp(mask_tiles: DataFrame, flow: DataFrame, lengths: bool = False) -> DataFrame:
     """Gather a mask of the previous frame along a backward flow.
 
-    flow  ``scene_id, frame_id, instance_id, prev_frame_id, y, x, dx, dy``: pixel (x, y) of
-          the frame takes the value at (x + dx, y + dy) of the previous frame
+    flow     ``scene_id, frame_id, instance_id, prev_frame_id, y, x, dx, dy``: pixel (x, y) of
+             the frame takes the value at (x + dx, y + dy) of the previous frame; or the same
+             per tile (``tiled_flow``)
+    lengths  also give the ``length`` of the flow at each pixel
     Coordinates round half to even; positions outside are empty.
+
+    Pixels travel as lists, one row per tile and tile they look at; they are unfolded after the join.
     """
-    source = flow.select(
-        *MASK,
-        "prev_frame_id",
-        "y",
-        "x",
-        (F.bround(F.col("x") + F.col("dx"))).cast("int").alias("sx"),
-        (F.bround(F.col("y") + F.col("dy"))).cast("int").alias("sy"),
-    ).where((F.col("sx") >= 0) & (F.col("sy") >= 0))
-    source = source.withColumn("st", F.floor(F.col("sx") / TILE).cast("int"))
+    def target(m: Column) -> Column:
+        sx, sy = F.rint(m["x"] + m["dx"]).cast("int"), F.rint(F.col("y") + m["dy"]).cast("int")
+        inside = (sx >= 0) & (sy >= 0)
+        # the row and tile looked at in one number; both places inside a tile in another
+        place = F.shiftleft(sy.cast("long"), 32).bitwiseOR(F.shiftright(sx, SHIFT).cast("long"))
+        bits = (F.pmod(m["x"], F.lit(TILE)) * TILE + sx % TILE).cast("int")
+        parts = [F.when(inside, place).alias("place"), bits.alias("at")]
+        return F.struct(*parts, *([F.hypot(m["dx"], m["dy"]).alias("length")] if lengths else []))
+
+    fixed = [*MASK, "prev_frame_id", "y", "tile"]
+    targets = tiled_flow(flow).select(*fixed, F.filter(F.transform("moves", target), lambda t: t["place"].isNotNull()).alias("targets"))
+    source = targets.select(*fixed, "targets", F.explode(F.array_distinct("targets.place")).alias("place"))
+    here = F.filter("targets", lambda t: t["place"] == F.col("place"))
+    lists = [here["at"].alias("at")] + ([here["length"].alias("length")] if lengths else [])
+    source = source.select(*fixed, F.shiftright("place", 32).cast("int").alias("sy"), F.col("place").bitwiseAND((1 << 32) - 1).cast("int").alias("st"), *lists)
     before = mask_tiles.select(
         "scene_id",
         F.col("frame_id").alias("prev_frame_id"),
@@ -167,7 +189,11 @@ def warp(mask_tiles: DataFrame, flow: DataFrame) -> DataFrame:
         "bits",
     )
     hit = source.join(before, ["scene_id", "prev_frame_id", "instance_id", "sy", "st"])
-    return hit.where(F.call_function("getbit", F.col("bits"), F.col("sx") % TILE) == 1).select(*MASK, "y", "x")
+    listed = F.arrays_zip("at", "length") if lengths else F.transform("at", lambda a: F.struct(a.alias("at")))
+    set_ = F.filter(listed, lambda p: F.call_function("getbit", F.col("bits"), p["at"] % TILE) == 1)
+    found = hit.select(*MASK, "y", "tile", F.explode(set_).alias("p"))
+    x = (F.col("tile") * TILE + F.shiftright("p.at", SHIFT)).cast("int").alias("x")
+    return found.select(*MASK, "y", x, *(["p.length"] if lengths else []))
 
 
 def merged_runs(mask_tiles: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:

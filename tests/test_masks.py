@@ -132,3 +132,23 @@ def test_instance_depth_ignores_outlier(spark):
         {"fx": 100.0, "fy": 100.0, "cx": 5.0, "cy": 4.0}, 10, 8, min_pixels=60,
     ).first()
     assert few.depth_m is None
+
+
+def test_warp_reads_pixel_and_tile_flows_alike(spark):
+    rng = np.random.default_rng(8)
+    previous = [("s", "000000", "a", y, int(x), int(x) + 9) for y in range(20) for x in rng.integers(0, 50, 2)]
+    tiles = masks.tiles(spark.createDataFrame(previous, schemas.MASK_RUNS))
+    rows = [("s", "000001", "a", "000000", y, x, float(rng.integers(-80, 80)) / 4, float(rng.integers(-20, 20)) / 4) for y in range(20) for x in range(64)]
+    flow = spark.createDataFrame(rows, "scene_id string, frame_id string, instance_id string, prev_frame_id string, y int, x int, dx double, dy double")
+    inside = {(y, x) for _, _, _, y, first, last in previous for x in range(first, last)}
+    wanted = {(y, x): np.hypot(dx, dy) for *_, y, x, dx, dy in rows if (round(y + dy), round(x + dx)) in inside}
+    assert {(r.y, r.x) for r in masks.warp(tiles, flow).collect()} == set(wanted)
+    packed = masks.tiled_flow(flow)
+    seed = masks.warp(tiles, packed, lengths=True)
+    assert {(r.y, r.x): r.length for r in seed.collect()} == pytest.approx(wanted)
+    # the pixels of a flow do not meet again: one joining of tiles, and none of pixels
+    stats = depth.flow_in_seed(packed, seed, 64, 48)
+    assert stats._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+    found, plain = stats.first(), depth.flow_in_seed(flow, masks.warp(tiles, flow), 64, 48).first()
+    assert found == plain and found.seed_area == len(wanted)
+    assert found.flow_p95_px == pytest.approx(np.percentile(list(wanted.values()), 95))
