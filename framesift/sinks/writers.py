@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from ..operators.validation import violation
 from ..session import cut
 
+SEGMENT_PARTS = 64  # folders that scenes are dealt to
+
 
 def replace_partitions(df: DataFrame, path: str, *partition: str, format: str = "parquet") -> None:
     """Overwrite exactly the partitions present in ``df``; rows of an earlier run vanish with them."""
@@ -108,10 +110,29 @@ def read_report(spark: SparkSession, path: str, schema: StructType, *partition:
     return rows.where(reduce(Column.__or__, rest))
 
 
-def write_segments(segments: DataFrame, parameters: dict, path: str) -> None:
-    """Segments with the parameters that produced them."""
+def write_segments(segments: DataFrame, parameters: dict, path: str, parts: int = SEGMENT_PARTS) -> None:
+    """Segments with the parameters that produced them; scenes written again lose their earlier rows.
+
+    Scenes are dealt to ``parts`` folders by a hash, so the number of files does not grow with that of the scenes.
+    Folders that hold a scene of ``segments`` are written anew, with the rows of their other scenes.
+    ``parts`` may not change between runs.
+    """
     settings = F.struct(*[F.lit(v).alias(k) for k, v in parameters.items()])
-    replace_partitions(segments.withColumn("parameters", settings), path, "scene_id", format="json")
+    rows = segments.withColumns({"parameters": settings, "part": F.pmod(F.xxhash64("scene_id"), F.lit(parts)).cast("int")})
+    spark = segments.sparkSession
+    try:
+        stored = spark.read.schema(rows.schema).json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        rows = cut(rows)
+        scenes = rows.select(F.col("scene_id").alias("_scene"), F.col("part").alias("_part")).distinct()
+        touched = F.broadcast(scenes.select("_part").distinct())  # at most as many as there are parts
+        others = stored.join(touched, F.col("part") == F.col("_part"), "left_semi")
+        others = others.join(scenes, F.col("scene_id").eqNullSafe(F.col("_scene")), "left_anti")
+        rows = cut(rows.unionByName(others))  # all is read before the folders are replaced
+    replace_partitions(rows.repartition("part"), path, "part", format="json")
 
 
 def write_proposals(routed: DataFrame, path: str) -> None:

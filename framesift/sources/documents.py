@@ -119,14 +119,16 @@ def class_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 def scene_reports(
     spark: SparkSession, path: str, keep_errors: bool = False, repository: str | None = None, project: str | None = None,
-    glob: str = "*_report.json",
+    glob: str = "*_report.json", lines: bool = False,
 ) -> DataFrame:
     """Scene reports ``*_report.json``; scene paths get one spelling, in the checkout ``repository`` if given.
 
+    ``lines``: files hold one report per line, and ``report_path`` names the file they share.
+
     keep_errors=False drops unreadable reports and reports without a scene;
     keep_errors=True keeps every file and fills ``error`` for unreadable ones.
     """
-    raw = spark.read.schema(_RAW_REPORT).json(path, multiLine=True, pathGlobFilter=glob)
+    raw = spark.read.schema(_RAW_REPORT).json(path, multiLine=not lines, pathGlobFilter=glob)
     rows = raw.select(file_path().alias("report_path"), "*")
     counts = F.coalesce("frame_status_counts", F.create_map().cast("map<string,int>"))
     ids = F.filter(
@@ -157,14 +159,14 @@ def accepted_ids(reports: DataFrame) -> DataFrame:
     return reports.select("report_path", "scene", F.explode("output_ids").alias("output_id"))
 
 
-def quality_reports(spark: SparkSession, path: str, glob: str = "quality_report.json") -> DataFrame:
-    """Per-frame quality records of the instance reports."""
+def quality_reports(spark: SparkSession, path: str, glob: str = "quality_report.json", lines: bool = False) -> DataFrame:
+    """Per-frame quality records of the instance reports; with ``lines`` files hold one report per line."""
     schema = (
         "scene string, instance_id string, class_id int, class_name string, split string, tracker string, "
         "records array<struct<id:string,output_id:string,status:string,auto_status:string,manual_status:string,manual_reason:string,"
         "has_label:boolean,reject_reasons:array<string>,review_reasons:array<string>,metrics:map<string,string>>>"
     )
-    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    raw = spark.read.schema(schema).json(path, multiLine=not lines, recursiveFileLookup=True, pathGlobFilter=glob)
     scene = F.element_at(F.split("scene", "/"), -1)
     return raw.select(scene.alias("scene_id"), "instance_id", "class_id", "class_name", "split", F.explode("records").alias("r")).select(
         "scene_id", "instance_id", "class_id", "class_name", "split", F.col("r.id").alias("frame_id"), *[
@@ -196,14 +198,17 @@ def last_rows_per_frame(rows: DataFrame) -> DataFrame:
     return rows.groupBy("scene_id", "frame_id").agg(F.max_by(F.struct(*fields), "pos").alias("r")).select("scene_id", "frame_id", "r.*")
 
 
-def capture_metadata(spark: SparkSession, path: str, glob: str = "metadata.json") -> DataFrame:
-    """Frame rows of ``metadata.json`` files; a repeated id keeps its last row."""
+def capture_metadata(spark: SparkSession, path: str, glob: str = "metadata.json", lines: bool = False) -> DataFrame:
+    """Frame rows of ``metadata.json`` files; a repeated id keeps its last row.
+
+    The scene is the folder of the file.  With ``lines`` files hold one document per line, which names its ``scene``.
+    """
     schema = (
         "frames array<struct<id:string,color_timestamp_ms:double,depth_timestamp_ms:double,sensor_depth_scale:double,valid_depth_ratio:double>>, "
-        "depth_to_metre double"
+        "depth_to_metre double, scene string"
     )
-    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter=glob)
-    scene = F.element_at(F.split(file_path(), "/"), -2)
+    raw = spark.read.schema(schema).json(path, multiLine=not lines, recursiveFileLookup=True, pathGlobFilter=glob)
+    scene = F.col("scene") if lines else F.element_at(F.split(file_path(), "/"), -2)
     rows = raw.select(scene.alias("scene_id"), "depth_to_metre", F.posexplode("frames").alias("pos", "f")).where("f.id is not null")
     return last_rows_per_frame(rows.select("scene_id", F.col("f.id").alias("frame_id"), "pos", "depth_to_metre", *[
         F.col(f"f.{c}").alias(c) for c in ("color_timestamp_ms", "depth_timestamp_ms", "sensor_depth_scale", "valid_depth_ratio")

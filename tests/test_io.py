@@ -154,3 +154,18 @@ def test_measure_on_stream(spark, tmp_path):
     query = stream.writeStream.foreachBatch(body).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(round(r.depth_m, 3) for r in spark.read.parquet(out).collect()) == [1.0, 1.001]
+
+
+def test_documents_by_line(spark, tmp_path):
+    """Many documents of one file, as the queries write them."""
+    lines = [{"scene": f"/d/s{i}", "instance_id": "a", "records": [{"id": "1", "status": "accepted"}]} for i in range(3)]
+    (tmp_path / "q.json").write_text("\n".join(map(json.dumps, lines)))
+    assert sorted(r.scene_id for r in documents.quality_reports(spark, str(tmp_path), "q.json", lines=True).collect()) == ["s0", "s1", "s2"]
+    lines = [{"scene": f"s{i}", "frames": [{"id": "f", "color_timestamp_ms": 1.0}, {"id": "f", "color_timestamp_ms": 2.0 + i}]} for i in range(2)]
+    (tmp_path / "m.json").write_text("\n".join(map(json.dumps, lines)))
+    found = documents.capture_metadata(spark, str(tmp_path), "m.json", lines=True).collect()
+    assert sorted((r.scene_id, r.color_timestamp_ms) for r in found) == [("s0", 2.0), ("s1", 3.0)]
+    lines = [{"scene": f"/d/s{i}", "frames": [{"output_id": " o ", "status": "accepted"}]} for i in range(2)]
+    (tmp_path / "r.json").write_text("\n".join(map(json.dumps, lines)))
+    found = documents.accepted_ids(documents.scene_reports(spark, str(tmp_path), glob="r.json", lines=True)).collect()
+    assert sorted((r.scene, r.output_id) for r in found) == [("/d/s0", "o"), ("/d/s1", "o")]

@@ -63,3 +63,14 @@ def test_spellings_of_a_scene_form_one_group(spark):
     reports = spark.createDataFrame(rows, "report_path string, scene string, split string, capture_session_id string, source_video_id string")
     found = groups.capture_groups(groups.resolved_scenes(reports, "/srv/kit", PROJECT)).collect()
     assert len({r.group_key for r in found if r.report_path != "r3"}) == 1 and len({r.group_key for r in found}) == 2
+
+
+def test_segments_of_many_scenes_share_folders(spark, tmp_path):
+    path = str(tmp_path / "segments")
+    rows = spark.range(300).select(F.concat(F.lit("s"), "id").alias("scene_id"), F.lit(0).cast("long").alias("segment_id"), F.col("id").alias("end_index"))
+    writers.write_segments(rows.unionByName(rows.where("end_index = 7").withColumn("segment_id", F.lit(1).cast("long"))), {"max_frames": 9}, path, parts=4)
+    assert len(list((tmp_path / "segments").glob("part=*"))) == 4 and len(list((tmp_path / "segments").glob("part=*/*.json"))) <= 8
+    writers.write_segments(rows.where("end_index = 7").withColumn("end_index", F.lit(1000).cast("long")), {"max_frames": 5}, path, parts=4)
+    found = spark.read.json(path)
+    assert found.count() == 300 and found.agg(F.sum("end_index")).first()[0] == sum(range(300)) - 7 + 1000
+    assert [(r.scene_id, r.segment_id) for r in found.where("parameters.max_frames = 5").collect()] == [("s7", 0)]
