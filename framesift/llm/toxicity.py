@@ -6,8 +6,10 @@ under a character model finds the likeliest word; restored words and their begin
 by a lexicon learned from labelled documents.
 
 The lexicon is a greedy cover: the feature with the largest number of still unexplained toxic documents
-(copies with the same words in the same order count once) among those that hardly occur in clean ones, again and again.  It is fitted on a
-bounded, documented sample of labelled rows; scoring reads every whole text.
+(copies with the same words in the same order count once) among those that hardly occur in clean ones, again and again.  It is fitted on
+all labelled rows: documents, words and letters are counted by Spark, and the driver sees features that at least one toxic document
+in 400 holds (their number does not grow with the table) and counts of three letters.  A round of the cover is one count over the documents still
+unexplained.
 
 Defined results: null or empty text has no evidence and gets the base score; several labels of a document
 count as toxic if any is; without labels every score is 0; repeated rows score alike; extra columns pass.
@@ -27,8 +29,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import cut
 from .bpe import _Sent
 
-SAMPLE_TOXIC = 3_000  # labelled rows the lexicon is fitted on
-SAMPLE_CLEAN = 9_000
+FLUSH = 300_000  # counts that a task holds before it sends them
+ROWS = 512  # documents whose words are listed at once
 PREFIXES = (4, 5, 6, 7, 8)
 PURITY = 0.9
 KEPT_SIGNS = 4_000_000  # of the tokens whose scores a worker keeps
@@ -52,22 +54,27 @@ _MARKS = re.compile(r"(?:[^\w@$!|+€£(*#]|_)+")
 _ALL_MARKS = re.compile(r"[\W_]+")
 
 
+def letters_of(words: Iterator[tuple[str, int]]) -> Counter:
+    """Counts of three letters in a row, from word counts; ``^`` marks the ends of a word."""
+    three: Counter = Counter()
+    for word, count in words:
+        text = f"^^{word}^"
+        for i in range(2, len(text)):
+            three[text[i - 2 : i + 1]] += count
+    return three
+
+
 class Characters:
-    """Trigram character model with back-off, from word counts."""
-
-    def __init__(self, words: dict[str, int]) -> None:
-        three, two, one = defaultdict(float), defaultdict(float), defaultdict(float)
-        for word, count in words.items():
-            text = f"^^{word}^"
-            for i in range(2, len(text)):
-                three[text[i - 2 : i + 1]] += count
-                two[text[i - 1 : i + 1]] += count
-                one[text[i]] += count
+    """Trigram character model with back-off, from counts of three letters."""
+
+    def __init__(self, three: dict[str, int]) -> None:
+        two, one = defaultdict(float), defaultdict(float)
         head3, head2 = defaultdict(float), defaultdict(float)
         for k, v in three.items():
+            two[k[1:]] += v
+            one[k[2]] += v
             head3[k[:2]] += v
-        for k, v in two.items():
-            head2[k[0]] += v
+            head2[k[1]] += v
         total = sum(one.values()) or 1.0
         self.one = {k: math.log(0.02 * v / total) for k, v in one.items()}
         self.two = {k: math.log(0.2 * v / head2[k[0]]) for k, v in two.items()}
@@ -176,7 +183,7 @@ def marks(word: str) -> list[str]:
 
 
 class Lexicon:
-    """Feature shares and the base score; as many as the bounded sample gives."""
+    """Feature shares and the base score; features are those of at least one toxic document in 400."""
 
     def __init__(self, model: Characters, shares: dict[str, float], base: float) -> None:
         self.model, self.shares, self.base = model, shares, base
@@ -190,96 +197,111 @@ def print_of(spelt: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b(" ".join(spelt).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _listed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints, words = [], []
-        for value in batch.column("text"):
-            spelt = [w for token in (value.as_py() or "").lower().split() for w in _WORDS.findall(token)]
-            prints.append(print_of(spelt))
-            words.append(sorted(set(spelt)))
-        yield pa.record_batch([pa.array(prints, pa.int64()), batch.column("toxic").cast(pa.int32()), pa.array(words, pa.list_(pa.string()))], ["print", "toxic", "words"])
+        for first in range(0, batch.num_rows, ROWS):
+            part = batch.slice(first, ROWS)
+            prints, words = [], []
+            for value in part.column("text"):
+                spelt = [w for token in (value.as_py() or "").lower().split() for w in _WORDS.findall(token)]
+                prints.append(print_of(spelt))
+                words.append(sorted(set(spelt)))
+            yield pa.record_batch([pa.array(prints, pa.int64()), part.column("toxic").cast(pa.int32()), pa.array(words, pa.list_(pa.string()))], ["print", "toxic", "words"])
 
 
-def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Toxic and clean documents of a partition that hold each feature."""
-    bad, good = Counter(), Counter()
-    for batch in batches:
-        for toxic, words in zip(batch.column("toxic").to_pylist(), batch.column("words")):
-            (bad if toxic else good).update({m for w in words.as_py() for m in marks(w)})
-    # what no toxic document of the partition holds cannot be left out: another partition may hold it
-    names = list(bad.keys() | good.keys())
-    yield pa.record_batch([pa.array(names, pa.string()), pa.array([bad[n] for n in names], pa.int64()), pa.array([good[n] for n in names], pa.int64())], ["feature", "bad", "good"])
+def _sent_counts(found: Counter, name: str) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], [name, "n"])
+
+
+def _counted(docs: DataFrame, name: str, items) -> DataFrame:
+    """``(name, n)``: how often ``items`` of a row's words gives each text; summed in tasks, then by Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for batch in batches:
+            for words in batch.column("words"):
+                found.update(items(words.as_py()))
+                if len(found) >= FLUSH:
+                    yield _sent_counts(found, name)
+                    found = Counter()
+        yield _sent_counts(found, name)
+
+    return docs.select("words").mapInArrow(run, f"{name} string, n long").groupBy(name).agg(F.sum("n").alias("n"))
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = Counter()
+def _features(words: list[str]) -> set[str]:
+    return {m for w in words for m in marks(w)}
+
+
+def _letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found.update(batch.column("words").combine_chunks().flatten().to_pylist() if isinstance(batch.column("words"), pa.ChunkedArray) else batch.column("words").flatten().to_pylist())
-    yield pa.record_batch([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
+        yield _sent_counts(letters_of(zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True)), "letters")
+
+
+def _numbers(counted: DataFrame, name: str) -> dict[str, int]:
+    table = counted.toArrow()
+    return dict(zip(table.column(name).to_pylist(), table.column("n").to_pylist(), strict=True))
+
+
+def cover(held: DataFrame, holders: dict[str, int], least: int) -> tuple[list[str], int]:
+    """Features chosen greedily, and the number of documents they explain.
+
+    ``held`` lists the features of each toxic document (``features ARRAY<STRING>``).  Each round counts the documents that are not
+    explained yet by feature; a round explains at least ``least`` documents, so there are at most as many rounds as shares of that size.
+    """
+    open_ = cut(held.groupBy("features").agg(F.count(F.lit(1)).alias("n")))
+    chosen: list[str] = []
+    explained = 0
+    while True:
+        gains = _numbers(open_.select(F.explode("features").alias("feature"), "n").groupBy("feature").agg(F.sum("n").alias("n")), "feature")
+        # largest gain first; among equals the more frequent one, then the most general feature, then the smallest text
+        best = min(gains, key=lambda f: (-gains[f], -holders[f], len(f), f), default=None)
+        if best is None or gains[best] < least:
+            return chosen, explained
+        chosen.append(best)
+        explained += gains[best]
+        open_ = open_.where(~F.array_contains("features", best))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc: str = "doc_id", text: str = "text", label: str = "toxic") -> Lexicon:
     spark = docs.sparkSession
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc).alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic")).where(learn)
-    mark = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 20))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     bad, good = counts.get(1, 0), counts.get(0, 0)
     if not bad:
         return Lexicon(Characters({}), {}, 0.0)
-    limits = {1: SAMPLE_TOXIC / bad, 0: SAMPLE_CLEAN / max(1, good)}
-    share = F.when(F.col("toxic") == 1, F.lit(limits[1])).otherwise(F.lit(limits[0]))
-    chosen = known.where(mark < share * (1 << 20)).select("id", "toxic")
-    # the sample is small by its limits; that is checked before it goes to every task
-    sampled = chosen.count()
-    few = F.broadcast(chosen) if sampled <= 2 * (SAMPLE_TOXIC + SAMPLE_CLEAN) else chosen
-    rows = docs.select(F.col(doc).alias("id"), F.col(text).alias("text")).join(few, "id").select("text", "toxic")
-    words = cut(rows.mapInArrow(_sample_words, "print long, toxic int, words array<string>"))
-    ratio = (bad * min(1.0, limits[1])) / max(1.0, good * min(1.0, limits[0])) * max(1, good) / bad
-    once = words.dropDuplicates(["print", "toxic"])  # copies count once
-    counted = once.mapInArrow(_feature_counts, "feature string, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    counted = counted.where((F.col("bad") >= 2) & (F.col("bad") >= PURITY * (F.col("bad") + F.col("good"))))
-    word = F.col("word")
-    features = F.concat(F.array(F.concat(F.lit("="), word)), *[F.when(F.length(word) > n, F.array(F.substring(word, 1, n))).otherwise(F.array().cast("array<string>")) for n in PREFIXES])
-    toxic = once.where("toxic = 1").select("print", F.explode("words").alias("word"))
-    spread = toxic.select("print", F.explode(features).alias("feature")).distinct()
-    links = spread.join(counted, "feature").select("print", "feature", "bad", "good").toArrow()  # bounded by the sample
-    holders: dict[str, set[int]] = defaultdict(set)
-    clean: dict[str, int] = {}
-    for p, f, g in zip(links.column("print").to_pylist(), links.column("feature").to_pylist(), links.column("good").to_pylist(), strict=True):
-        holders[f].add(p)
-        clean[f] = g
-    total = words.where("toxic = 1").select(F.countDistinct("print")).first()[0]
+    rows = docs.select(F.col(doc).alias("id"), F.col(text).alias("text")).join(known, "id").select("text", "toxic")
+    words = rows.mapInArrow(_listed_words, "print long, toxic int, words array<string>")
+    # copies count once, in each class they have labels of
+    flags = [F.bool_or(F.col("toxic") == k).alias(name) for k, name in ((1, "bad"), (0, "good"))]
+    once = cut(words.groupBy("print").agg(F.first("words").alias("words"), *flags))
+    toxic = once.where("bad")
+    total = toxic.count()
     least = max(2, total // 400)
-    shares: dict[str, float] = {}
-    covered: set[int] = set()
-    # largest gain first; among equals the most general feature, then the smallest text
-    queue = sorted(holders, key=lambda f: (-len(holders[f]), len(f), f))
-    while queue:
-        best, gain = "", 0
-        for f in queue:
-            if len(holders[f]) <= gain or len(holders[f]) < least:
-                break
-            new = len(holders[f] - covered)
-            if new > gain:
-                best, gain = f, new
-        if gain < least:
-            break
-        shares[best] = len(holders[best]) / (len(holders[best]) + clean[best] * ratio + 2.1)
-        covered |= holders[best]
-        queue.remove(best)
+    # a document holds a bounded number of features, so those of one document in 400 do not grow with the table
+    frequent = _numbers(_counted(toxic, "feature", _features).where(F.col("n") >= least), "feature")
+    sent = spark.sparkContext.broadcast(frozenset(frequent))
+    clean = _numbers(_counted(once.where("good"), "feature", lambda words: _features(words) & sent.value), "feature")
+    holders = {f: n for f, n in frequent.items() if n >= PURITY * (n + clean.get(f, 0))}
+    pure = spark.sparkContext.broadcast(frozenset(holders))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [sorted(_features(words.as_py()) & pure.value) for words in batch.column("words")]
+            yield pa.record_batch([pa.array(lists, pa.list_(pa.string()))], ["features"])
+
+    chosen, explained = cover(toxic.select("words").mapInArrow(held, "features array<string>").where("size(features) > 0"), holders, least)
+    share = lambda f: holders[f] / (holders[f] + clean.get(f, 0) + 2.1)
+    shares = {f: share(f) for f in chosen}
     # features as frequent as a chosen one, whole words above all, also count by themselves
-    for f, who in holders.items():
-        if f not in shares and len(who) >= max(6, total // 100) and clean[f] * 20 <= len(who):
-            shares[f] = len(who) / (len(who) + clean[f] * ratio + 2.1)
-    base = (total - len(covered) + 0.5) / (total + max(1, good) + 1.0)
-    documents = words.dropDuplicates(["print"]).mapInArrow(_word_counts, "word string, n long")
-    frequent = documents.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy("word").toArrow()  # bounded by the sample
-    counts = dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist(), strict=True))
-    boost = max(20, sum(counts.values()) // (20 * max(1, len(shares))))
-    for f in shares:
-        if f[0] == "=":
-            counts[f[1:]] = counts.get(f[1:], 0) + boost
-    return Lexicon(Characters(counts), shares, float(min(0.4, base)))
+    shares |= {f: share(f) for f, n in holders.items() if f not in shares and n >= max(6, total // 100) and clean.get(f, 0) * 20 <= n}
+    base = (total - explained + 0.5) / (total + max(1, good) + 1.0)
+    spelt = cut(_counted(once, "word", lambda words: words).where("n > 1"))
+    letters = Counter(_numbers(spelt.mapInArrow(_letter_counts, "letters string, n long").groupBy("letters").agg(F.sum("n").alias("n")), "letters"))
+    signs = spelt.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    boost = max(20, signs // (20 * max(1, len(shares))))
+    letters.update(letters_of((f[1:], boost) for f in shares if f[0] == "="))
+    return Lexicon(Characters(letters), shares, float(min(0.4, base)))
 
 
 class _Kept:

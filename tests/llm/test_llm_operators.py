@@ -289,6 +289,18 @@ def test_toxicity_counts_documents_that_share_a_word(spark):
     assert toxicity.print_of(["a", "b"]) != toxicity.print_of(["b", "a"])
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """More toxic rows than any fixed number of them: shares and the base are those of all."""
+    rows = spark.range(21_000).select(F.col("id").alias("doc_id"), (F.col("id") < 9_000).cast("int").alias("toxic"))
+    word = F.when(F.col("doc_id") % 3 == 0, "idiot").when(F.col("doc_id") % 3 == 1, "moron").otherwise("fool")
+    text = F.concat_ws(" ", F.when(F.col("toxic") == 1, word), F.lit("row"), F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij"))
+    docs = rows.select("doc_id", text.alias("text")).repartition(4)
+    lexicon = toxicity.fit(docs, rows, F.lit(True))
+    for name in ("idiot", "moron", "fool"):
+        assert lexicon.shares[f"={name}" if len(name) < 5 else name[:4]] == pytest.approx(3_000 / 3_002.1)
+    assert lexicon.base == pytest.approx(0.5 / (9_000 + 12_000 + 1))
+
+
 def test_toxicity_reads_long_and_joined_tokens(spark, prose):
     insults = ["idiot", "moron", "worthless"]
     texts = [f"{t} {insults[i % 3]} {t[:9]}" if i % 4 == 0 else t for i, t in enumerate(prose * 4)]
