@@ -152,37 +152,48 @@ def compatible_path(path: Column, repository: str, project: str) -> Column:
     place wins.  Other absolute paths stay as they are.
     """
     repo_name, project_name = repository.rsplit("/", 1)[-1], project.rsplit("/", 1)[-1]
-    parts = F.split(path, "/")
     known = [*PROJECT_DIRECTORIES, *REPOSITORY_DIRECTORIES]
 
-    def part(i):
-        return F.try_element_at(parts, i.cast("int"))
+    def placed(path: Column, parts: Column) -> Column:
+        def part(i):
+            return F.try_element_at(parts, i.cast("int"))
 
-    def marker(i):
-        below = (part(i - 1) == repo_name) | (part(i - 1) == project_name)
-        return part(i).isin(known) & below
+        def marker(i):
+            below = (part(i - 1) == repo_name) | (part(i - 1) == project_name)
+            return part(i).isin(known) & below
 
-    places = F.filter(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), lambda i: F.coalesce(marker(i), F.lit(False)))
-    place = F.array_max(places)
-    rest = F.array_join(F.slice(parts, place, F.size(parts)), "/")
-    root = F.when(part(place).isin(*PROJECT_DIRECTORIES), F.lit(project)).otherwise(F.lit(repository))
-    inside = path.startswith(repository + "/") | path.startswith(project + "/")
-    return F.when(inside | place.isNull() | ~path.startswith("/"), path).otherwise(F.concat(root, F.lit("/"), rest))
+        places = F.filter(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), lambda i: F.coalesce(marker(i), F.lit(False)))
+
+        def moved(place: Column) -> Column:
+            rest = F.array_join(F.slice(parts, place, F.size(parts)), "/")
+            root = F.when(part(place).isin(*PROJECT_DIRECTORIES), F.lit(project)).otherwise(F.lit(repository))
+            inside = path.startswith(repository + "/") | path.startswith(project + "/")
+            return F.when(inside | place.isNull() | ~path.startswith("/"), path).otherwise(F.concat(root, F.lit("/"), rest))
+
+        return _bound(F.array_max(places), moved)
+
+    return _bound(path, lambda p: _bound(F.split(p, "/"), lambda parts: placed(p, parts)))
 
 
 def normal_path(path: Column) -> Column:
     """Path without empty, ``.`` and ``..`` parts; a relative path keeps leading ``..``."""
-    absolute = path.startswith("/")
 
-    def step(done: Column, part: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        climbs = (part == "..") & last.isNotNull() & (last != "..")
-        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
-        return F.when(climbs, up).when(absolute & (part == ".."), done).otherwise(F.concat(done, F.array(part)))
+    def resolved(path: Column) -> Column:
+        absolute = path.startswith("/")
+
+        def step(done: Column, part: Column) -> Column:
+            last = F.try_element_at(done, F.lit(-1))
+            climbs = (part == "..") & last.isNotNull() & (last != "..")
+            up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+            return F.when(climbs, up).when(absolute & (part == ".."), done).otherwise(F.concat(done, F.array(part)))
+
+        parts = F.filter(F.split(path, "/"), lambda p: ~p.isin("", "."))
+        kept = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+        # most paths hold no such part and are not taken apart
+        plain = ~(path.contains("//") | path.contains("/.") | path.startswith(".") | path.endswith("/"))
+        return F.when(plain | (path == ""), path).otherwise(F.concat(F.when(absolute, "/").otherwise(""), kept))
 
-    parts = F.filter(F.split(path, "/"), lambda p: ~p.isin("", "."))
-    kept = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
-    return F.when(path != "", F.concat(F.when(absolute, "/").otherwise(""), kept)).otherwise(path)
+    return _bound(path, resolved)
 
 
 def scene_identity(path: Column, repository: str | None = None, project: str | None = None) -> Column:

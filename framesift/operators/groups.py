@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import blank_to_null, scene_identity
 from ..plans.blocks import index_block
-from ..plans.components import connected_components
+from ..plans.components import component_numbers
 from ..plans.ordered import ranked, scan
 from ..session import cut
 
@@ -37,11 +37,12 @@ def capture_groups(reports: DataFrame) -> DataFrame:
     The key names the scene of the last report of the group in path order, as it is spelled there.  Scenes are
     compared by their resolved paths; an old checkout counts as the present one after ``resolved_scenes``.
     """
-    found = connected_components(identifiers(reports), "report_path", "identifier")
+    found = cut(component_numbers(identifiers(reports), "report_path", "identifier"))
+    key = ["round", "number"]
     placed = found.join(reports.select("report_path", "scene"), "report_path")
-    keys = placed.groupBy("component").agg(F.max(F.struct("report_path", "scene")).alias("last"))
-    named = keys.select("component", F.concat(F.lit("scene:"), F.col("last.scene")).alias("group_key"))
-    return found.join(named, "component").select("report_path", "group_key")
+    keys = placed.groupBy(*key).agg(F.max(F.struct("report_path", "scene")).alias("last"))
+    named = keys.select(*key, F.concat(F.lit("scene:"), F.col("last.scene")).alias("group_key"))
+    return found.join(named, key).select("report_path", "group_key")
 
 
 def base_name(column: Column) -> Column:
@@ -54,8 +55,9 @@ def group_summary(reports: DataFrame, groups: DataFrame) -> DataFrame:
     Members are counted, not collected: a group may hold a large part of all reports.  The
     long form is ``group_members``.  ``class_names`` is bounded by the class catalogue.
     """
-    joined = reports.join(groups, "report_path")
-    members = group_members(reports, groups)
+    columns = ("scene", "split", "capture_session_id", "source_video_id", "class_names", "accepted")
+    joined = cut(reports.select("report_path", *columns).join(groups, "report_path").drop("report_path"))  # read three times
+    members = _members(joined)
     counted = members.groupBy("group_key").agg(
         *[F.count_if(F.col("kind") == k).alias(f"{k}s") for k in ("scene", "session", "video")]
     )
@@ -78,12 +80,16 @@ def group_summary(reports: DataFrame, groups: DataFrame) -> DataFrame:
 
 def group_members(reports: DataFrame, groups: DataFrame) -> DataFrame:
     """Distinct ``group_key, kind, value`` rows (scene, session, video)."""
+    return _members(reports.join(groups, "report_path"))
+
+
+def _members(joined: DataFrame) -> DataFrame:
     values = F.array(
         F.struct(F.lit("scene").alias("kind"), base_name(F.col("scene")).alias("value")),
         F.struct(F.lit("session").alias("kind"), blank_to_null(F.col("capture_session_id")).alias("value")),
         F.struct(F.lit("video").alias("kind"), blank_to_null(F.col("source_video_id")).alias("value")),
     )
-    rows = reports.join(groups, "report_path").select("group_key", F.inline(values))
+    rows = joined.select("group_key", F.inline(values))
     return rows.where(F.col("value").isNotNull()).distinct()
 
 
