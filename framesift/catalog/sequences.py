@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import detections, metrics, segments as seg
 from ..plans.blocks import index_block
+from ..session import stored
 from . import views as v
 
 MAX_FRAMES = 10
@@ -110,7 +111,7 @@ SELECT ev.scene_id, frame_id, 'g' || max(p) AS segment_id FROM ev JOIN ls ON ls.
 
 def usable_segments(spark, sf_dir) -> DataFrame:
     """Listed segments of a scene: swapped ends, unknown ends, scenes without any."""
-    e = v.events(spark, sf_dir)
+    e = stored(v.events(spark, sf_dir))
     odd = F.col("event_id") % 2 == 1
     other = F.lpad((F.col("idx") + 5).cast("string"), 6, "0")
     listed = e.where("event_type <> 'view' and value > 20").select(

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.blocks import index_block
 from ..plans.ordered import scan
 from ..plans.quantiles import exact_quantiles
+from ..session import cut
 from .review import interval_join
 
 SCENE = ("scene_id",)
+JOIN_ROWS = 250_000  # frames in one part of a join by frame id, so parts grow in number and not in size
 
 
 def scene_cuts(vectors: DataFrame, threshold: float, order: str = "frame_id", block: Column | None = None) -> DataFrame:
@@ -130,10 +132,12 @@ def usable_segments(table: DataFrame, frames: DataFrame) -> DataFrame:
 
     table  ``scene_id, segment_id, list_pos, start_id, end_id``; frames ``scene_id, frame_id``
     """
-    placed = scan(frames.select("scene_id", "frame_id"), list(SCENE), ["frame_id"], index="position")
+    placed = cut(scan(frames.select("scene_id", "frame_id"), list(SCENE), ["frame_id"], index="position"))
+    parts = max(1, -(-placed.count() // JOIN_ROWS))
     first = placed.select("scene_id", F.col("frame_id").alias("start_id"), F.col("position").alias("_a"))
     last = placed.select("scene_id", F.col("frame_id").alias("end_id"), F.col("position").alias("_b"))
-    known = table.join(first, ["scene_id", "start_id"]).join(last, ["scene_id", "end_id"])
+    known = table.repartition(parts, "scene_id", "start_id").join(first.repartition(parts, "scene_id", "start_id"), ["scene_id", "start_id"])
+    known = known.repartition(parts, "scene_id", "end_id").join(last.repartition(parts, "scene_id", "end_id"), ["scene_id", "end_id"])
     swapped = F.col("_b") < F.col("_a")
     good = known.select(
         "scene_id",
