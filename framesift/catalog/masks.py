@@ -9,7 +9,7 @@ from ..operators import annotate, depth, masks
 from ..operators.quality import resolve_thresholds
 from ..plans.ordered import scan
 from ..plans.quantiles import exact_quantiles
-from ..session import stored
+from ..session import cut, stored
 from . import views as v
 
 M = ("scene_id", "frame_id", "instance_id")
@@ -239,7 +239,7 @@ DEPTH_QUANTILES = """SELECT l_returnflag, count(l_extendedprice) AS readings, ro
 def _annotation(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Frames, instances, mask files and runs of the drawn masks."""
     runs = v.mask_runs(spark, sf_dir)
-    files = runs.select(*M).distinct()
+    files = cut(runs.select(*M).distinct())
     frames = scan(files.select("scene_id", "frame_id").distinct(), ["scene_id"], ["frame_id"], index="frame_index")
     frames = frames.withColumns({"width": F.lit(v.MASK_WIDTH), "height": F.lit(v.MASK_HEIGHT)})
     names = F.array(*[F.struct(F.lit(f"m{i}").alias("instance_id"), F.lit(i).alias("ord"), F.lit(i).alias("class_id"), F.lit(0).alias("start"), F.lit(0).alias("max_frames")) for i in range(3)])
@@ -249,8 +249,9 @@ def _annotation(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFra
 
 def _scored(spark, sf_dir):
     frames, instances, files, runs = _annotation(spark, sf_dir)
+    tiles = cut(masks.tiles(runs))  # for scores, areas and overlaps
     limits = resolve_thresholds(F.lit(None).cast("map<string,double>"), defaults={**MASK_SEQUENCE_THRESHOLDS, "max_area_fraction": 0.95, "min_dominant_component_ratio": 0.3})
-    return frames, instances, runs, annotate.score_masks(frames, instances, files, runs, v.depth_rows(spark, sf_dir), limits)
+    return frames, instances, tiles, annotate.score_masks(frames, instances, files, tiles, v.depth_rows(spark, sf_dir), limits)
 
 
 def mask_scores(spark, sf_dir) -> DataFrame:
@@ -261,8 +262,8 @@ def mask_scores(spark, sf_dir) -> DataFrame:
 
 def mask_verdicts(spark, sf_dir) -> DataFrame:
     """Runs and scan lines to frame verdicts with labels."""
-    frames, instances, runs, records = _scored(spark, sf_dir)
-    found = annotate.aggregate_frames(frames, instances, records, runs, max_overlap=0.9, include_review=True)
+    frames, instances, tiles, records = _scored(spark, sf_dir)
+    found = annotate.aggregate_frames(frames, instances, records, tiles, max_overlap=0.9, include_review=True)
     return found.select("output_id", "status", v.joined("reasons"), "label_text")
 
 

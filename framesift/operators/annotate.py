@@ -12,9 +12,9 @@ from .quality import grade_sequence, resolve_thresholds
 
 
 def measure_masks(runs: DataFrame, depth_rows: DataFrame) -> DataFrame:
-    """Area, box, fragments and depth coverage of every non-empty mask."""
+    """Area, box, fragments and depth coverage of every non-empty mask, from its runs or tiles."""
     tiles = stored(masks.tiles(runs))
-    areas = masks.area_and_box(runs)
+    areas = masks.area_and_box(tiles)
     parts = masks.fragments(tiles)
     seen = depth.coverage(tiles, depth_rows)
     keys = list(masks.MASK)
@@ -34,6 +34,7 @@ def score_masks(
     frames      ``scene_id, frame_id, frame_index, width, height``
     instances   ``scene_id, instance_id, ord, class_id`` and what ``thresholds`` refers to
     mask_files  ``scene_id, frame_id, instance_id`` of masks that exist (possibly empty ones)
+    runs        runs, or tiles that were made of them (``masks.tiles``)
     The label line is the box of the mask and needs the minimum area.
     """
     limits = resolve_thresholds() if thresholds is None else thresholds

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geometry import back_project
+from ..session import stored
 from .masks import MASK, TILE, erode, tiles
 
 
@@ -24,25 +25,25 @@ def under_mask(mask_tiles: DataFrame, depth_rows: DataFrame, keys: Sequence[str]
     )
 
 
+def _bits(values: Column, test) -> Column:
+    """The readings of a tile that pass ``test`` as bits, the first reading lowest; null for null."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    return F.aggregate(F.reverse(values), none, lambda done, d: F.shiftleft(done, 1).bitwiseOR(F.when(test(d), one).otherwise(none)))
+
+
 def coverage(mask_tiles: DataFrame, depth_rows: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:
     """Valid depth pixels of each mask and their share, without exploding pixels."""
+    # valid pixels of a line as bits per tile, once for all masks of the frame
+    starts = F.sequence(F.lit(0), F.floor((F.size("depth_mm") - 1) / TILE).cast("int"))
+    word = lambda t: _bits(F.slice("depth_mm", t * TILE + 1, TILE), lambda d: d > 0)
     lines = depth_rows.select("scene_id", "frame_id", "y", "depth_mm")
-    valid = F.size(
-        F.filter(
-            F.transform(
-                F.slice("depth_mm", F.col("tile") * TILE + 1, TILE),
-                lambda d, i: (d > 0) & (F.call_function("getbit", F.col("bits"), i) == 1),
-            ),
-            lambda ok: ok,
-        )
-    )
+    words = F.when(F.size("depth_mm") > 0, F.transform(starts, word)).when(F.col("depth_mm").isNotNull(), F.array().cast("array<bigint>"))
+    lines = lines.select("scene_id", "frame_id", "y", words.alias("valid"))
     joined = mask_tiles.join(lines, ["scene_id", "frame_id", "y"], "left")
+    seen = F.bit_count(F.col("bits").bitwiseAND(F.coalesce(F.get("valid", F.col("tile").cast("int")), F.lit(0).cast("long"))))
     return joined.groupBy(*keys).agg(
-        F.sum(F.when(F.col("depth_mm").isNotNull(), valid).otherwise(0)).cast("long").alias("depth_valid_pixels"),
-        (
-            F.sum(F.when(F.col("depth_mm").isNotNull(), valid).otherwise(0))
-            / F.greatest(F.sum(F.bit_count("bits")), F.lit(1))
-        ).alias("depth_coverage"),
+        F.sum(seen).cast("long").alias("depth_valid_pixels"),
+        (F.sum(seen) / F.greatest(F.sum(F.bit_count("bits")), F.lit(1))).alias("depth_coverage"),
     )
 
 
@@ -95,32 +96,37 @@ def measure_instances(
     decided on bit counts per tile; only the pixels that count are unfolded.
     """
     keys = list(keys)
-    merged = tiles(runs, keys)
+    merged = stored(tiles(runs, keys))
     inner = erode(merged, width, height, keys).withColumnRenamed("bits", "inner")
     lines = depth_rows.select("scene_id", "frame_id", "y", "depth_mm")
     rows = merged.join(inner, [*keys, "y", "tile"], "left").join(lines, ["scene_id", "frame_id", "y"], "left")
     rows = rows.withColumn("d", F.slice("depth_mm", F.col("tile").cast("int") * TILE + 1, TILE)).drop("depth_mm")
     zero = F.lit(0).cast("long")
-    flags = F.transform("d", lambda d, i: F.when(d.between(min_mm, max_mm), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(zero))
-    valid = F.coalesce(F.aggregate(flags, zero, lambda acc, bit: acc.bitwiseOR(bit)), zero)
+    valid = F.coalesce(_bits(F.col("d"), lambda d: d.between(min_mm, max_mm)), zero)
     rows = rows.withColumn("_all", F.col("bits").bitwiseAND(valid)).withColumn("_in", F.coalesce("inner", zero).bitwiseAND(F.col("_all")))
     mask = Window.partitionBy(*keys)  # tiles of one mask: bounded by its image
     rows = rows.withColumns({"_n_all": F.sum(F.bit_count("_all")).over(mask), "_n_in": F.sum(F.bit_count("_in")).over(mask)})
     enough = F.col("_n_in") >= min_pixels
     rows = rows.withColumns({"used": F.when(enough, F.col("_n_in")).otherwise(F.col("_n_all")), "pick": F.when(enough, F.col("_in")).otherwise(F.col("_all"))})
-    pairs = F.filter(
-        F.transform("d", lambda d, i: F.struct((F.col("tile") * TILE + i).alias("x"), d.alias("d"), i.alias("i"))),
-        lambda p: F.call_function("getbit", F.col("pick"), p["i"]) == 1,
-    )
-    unfolded = rows.select(*keys, "used", "y", F.explode_outer(F.when(F.col("used") >= min_pixels, pairs)).alias("p"))
-    z = F.col("p.d").cast("double") * F.lit(0.001)
     fx, fy, cx, cy = (F.lit(float(intrinsics[k])) for k in ("fx", "fy", "cx", "cy"))
-    return unfolded.groupBy(*keys).agg(
-        F.max("used").alias("valid_pixels"),
-        F.percentile(back_project(F.col("p.x"), cx, z, fx), 0.5).alias("x_m"),
-        F.percentile(back_project(F.when(F.col("p").isNotNull(), F.col("y")), cy, z, fy), 0.5).alias("y_m"),
-        F.percentile(z, 0.5).alias("depth_m"),
-    )
+
+    def point(place):
+        z = F.get("d", place).cast("double") * F.lit(0.001)
+        x = F.col("tile") * TILE + place
+        return F.struct(back_project(x, cx, z, fx).alias("x"), back_project(F.col("y"), cy, z, fy).alias("y"), z.alias("z"))
+
+    places = F.filter(F.sequence(F.lit(0), F.lit(TILE - 1)), lambda i: F.call_function("getbit", F.col("pick"), i) == 1)
+    points = rows.select(*keys, "used", F.when(F.col("used") >= min_pixels, F.transform(places, point)).alias("p"))
+    # the pixels of a mask travel as lists: its image bounds them
+    gathered = points.groupBy(*keys).agg(F.max("used").alias("valid_pixels"), F.flatten(F.collect_list("p")).alias("p"))
+    return gathered.select(*keys, "valid_pixels", *[_median(F.col("p")[part]).alias(name) for part, name in (("x", "x_m"), ("y", "y_m"), ("z", "depth_m"))])
+
+
+def _median(values: Column) -> Column:
+    """Interpolated median of a list of numbers; null for an empty one."""
+    half = lambda s, extra: F.get(s, F.floor((F.size(s) - 1 + extra) / 2).cast("int"))
+    # the list is sorted once, however often it is named
+    return F.get(F.transform(F.array(F.sort_array(values)), lambda s: half(s, 0) * 0.5 + half(s, 1) * 0.5), 0)
 
 
 def flow_in_seed(flow: DataFrame, seed: DataFrame, width: int, height: int, limit: float = 0.35) -> DataFrame:

@@ -28,7 +28,9 @@ def _ones(count: Column) -> Column:
 
 
 def tiles(runs: DataFrame, keys: Sequence[str] = MASK) -> DataFrame:
-    """``keys, y, tile, bits`` with one row per non-empty tile."""
+    """``keys, y, tile, bits`` with one row per non-empty tile; tiles stay as they are."""
+    if "bits" in runs.columns:
+        return runs
     first, last = F.floor(F.col("x_start") / TILE), F.floor((F.col("x_end") - 1) / TILE)
     spread = runs.where(F.col("x_end") > F.col("x_start")).select(
         *keys, "y", "x_start", "x_end", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("tile")
