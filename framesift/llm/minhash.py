@@ -10,7 +10,7 @@ that of distinct shingles, so pairs are told likely or not by the first signatur
 
 Texts that agree as word sequences are one class from the start.  Classes that agree in a band are
 compared with the band's smallest member; wherever a band still holds several components, its
-remaining cross pairs are compared by signature in bounded tiles, and likely ones are verified.
+remaining cross pairs are compared by signature in bounded tiles, which hold the words as well and count likely ones.
 Links are pairs whose distinct shingles have a Jaccard similarity of at least the threshold, counted
 exactly.  Texts shorter than five words are one shingle; texts without words are duplicates of nothing.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
-from .common import spare
+from .common import perhaps_in, spare
 from .graph import components
 
 SHINGLE = 5
@@ -35,7 +35,8 @@ REGISTERS, BANDS = 120, 24
 ROWS = REGISTERS // BANDS
 THRESHOLD = 0.8
 LIKELY = 0.58  # signature agreement below which a pair of 0.8 is out of the question: a chance under 1 in 10 million
-TILE = 512
+TILE = 512  # members of a band in a stretch, and
+TILE_WORDS = 1_000_000  # their words
 SLICE = 400_000  # shingles handled at once
 
 
@@ -138,21 +139,33 @@ def _bands(signature: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(signature, b * width + 1, F.lit(width))))
 
 
-def _tiles(key: str):
-    """Likely pairs between a stretch of a band's members and the whole stretch of another."""
+def _tiles(threshold: float):
+    """Links between a stretch of a band's members and the whole stretch of another; pairs of one component are left out.
+
+    Pairs that are likely by signature are counted here, where the words of both are at hand, so only links leave a tile.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
         component = table.column("component").to_numpy()
         marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, REGISTERS)
+        value, owner, _ = distinct_shingles(*_flat(table.column("words")))
+        sizes = np.bincount(owner, minlength=len(ids))
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        names, value = np.unique(value, return_inverse=True)
+        held = np.zeros(len(names), bool)
         left, right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)
         a, b = [], []
         for i in left.tolist():
-            others = right[component[right] != component[i]]
-            if len(others):
-                near = others[(marks[others] == marks[i]).mean(axis=1) >= LIKELY]
-                a += [int(ids[i])] * len(near)
-                b += ids[near].tolist()
+            others = right[(component[right] != component[i]) & ((right > i) | (side[i] == 0))]
+            near = others[(marks[others] == marks[i]).mean(axis=1) >= LIKELY] if len(others) else others
+            if len(near):
+                held[value[first[i] : first[i + 1]]] = True
+                both = np.array([np.count_nonzero(held[value[first[j] : first[j + 1]]]) for j in near.tolist()])
+                held[value[first[i] : first[i + 1]]] = False
+                found = near[both >= threshold * (sizes[i] + sizes[near] - both) - 1e-9]
+                a += [int(ids[i])] * len(found)
+                b += ids[found].tolist()
         low, high = np.minimum(a, b) if a else np.zeros(0, np.int64), np.maximum(a, b) if a else np.zeros(0, np.int64)
         return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
 
@@ -205,21 +218,24 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     links = cut(verified(first, one, threshold))
     found = cut(components(members.select("id").distinct(), links))
     # bands that still hold several components
-    named = members.select("band", "id").join(found, "id")
-    mixed = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    inside = named.join(mixed.select("band", "n"), "band").join(sketched.drop("weighted"), "id")
-    parts = F.ceil(F.col("n") / TILE).cast("int")
-    tile = F.pmod(F.xxhash64("id", F.lit(5)), parts).cast("int")
-    spread = inside.withColumns({"parts": parts, "tile": tile})
+    named = members.select("band", "id").join(found.join(one.select("id", F.size("words").alias("size")), "id"), "id")
+    several = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum("size").alias("words"))
+    parts = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("words") / TILE_WORDS)).cast("int")
+    mixed = several.where("lo < hi").select("band", parts.alias("parts"))
+    named = cut(named.drop("size").join(mixed, "band"))
+    wanted = cut(named.select("id").distinct())
+    number = wanted.count()
+    marks, texts = (perhaps_in(x, wanted, number) for x in (sketched.drop("weighted"), one))  # other texts need not move
+    spread = named.join(marks.join(texts, "id"), "id")
+    spread = spread.withColumn("tile", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     spread = spread.select(
-        "band", "id", "component", "signature",
+        "band", "id", "component", "signature", "words",
         F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"),
         F.when(F.col("tile") == F.col("other"), 1).when(F.col("tile") < F.col("other"), 0).otherwise(2).alias("side"),
     )
-    likely = spread.groupBy("band", "t1", "t2").applyInArrow(_tiles("band"), "a long, b long").distinct()
-    tried = first.select("a", "b")
-    more = cut(verified(cut(likely.join(tried, ["a", "b"], "left_anti")), one, threshold))
+    # pairs with the smallest member were counted before and link no two components
+    more = cut(spread.groupBy("band", "t1", "t2").applyInArrow(_tiles(threshold), "a long, b long").distinct())
     every = links.unionByName(more)
     if not more.isEmpty():
         found = cut(components(members.select("id").distinct(), every))
