@@ -9,7 +9,8 @@ The lexicon is a greedy cover: the feature with the largest number of still unex
 (copies with the same words in the same order count once) among those that hardly occur in clean ones, again and again.  It is fitted on
 all labelled rows: documents, words and letters are counted by Spark, and the driver sees features that at least one toxic document
 in 400 holds (their number does not grow with the table) and counts of three letters.  A round of the cover is one count over the documents still
-unexplained.
+unexplained.  Texts without a label stay where they are: a bitmap of the labelled ids keeps most of them out of the join, whose plan is the
+same at every size, and a document travels as one line of its distinct words.
 
 Defined results: null or empty text has no evidence and gets the base score; several labels of a document
 count as toxic if any is; without labels every score is 0; repeated rows score alike; extra columns pass.
@@ -28,12 +29,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
 from .bpe import _Sent
+from .common import perhaps_in
 
 FLUSH = 300_000  # counts that a task holds before it sends them
 ROWS = 512  # documents whose words are listed at once
 PREFIXES = (4, 5, 6, 7, 8)
 PURITY = 0.9
-KEPT_SIGNS = 4_000_000  # of the tokens whose scores a worker keeps
+KEPT_SIGNS = 1_000_000  # of the tokens whose scores a worker keeps, in each of two generations
 
 #: Signs and the letters they may stand for; fixed values.
 LEET = {
@@ -205,8 +207,8 @@ def _listed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for value in part.column("text"):
                 spelt = [w for token in (value.as_py() or "").lower().split() for w in _WORDS.findall(token)]
                 prints.append(print_of(spelt))
-                words.append(sorted(set(spelt)))
-            yield pa.record_batch([pa.array(prints, pa.int64()), part.column("toxic").cast(pa.int32()), pa.array(words, pa.list_(pa.string()))], ["print", "toxic", "words"])
+                words.append(" ".join(sorted(set(spelt))))
+            yield pa.record_batch([pa.array(prints, pa.int64()), part.column("toxic").cast(pa.int32()), pa.array(words, pa.string())], ["print", "toxic", "words"])
 
 
 def _sent_counts(found: Counter, name: str) -> pa.RecordBatch:
@@ -220,7 +222,7 @@ def _counted(docs: DataFrame, name: str, items) -> DataFrame:
         found: Counter = Counter()
         for batch in batches:
             for words in batch.column("words"):
-                found.update(items(words.as_py()))
+                found.update(items(words.as_py().split()))
                 if len(found) >= FLUSH:
                     yield _sent_counts(found, name)
                     found = Counter()
@@ -265,13 +267,15 @@ def cover(held: DataFrame, holders: dict[str, int], least: int) -> tuple[list[st
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc: str = "doc_id", text: str = "text", label: str = "toxic") -> Lexicon:
     spark = docs.sparkSession
-    known = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc).alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic")).where(learn)
+    known = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc).alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
+    known = cut(known.where(learn))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     bad, good = counts.get(1, 0), counts.get(0, 0)
     if not bad:
         return Lexicon(Characters({}), {}, 0.0)
-    rows = docs.select(F.col(doc).alias("id"), F.col(text).alias("text")).join(known, "id").select("text", "toxic")
-    words = rows.mapInArrow(_listed_words, "print long, toxic int, words array<string>")
+    rows = perhaps_in(docs.select(F.col(doc).alias("id"), F.col(text).alias("text")), known, sum(counts.values()))
+    rows = rows.join(known.hint("merge"), "id").select("text", "toxic")
+    words = rows.mapInArrow(_listed_words, "print long, toxic int, words string")
     # copies count once, in each class they have labels of
     flags = [F.bool_or(F.col("toxic") == k).alias(name) for k, name in ((1, "bad"), (0, "good"))]
     once = cut(words.groupBy("print").agg(F.first("words").alias("words"), *flags))
@@ -287,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc: str = "doc_id",
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [sorted(_features(words.as_py()) & pure.value) for words in batch.column("words")]
+            lists = [sorted(_features(words.as_py().split()) & pure.value) for words in batch.column("words")]
             yield pa.record_batch([pa.array(lists, pa.list_(pa.string()))], ["features"])
 
     chosen, explained = cover(toxic.select("words").mapInArrow(held, "features array<string>").where("size(features) > 0"), holders, least)
@@ -305,10 +309,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, doc: str = "doc_id",
 
 
 class _Kept:
-    """Scores of the tokens a worker has met, for one lexicon."""
+    """Scores of the tokens a worker has met lately, for one lexicon; what was not used for a whole generation is dropped."""
 
     def __init__(self, number: int) -> None:
-        self.number, self.signs, self.scores = number, 0, {}
+        self.number, self.signs, self.scores, self.before = number, 0, {}, {}
 
 
 _kept = _Kept(-1)
@@ -320,18 +324,20 @@ def _scores(sent: _Sent, texts: pa.Array) -> pa.Array:
     if _kept.number != sent.id:
         _kept = _Kept(sent.id)
     lex, kept, out = sent.value, _kept, []
-    model, values = lex.model, kept.scores
+    model = lex.model
     for value in texts:
         low = (value.as_py() or "").lower()
         clean = 1.0 - lex.base
         for token in set(low.split()):
-            found = values.get(token)
+            found = kept.scores.get(token)
             if found is None:
                 if kept.signs > KEPT_SIGNS:
-                    values.clear()
-                    kept.signs = 0
+                    kept.scores, kept.before, kept.signs = {}, kept.scores, 0
                 kept.signs += len(token)
-                found = values[token] = max((lex.share(w) for w in readings(token, model)), default=0.0)
+                found = kept.before.get(token)
+                if found is None:
+                    found = max((lex.share(w) for w in readings(token, model)), default=0.0)
+                kept.scores[token] = found
             if found:
                 clean *= 1.0 - found
         for word in spaced_words(low, model):

@@ -7,11 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from framesift.llm import ann, bpe, language, minhash, mixing, pitman, pq, quality, toxicity, urlfilter
+from framesift.llm import ann, bpe, common, language, minhash, mixing, pitman, pq, quality, toxicity, urlfilter
 
 DOCS = "doc_id long, text string, source string, lang string, score double, ids string, N_TOKENS int"
 
@@ -338,3 +339,56 @@ def test_signatures_follow_distinct_shingles(spark):
     n = minhash.REGISTERS
     lost = sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(n + 1) if k / n < minhash.LIKELY)
     assert lost < 1e-7
+
+
+def test_tiles_send_links_only(spark):
+    """Members of a band that are likely by signature but no links stay in their tile."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(60):  # pairs of these have about seven tenths of their shingles in common
+        words = list(base)
+        for at in rng.sample(range(400), 7):
+            words[at] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    texts += [texts[0] + " more", texts[7] + " words", texts[7] + " words here"]
+    docs = _docs(spark, texts)
+    rows = docs.select(F.col("doc_id").alias("id"), minhash.words(F.col("text")).alias("words")).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([*b.columns, *next(minhash.sketch(iter([b]))).columns[1:2]], ["id", "words", "signature"]) for b in batches),
+        "id long, words array<long>, signature binary",
+    )
+    links = {(i, j) for j in range(len(texts)) for i in range(j) if _jaccard(texts[i], texts[j]) >= 0.8}
+    likely = 0
+    marks = {r["id"]: np.frombuffer(r["signature"], np.uint32) for r in rows.collect()}
+    for i in marks:
+        likely += sum((marks[i] == marks[j]).mean() >= minhash.LIKELY for j in range(i))
+    one_tile = rows.withColumns({"component": F.col("id"), "side": F.lit(1)})
+    found = minhash._tiles(0.8)(one_tile.toArrow())
+    assert set(zip(*(found.column(k).to_pylist() for k in "ab"), strict=True)) == links and likely > 10 * len(links) > 0
+    members, _ = minhash.near_duplicates(docs)
+    assert {r["id"]: r["component"] for r in members.collect()} == {**{i: i for i in range(60)}, 60: 0, 61: 7, 62: 7}
+
+
+def test_toxicity_leaves_unlabelled_texts_in_place(spark):
+    """The bitmap loses no labelled row and keeps most others out of the join, at any number of labels."""
+    for n in (0, 1, 5, 9000):
+        rows = spark.range(20_000).unionByName(spark.createDataFrame([(None,), (-3,), (-3,)], "id long"))
+        known = spark.range(n).union(spark.createDataFrame([(-3,)], "id long"))
+        left = [r["id"] for r in common.perhaps_in(rows, known, n + 1).collect()]
+        assert left.count(-3) == 2 and set(range(n)) <= set(left)
+        assert len(left) < n + 0.2 * 20_000 + 3
+
+
+def test_toxicity_keeps_few_tokens(monkeypatch):
+    """What a worker keeps is bounded, recent tokens stay, and scores do not depend on it."""
+
+    class Sent:
+        id, value = -7, toxicity.Lexicon(toxicity.Characters({}), {"=idiot": 0.9}, 0.1)
+
+    texts = pa.array([f"idiot w{'abcdefghij'[i % 10]}{'x' * (i // 10)}" for i in range(300)])
+    whole = toxicity._scores(Sent, texts)
+    monkeypatch.setattr(toxicity, "KEPT_SIGNS", 400)
+    monkeypatch.setattr(toxicity, "_kept", toxicity._Kept(-1))
+    assert toxicity._scores(Sent, texts).equals(whole)
+    assert "idiot" in {**toxicity._kept.scores, **toxicity._kept.before}
+    assert sum(map(len, [*toxicity._kept.scores, *toxicity._kept.before])) < 1_000
