@@ -53,7 +53,14 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Rows that travel to a Python worker at once.  Workers serve one stage after the other and keep the room of their largest batch.
+BATCH = 2_000
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH:  # the last stage runs later, so the setting stays
+        spark.conf.set(rows, str(BATCH))
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir))

@@ -59,3 +59,16 @@ def test_stages_decide_and_digests_hold(spark, tmp_path):
 
 def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [], [])).count() == 0
+
+
+def test_batches_are_small(spark, tmp_path):
+    """A smaller setting of the session holds; a larger one, or none, is brought down."""
+    rows, folder = "spark.sql.execution.arrow.maxRecordsPerBatch", _folder(spark, tmp_path, [], [])
+    before = spark.conf.get(rows)
+    try:
+        for given, wanted in (("10000", corpus_pipeline.BATCH), ("0", corpus_pipeline.BATCH), ("500", 500)):
+            spark.conf.set(rows, given)
+            corpus_pipeline.run(spark, folder)
+            assert int(spark.conf.get(rows)) == wanted
+    finally:
+        spark.conf.set(rows, before)
