@@ -25,6 +25,7 @@ from . import ivf
 
 COLUMNS = 16  # per block
 EPSILON = 2.1  # of the test: larger values drop fewer candidates
+SPARSE = 0.02  # share of pairs left from which on they are followed one by one
 RECALL = 0.97  # share of sample neighbours that the probed lists must hold
 FOUND = "query_id long, vec_id long, score double"
 
@@ -77,21 +78,25 @@ def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.n
 def scan(queries: np.ndarray, threshold: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, row) that no test dropped; inputs are turned, thresholds are squared distances."""
     width = queries.shape[1]
-    q, r = np.arange(0), np.arange(0)
-    partial = np.zeros(0)
+    q = r = partial = None
     bound = threshold * (1 + 1e-9) + 1e-9
+    # products of whole blocks round more than differences do; pairs within that of a limit stay
+    slack = 1e-12 * ((queries**2).sum(1).max(initial=0.0) + (rows**2).sum(1).max(initial=0.0))
+    whole, open_ = np.zeros((len(queries), len(rows))), np.ones((len(queries), len(rows)), bool)
     for start in range(0, width, COLUMNS):
         stop = min(width, start + COLUMNS)
         a, b = queries[:, start:stop], rows[:, start:stop]
-        if start == 0:
-            block = (a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * a @ b.T
-            limit = bound * (stop / width) * (1 + EPSILON / np.sqrt(stop)) ** 2 if stop < width else bound
-            q, r = np.nonzero(block <= limit[:, None])
-            partial = block[q, r]
+        limit = bound * (stop / width) * (1 + EPSILON / np.sqrt(stop)) ** 2 if stop < width else bound
+        if q is None:  # while many pairs are left, a product for all is cheaper than one difference a pair
+            ones = np.ones((len(a), 1)), np.ones((len(b), 1))
+            whole += np.hstack([a, (a**2).sum(1)[:, None], ones[0]]) @ np.hstack([-2 * b, ones[1], (b**2).sum(1)[:, None]]).T
+            open_ &= whole <= (limit + slack)[:, None]
+            if stop == width or np.count_nonzero(open_) <= SPARSE * open_.size:
+                q, r = np.nonzero(open_)
+                partial = whole[q, r]
         else:
             partial = partial + ((a[q] - b[r]) ** 2).sum(1)
-            limit = bound * (stop / width) * (1 + EPSILON / np.sqrt(stop)) ** 2 if stop < width else bound
-            keep = partial <= limit[q]
+            keep = partial <= limit[q] + slack
             q, r, partial = q[keep], r[keep], partial[keep]
     return q, r
 
@@ -140,8 +145,11 @@ def search(vectors: DataFrame, is_query: Column, id_: str = "vec_id", embedding:
                 own, v = part.column("id").to_numpy(), ivf.matrix(part.column("v"), width)
                 score = v @ at.points.T
                 score[own[:, None] == at.ids[None, :]] = -np.inf
-                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                q, r = np.repeat(np.arange(len(own)), top.shape[1]), top.ravel()
+                known = min(k, score.shape[1])
+                last = -np.partition(-score, known - 1, axis=1)[:, known - 1]
+                q, r = np.nonzero(score >= last[:, None])
+                best = _best(q, at.ids[r], score[q, r], known)
+                q, r = q[best], r[best]
                 fine = own[q] != at.ids[r]
                 q, r = q[fine], r[fine]
                 yield pa.record_batch([pa.array(own[q]), pa.array(at.ids[r]), pa.array((v[q] * at.points[r]).sum(1))], ["query_id", "vec_id", "score"])
