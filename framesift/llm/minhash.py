@@ -208,14 +208,17 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     classes = cut(keyed.groupBy("print").agg(F.min("id").alias("text_class")))
     owners = keyed.join(classes, "print").select("id", "text_class").distinct()
     owners = cut(owners.unionByName(stored.where("words is null").select("id", F.col("id").alias("text_class"))).distinct())
-    one = stored.where("words is not null").join(classes.select(F.col("text_class").alias("id")).distinct(), "id", "left_semi")
-    sketched = cut(one.mapInArrow(sketch, "id long, signature binary, weighted binary"))
+    # signatures are short, so they are left out after the fact and no text moves; all ids below are those of classes
+    one = stored.where("words is not null")
+    lead = classes.select(F.col("text_class").alias("id")).distinct()
+    sketched = cut(one.mapInArrow(sketch, "id long, signature binary, weighted binary").join(lead, "id", "left_semi"))
     both = F.when(F.col("weighted").isNull(), _bands(F.col("signature"))).otherwise(F.array_union(_bands(F.col("signature")), _bands(F.col("weighted"))))
     bands = sketched.select("id", F.explode(both).alias("band"))
     leads = bands.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("band", "a")
     members = cut(bands.join(leads, "band").select("band", "id", "a"))  # bands with one member are gone
-    first = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    links = cut(verified(first, one, threshold))
+    first = cut(members.where("id <> a").select("a", F.col("id").alias("b")).distinct())
+    ends = cut(first.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    links = cut(verified(first, perhaps_in(one, ends, ends.count()), threshold))
     found = cut(components(members.select("id").distinct(), links))
     # bands that still hold several components
     named = members.select("band", "id").join(found.join(one.select("id", F.size("words").alias("size")), "id"), "id")

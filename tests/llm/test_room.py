@@ -1,10 +1,10 @@
-"""What operators move and keep."""
+"""What operators move and keep: texts that no pair needs stay in place, and workers keep things of one operator."""
 
 import tracemalloc
 
 import numpy as np
 
-from framesift.llm import ann
+from framesift.llm import ann, minhash
 
 
 def test_scan_follows_pairs_only_when_few_are_left():
@@ -21,3 +21,16 @@ def test_scan_follows_pairs_only_when_few_are_left():
     tracemalloc.stop()
     assert len(set(zip(q.tolist(), r.tolist(), strict=True))) == 400_000
     assert peak < 40_000_000  # a difference of every pair would take 51 MB a block, and as much again for its squares
+
+
+def test_only_texts_of_pairs_are_joined(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 5000, 60)) for _ in range(400)]
+    texts += [texts[0] + " more", texts[1] + " more", texts[1], None, ""]
+    sent, check = [], minhash.verified
+    monkeypatch.setattr(minhash, "verified", lambda pairs, words, limit: (sent.append(words.count()), check(pairs, words, limit))[1])
+    docs = spark.createDataFrame([*enumerate(texts), (7, "an id that occurs twice")], "doc_id long, text string")
+    members, links = minhash.near_duplicates(docs)
+    assert {(r.a, r.b) for r in links.collect()} == {(0, 400), (1, 401)}
+    assert {r.id: r.component for r in members.collect() if r.id != r.component} == {400: 0, 401: 1, 402: 1}
+    assert sent[0] < 150  # four texts, and some by chance; all 404 before
