@@ -25,20 +25,28 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .common import make_room
+
 VOCABULARY_LIMIT = 64_000_000  # bytes of a rank file that may be sent to every task
-KEPT_STRETCHES = 180_000  # encodings a worker keeps in each of two generations
-KEPT_PAIRS = 1_000_000
+KEPT_STRETCHES = 120_000  # encodings a worker keeps in each of two generations
+KEPT_PAIRS = 400_000
 _WIDE_GAP = regex.compile(r"[\s\x1c-\x1f] ")
 
 
+def tokens_of(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of every rank; ranks that are not used have none."""
+    token = [b""] * (max(ranks.values()) + 1)
+    for raw, rank in ranks.items():
+        token[rank] = raw
+    return token
+
+
 class Codec:
     """Exact encoder and decoder of one rank table."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.pattern = regex.compile(pattern)
-        self.token = [b""] * (max(ranks.values()) + 1)
-        for raw, rank in ranks.items():
-            self.token[rank] = raw
+        self.token = tokens_of(ranks)
         self.rank = {raw.decode("latin-1"): rank for raw, rank in ranks.items()}
         self.length = {rank: len(raw) for raw, rank in ranks.items()}
         if any(bytes([b]) not in ranks for b in range(256)):
@@ -62,8 +70,7 @@ class Codec:
                 if len(parts) == 2:
                     self.halves[rank] = (parts[0], parts[1])
                     self.joined[parts[0], parts[1]] = rank
-        self.words_of_ids = pa.array(self.token, pa.large_binary())
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}
         self.kept: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
@@ -87,7 +94,7 @@ class Codec:
         The later formed token is opened first; a merge over the border that would have come
         before that moment is a contradiction.
         """
-        key = (left, right)
+        key = left << 32 | right  # one number takes a third of the room of a pair
         known = self.beside.get(key)
         if known is not None:
             return known
@@ -126,7 +133,7 @@ class Codec:
         while at < size:
             end = at + length[token]
             if end not in dead:
-                fits = last < 0 or beside.get((last, token))
+                fits = last < 0 or beside.get(last << 32 | token)
                 if fits is None:
                     fits = self.compatible(last, token)
                 if fits:
@@ -192,16 +199,32 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 _codecs: dict[int, Codec] = {}
+_tables: dict[int, pa.Array] = {}
+
+
+def _drop() -> None:
+    _codecs.clear()
+    _tables.clear()
 
 
 def _codec(sent) -> Codec:
     """One codec per worker and broadcast."""
     if sent.id not in _codecs:
+        make_room(_drop)
         _codecs.clear()
         _codecs[sent.id] = Codec(*sent.value)
     return _codecs[sent.id]
 
 
+def _table(sent) -> pa.Array:
+    """The bytes of all tokens, which is all that decoding needs of a codec."""
+    if sent.id not in _tables:
+        make_room(_drop)
+        _tables.clear()
+        _tables[sent.id] = pa.array(tokens_of(sent.value[0]), pa.large_binary())
+    return _tables[sent.id]
+
+
 _AT_ONCE = 1_000_000  # ids whose bytes are put together at a time
 
 
@@ -250,7 +273,7 @@ class Tokenizer:
         sent = self._sent
 
         def run(lists: pa.Array) -> pa.Array:
-            return pa.array([bytes(row) for row in _joined(_codec(sent).words_of_ids, lists)], pa.binary())
+            return pa.array([bytes(row) for row in _joined(_table(sent), lists)], pa.binary())
 
         return F.arrow_udf(run, "binary")(ids)
 

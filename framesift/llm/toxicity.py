@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
 from .bpe import _Sent
-from .common import perhaps_in
+from .common import make_room, perhaps_in
 
 FLUSH = 300_000  # counts that a task holds before it sends them
 ROWS = 512  # documents whose words are listed at once
@@ -318,10 +318,16 @@ class _Kept:
 _kept = _Kept(-1)
 
 
+def _drop() -> None:
+    global _kept
+    _kept = _Kept(-1)
+
+
 def _scores(sent: _Sent, texts: pa.Array) -> pa.Array:
     """A function of the module, so that all tasks of a worker share what is kept."""
     global _kept
     if _kept.number != sent.id:
+        make_room(_drop)
         _kept = _Kept(sent.id)
     lex, kept, out = sent.value, _kept, []
     model = lex.model

@@ -1,10 +1,13 @@
 """What operators move and keep: texts that no pair needs stay in place, and workers keep things of one operator."""
 
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 
-from framesift.llm import ann, minhash
+from framesift.llm import ann, bpe, minhash, toxicity
 
 
 def test_scan_follows_pairs_only_when_few_are_left():
@@ -34,3 +37,17 @@ def test_only_texts_of_pairs_are_joined(spark, monkeypatch):
     assert {(r.a, r.b) for r in links.collect()} == {(0, 400), (1, 401)}
     assert {r.id: r.component for r in members.collect() if r.id != r.component} == {400: 0, 401: 1, 402: 1}
     assert sent[0] < 150  # four texts, and some by chance; all 404 before
+
+
+def test_workers_keep_one_operator():
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    sent = SimpleNamespace(id=-7, value=(ranks, public_tokenizers.PATTERN))
+    bpe._drop()
+    assert bpe._table(sent)[ranks[b"the"]].as_py() == b"the" and not bpe._codecs  # decoding builds no codec
+    assert bpe._codec(sent).decode(bpe._codec(sent).ids("the end")) == b"the end"
+    words = SimpleNamespace(id=-8, value=toxicity.Lexicon(toxicity.Characters({}), {"=bad": 0.9}, 0.1))
+    assert toxicity._scores(words, pa.array(["a bad one"]))[0].as_py() > 0.9
+    assert not bpe._codecs and not bpe._tables and toxicity._kept.number == -8
+    bpe._codec(sent)
+    assert toxicity._kept.number == -1
+    bpe._drop()
