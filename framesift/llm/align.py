@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut
 from .bpe import _Sent
-from .common import sum_by_row
+from .common import packed, sum_by_row, unpacked
 
 MODEL_LIMIT = 64_000_000  # bytes of a tokenizer file that may be sent to every task
 PART = 1 << 22  # signs of text after which a part ends; its last text is always whole
@@ -276,8 +276,7 @@ class _Part:
             "ids": pa.array([self.ids], pa.list_(pa.int64())),
             **{name: _one(value, pa.int64()) for name, value in sums.items()},
             "digests": pa.array([self.digest], pa.list_(pa.string())),
-            "word_n": _one(np.array(self.word_n, np.int32), pa.int32()), "words": _one(words, pa.int32()),
-            "pair_n": _one(np.diff(pair_at), pa.int32()), "pairs": _one(pair, pa.int32()), "times": _one(times, pa.int32()),
+            **{name: pa.array([packed(value)], pa.binary()) for name, value in zip(PACKED, (self.word_n, words, np.diff(pair_at), pair, times))},
             "a": _one(pairs >> 32, pa.int32()), "b": _one(pairs & 0xFFFFFFFF, pa.int32()), "docs": _one(docs, pa.int32()),
         }
         return pa.record_batch(list(columns.values()), list(columns))
@@ -288,9 +287,10 @@ def _one(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
+PACKED = ("word_n", "words", "pair_n", "pairs", "times")  # the long lists of a part, which only Python reads
 _PART_SCHEMA = (
     "part long, ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, digests array<string>, "
-    "word_n array<int>, words array<int>, pair_n array<int>, pairs array<int>, times array<int>, a array<int>, b array<int>, docs array<int>"
+    "word_n binary, words binary, pair_n binary, pairs binary, times binary, a array<int>, b array<int>, docs array<int>"
 )
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -325,8 +325,8 @@ def _per_document(part: pa.Table, totals: pa.Table) -> pa.Table:
     schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")], ("groups_sha256", pa.string())])
     if not part.num_rows:
         return schema.empty_table()
-    lists = {name: part.column(name).combine_chunks().flatten() for name in part.column_names if name != "part"}
-    number = {name: lists[name].to_numpy() for name in ("word_n", "words", "pair_n", "pairs", "times")}
+    lists = {name: part.column(name).combine_chunks().flatten() for name in part.column_names if name not in ("part", *PACKED)}
+    number = {name: unpacked(part.column(name)[0].as_py()) for name in PACKED}
     count, best = np.zeros(len(lists["a"]), np.int64), np.zeros(len(lists["a"]), np.int64)
     place = totals.column("place").to_numpy()
     count[place], best[place] = totals.column("count").to_numpy(), totals.column("best").to_numpy()
